@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import cleaning_plans, profiling_plans  # noqa: F401
+from millrace.plans import cleaning_plans, feature_plans, profiling_plans, series_plans  # noqa: F401
 from millrace.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, numeric, text
 from millrace.functions.dates import ISO_THEN_DAY_FIRST
 from millrace.operators import cleaning
+from millrace.operators.lineage import materialize
 from millrace.plans.dirty import (
     CLEAN_SALES,
     DIRTY_SALES,
@@ -331,7 +332,7 @@ def _(t):
         coalesce(total, s) as total from typed, medians""",
 )
 def _(t):
-    typed = type_sales(dirty_sales(t))
+    typed = materialize(type_sales(dirty_sales(t)))
     filled = cleaning.impute_median(typed, {"quantity": 0, "unit_price": None, "total": None})
     return filled.select("id", "quantity", "unit_price", "total")
 

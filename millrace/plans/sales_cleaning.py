@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.dates import parse_timestamp
 from millrace.functions.text import normalize_text, parse_number
 from millrace.operators import cleaning
+from millrace.operators.lineage import materialize
 from millrace.sources.schema import rename_select
 
 COLUMNS = {
@@ -39,7 +40,7 @@ def type_sales(raw: DataFrame) -> DataFrame:
 
 def clean_sales(raw: DataFrame) -> DataFrame:
     """Typed sales with medians and labels filled in and rows without id or date dropped."""
-    typed = type_sales(raw)
+    typed = materialize(type_sales(raw))  # read again by the sketch, the ranks and the fill
     filled = cleaning.impute_median(typed, {"quantity": 0, "unit_price": None, "total": None})
     keyed = cleaning.drop_nulls(filled, ["bought_at", "id"])
     return cleaning.impute_constant(keyed, MISSING_LABELS)
