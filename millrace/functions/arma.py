@@ -39,9 +39,12 @@ def autocovariance(ar: np.ndarray, ma: np.ndarray, n: int) -> np.ndarray:
             system[k, abs(k - 1 - i)] -= ar[i]
     gamma = np.zeros(max(n, p + 1))
     gamma[: p + 1] = np.linalg.solve(system, shock[: p + 1])
+    if not p:
+        return shock[:n]
+    values, weights, pushes = gamma[: p + 1].tolist(), ar.tolist(), shock.tolist()
     for k in range(p + 1, n):
-        gamma[k] = ar @ gamma[k - 1 : k - 1 - p : -1][:p] + shock[k] if p else shock[k]
-    return gamma[:n]
+        values.append(sum(f * values[k - 1 - i] for i, f in enumerate(weights)) + pushes[k])
+    return np.array(values[:n])
 
 
 def _toeplitz(gamma: np.ndarray) -> np.ndarray:
@@ -108,8 +111,10 @@ def fit(values: np.ndarray, p: int, d: int, q: int) -> dict:
 
     best = np.zeros(p + q)
     if p + q:
-        starts = [np.zeros(p + q), np.append(np.full(p, 0.5), np.full(q, 0.3)), np.append(np.full(p, -0.3), np.full(q, 0.6))]
-        best = np.clip(min((simplex_search(loss, s) for s in starts), key=loss), -6, 6)
+        starts = [np.append(np.full(p, a), np.full(q, b)) for a in (-0.4, 0.0, 0.4) for b in (-0.4, 0.0, 0.4)]
+        # a second search from the first optimum escapes a collapsed simplex
+        first = simplex_search(loss, min(starts, key=loss))
+        best = np.clip(simplex_search(loss, first), -6, 6)
     ar, ma = split(best)
     loglik, mean, sigma2 = profile(w, ar, ma, d == 0)
     loglik -= len(w) * np.log(scale)

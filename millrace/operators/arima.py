@@ -37,6 +37,11 @@ def pack(series: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame, *cols: str) -> DataFrame:
+    """One fit is small in bytes and long in time: keep the tasks apart instead of merging them by size."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def _map(rows: DataFrame, fn, added: str) -> DataFrame:
     """Apply `fn(row) -> list of dicts` to every row of a packed frame, keeping the key column."""
     key = rows.columns[0]
@@ -59,7 +64,7 @@ def adf_test(series: DataFrame, key: str, alpha: float = 0.05) -> DataFrame:
         p = unit_root_p(tau)
         return [{"statistic": tau, "lags": lags, "p": p, "stationary": p < alpha, "d": 0 if p < alpha else 1}]
 
-    packed = pack(series, key).repartition(key)
+    packed = _spread(pack(series, key), key)
     return _map(packed, test, "statistic double, lags int, p double, stationary boolean, d int")
 
 
@@ -84,7 +89,7 @@ def arima_grid(series: DataFrame, key: str, max_p: int = 2, max_q: int = 2, d: i
         *[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p in range(max_p + 1) for q in range(max_q + 1)]
     )
     grid = pack(series, key).select(key, "ys", F.explode(orders).alias("o")).select(key, "ys", "o.p", "o.q")
-    return _map(grid.repartition(key, "p", "q"), fit, "p int, d int, q int, aic double")
+    return _map(_spread(grid, key, "p", "q"), fit, "p int, d int, q int, aic double")
 
 
 def best_order(grid: DataFrame, key: str) -> DataFrame:
@@ -115,7 +120,7 @@ def arima_forecast(series: DataFrame, key: str, orders: DataFrame, h: int = 6) -
         ]
 
     packed = pack(series, key).select(key, "ys", F.array_max("months").alias("last"))
-    work = packed.join(orders.select(key, "p", "d", "q"), key).repartition(key)
+    work = _spread(packed.join(orders.select(key, "p", "d", "q"), key), key)
     out = _map(work, ahead, "step int, last date, mean double, lower double, upper double")
     return out.select(key, "step", F.last_day(F.add_months("last", F.col("step"))).alias("month"), "mean", "lower", "upper")
 

@@ -22,12 +22,23 @@ def work_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, spread: bool = False) -> DataFrame:
     """Write `df` once and read it back.
 
     Unlike a cache the copy survives lost executors, and unlike an RDD checkpoint it
     is computed once and stays columnar, so later passes still prune and push down.
+    `spread` is for compute-heavy users: a copy that is read in fewer partitions than
+    there are cores is small, and is dealt out over all of them.
     """
-    path = f"{work_folder(df.sparkSession).rstrip('/')}/millrace-{uuid.uuid4().hex}"
+    copy = _stored(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if spread and copy.rdd.getNumPartitions() < cores:
+        return _stored(copy.repartition(cores))
+    return copy
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{work_folder(spark).rstrip('/')}/millrace-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.plans import cleaning_plans, feature_plans, profiling_plans, series_plans  # noqa: F401
+from millrace.plans import (  # noqa: F401
+    anomaly_plans,
+    cleaning_plans,
+    feature_plans,
+    model_plans,
+    profiling_plans,
+    series_plans,
+)
 from millrace.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -81,20 +81,20 @@ def _decompose_sql(op: str, fit: str) -> str:
           f as (partition by l_returnflag order by month rows between 6 preceding and 6 following)),
       raw as (select l_returnflag, phase, avg(value {op} trend) as raw from base group by all),
       factors as (select l_returnflag, phase, raw {op} avg(raw) over (partition by l_returnflag) as seasonal from raw)
-      select l_returnflag, month, value, phase, round(trend, 4) as trend, round(seasonal, 6) + 0.0 as seasonal,
+      select l_returnflag, month, value, phase, round(trend, 5) as trend, round(seasonal, 6) + 0.0 as seasonal,
         round(value {op} (trend {fit} seasonal), 6) + 0.0 as resid from base join factors using (l_returnflag, phase)"""
 
 
 @query("ts03_seasonal_decompose", _decompose_sql("/", "*"))
 def _(t):
     out = series.seasonal_decompose(monthly(t), "l_returnflag")
-    return _round(_round(out, ["trend"], 4), ["seasonal", "resid"])
+    return _round(_round(out, ["trend"], 5), ["seasonal", "resid"])
 
 
-@query("ts03_seasonal_decompose_additive", _decompose_sql("-", "+").replace("6) + 0.0", "4) + 0.0"))
+@query("ts03_seasonal_decompose_additive", _decompose_sql("-", "+").replace("6) + 0.0", "5) + 0.0"))
 def _(t):
     out = series.seasonal_decompose(monthly(t), "l_returnflag", model="additive")
-    return _round(out, ["trend", "seasonal", "resid"], 4)
+    return _round(out, ["trend", "seasonal", "resid"], 5)
 
 
 @query(
