@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -23,11 +24,35 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# What each layout letter may stand for.
+_PARTS = {
+    "yyyy": r"\d{4}",
+    "M": r"(0?[1-9]|1[0-2])",
+    "d": r"(0?[1-9]|[12]\d|3[01])",
+    "H": r"([01]?\d|2[0-3])",
+    "m": r"[0-5]?\d",
+    "s": r"[0-5]?\d",
+}
+
+
+def layout_shape(layout: str) -> str:
+    """Regular expression of the texts a layout can read."""
+    return "^" + re.sub("yyyy|[MdHms]", lambda part: _PARTS[part.group()], layout) + "$"
+
+
+def _attempt(c: Column, layout: str) -> Column:
+    # a failed parse costs an exception per row, so texts of another shape are not tried
+    return F.when(c.rlike(layout_shape(layout)), F.try_to_timestamp(c, F.lit(layout)))
+
+
 def parse_timestamp(
     c: Column | str, formats: Sequence[str] = MONTH_FIRST, fallback: bool = True
 ) -> Column:
-    """First layout that fits wins; text that fits none becomes null."""
-    attempts = [F.try_to_timestamp(_col(c), F.lit(layout)) for layout in formats]
+    """First layout that fits wins; text that fits none becomes null.
+
+    Layouts are made of yyyy, M, d, H, m, s (one or two digits) and separators.
+    """
+    attempts = [_attempt(_col(c), layout) for layout in formats]
     if fallback:
         attempts.append(_col(c).try_cast("timestamp"))
     return F.coalesce(*attempts).cast("timestamp_ntz")
@@ -35,7 +60,7 @@ def parse_timestamp(
 
 def parse_date(c: Column | str, layout: str = "M/d/yyyy") -> Column:
     """Date in one layout; anything else becomes null."""
-    return F.try_to_timestamp(_col(c), F.lit(layout)).cast("date")
+    return _attempt(_col(c), layout).cast("date")
 
 
 def day(c: Column | str) -> Column:

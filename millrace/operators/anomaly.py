@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from millrace.functions.numeric import as_flag
 from millrace.operators import metrics
 from millrace.operators.lineage import materialize
-from millrace.operators.quantiles import exact_quantiles, quantile_struct
+from millrace.operators.quantiles import quantile_values
 from millrace.operators.sizing import unpivot_row
 
 # --- isolation forest ------------------------------------------------------
@@ -141,8 +141,8 @@ def isolation_forest(df: DataFrame, ids: Sequence[str], cols: Sequence[str], tre
 
 def decide(scored: DataFrame, score: str = "score", contamination: float = 0.05) -> DataFrame:
     """Add `decision` (score minus its contamination quantile) and `pred` (-1 strange, 1 normal)."""
-    cut = quantile_struct(scored, [score], {"cut": contamination})[f"{score}_cut"]
-    decided = scored.withColumn("decision", F.col(score) - cut)
+    cut = quantile_values(scored, [score], {"cut": contamination})[f"{score}_cut"]
+    decided = scored.withColumn("decision", F.col(score) - F.lit(cut))
     return decided.withColumn("pred", F.when(F.col("decision") < 0, -1).otherwise(1))
 
 
@@ -260,8 +260,9 @@ def level_of(score: Column, critical: Column, caution: Column) -> Column:
 
 def alert_levels(df: DataFrame, score: str, critical: float = 0.10, caution: float = 0.25) -> DataFrame:
     """Add `level` from the two score quantiles of the whole table."""
-    q = quantile_struct(df, [score], {"critical": critical, "caution": caution})
-    return df.withColumn("level", level_of(F.col(score), q[f"{score}_critical"], q[f"{score}_caution"]))
+    q = quantile_values(df, [score], {"critical": critical, "caution": caution})
+    cuts = [F.lit(q[f"{score}_{name}"]) for name in ("critical", "caution")]
+    return df.withColumn("level", level_of(F.col(score), *cuts))
 
 
 def alert_summary(levelled: DataFrame, label: str) -> DataFrame:
@@ -278,28 +279,25 @@ def threshold_sweep(df: DataFrame, label: str, score: str, percents: Sequence[in
 
     All cuts come from one ranking pass and all counts from one aggregate.
     """
-    cuts = exact_quantiles(df, [score], [1 - p / 100 for p in percents])
-    fields = [F.max(F.when(F.col("prob") == 1 - p / 100, F.col("value"))).alias(f"c{p}") for p in percents]
-    q = cuts.agg(F.struct(*fields).alias("q")).scalar()
-    base = df.select(F.col(score).alias("s"), F.col(label).cast("int").alias("y"), q.alias("q"))
-    marks = {p: F.col("s") <= F.col(f"q.c{p}") for p in percents}
-    row = base.agg(
-        F.first("q").alias("q"),
-        F.sum("y").alias("positives"),
+    q = quantile_values(df, [score], {str(p): 1 - p / 100 for p in percents})
+    cuts = {p: F.lit(q[f"{score}_{p}"]) for p in percents}
+    hit = F.col(label) == 1
+    row = df.agg(
+        F.count_if(hit).alias("positives"),
         F.count(F.lit(1)).alias("rows"),
-        *[F.sum(F.when(m, F.col("y"))).alias(f"hit{p}") for p, m in marks.items()],
-        *[F.count_if(m).alias(f"n{p}") for p, m in marks.items()],
+        *[F.count_if(hit & (F.col(score) <= cut)).alias(f"hit{p}") for p, cut in cuts.items()],
+        *[F.count_if(F.col(score) <= cut).alias(f"n{p}") for p, cut in cuts.items()],
     )
     return unpivot_row(
         row,
         [
             F.struct(
                 F.lit(p).alias("percent"),
-                F.col(f"q.c{p}").alias("cut"),
+                cut.alias("cut"),
                 F.coalesce(F.try_divide(F.col(f"hit{p}") * 100.0, F.col("positives")), F.lit(0.0)).alias("captured"),
                 F.try_divide(F.col(f"n{p}") * 100.0, F.col("rows")).alias("flagged"),
             )
-            for p in percents
+            for p, cut in cuts.items()
         ],
     )
 

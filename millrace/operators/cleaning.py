@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numeric import clamp
 from millrace.functions.text import plain_number, scrub, unparseable
-from millrace.operators.quantiles import long_values, quantile_struct, quantiles_wide
+from millrace.operators.quantiles import long_values, quantile_values, quantiles_wide
 from millrace.operators.sizing import unpivot_row
 from millrace.sources.schema import string_columns
 
@@ -65,10 +65,10 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 def impute_median(df: DataFrame, cols: Mapping[str, int | None]) -> DataFrame:
     """Null becomes the exact median; a digit count rounds the filled value."""
-    medians = quantile_struct(df, list(cols), {"median": 0.5})
+    medians = quantile_values(df, list(cols), {"median": 0.5})
     filled = {}
     for c, digits in cols.items():
-        middle = medians[f"{c}_median"]
+        middle = F.lit(medians[f"{c}_median"])
         filled[c] = F.coalesce(F.col(c), middle if digits is None else F.round(middle, digits))
     return df.withColumns(filled)
 
@@ -87,21 +87,17 @@ def clip_percentiles(
     df: DataFrame, col: str, low: float = 0.01, high: float = 0.99, out: str | None = None
 ) -> DataFrame:
     """Pull values beyond the two quantiles back to them."""
-    q = quantile_struct(df, [col], {"low": low, "high": high})
-    return df.withColumn(out or f"{col}_clean", clamp(col, q[f"{col}_low"], q[f"{col}_high"]))
+    q = quantile_values(df, [col], {"low": low, "high": high})
+    return df.withColumn(out or f"{col}_clean", clamp(col, F.lit(q[f"{col}_low"]), F.lit(q[f"{col}_high"])))
 
 
 def clip_report(df: DataFrame, col: str, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """One row: the two bounds, how many values lie outside, how many rows there are."""
-    q = quantile_struct(df, [col], {"low": low, "high": high})
-    bounded = df.select(F.col(col).alias("v"), q[f"{col}_low"].alias("low"), q[f"{col}_high"].alias("high"))
-    outside = (F.col("v") < F.col("low")) | (F.col("v") > F.col("high"))
-    return bounded.agg(
-        F.max("low").alias("low"),
-        F.max("high").alias("high"),
-        F.count_if(outside).alias("outside"),
-        F.count(F.lit(1)).alias("n_rows"),
-    )
+    q = quantile_values(df, [col], {"low": low, "high": high})
+    at, to = F.lit(q[f"{col}_low"]), F.lit(q[f"{col}_high"])
+    return df.agg(
+        F.count_if((F.col(col) < at) | (F.col(col) > to)).alias("outside"), F.count(F.lit(1)).alias("n_rows")
+    ).select(at.alias("low"), to.alias("high"), "outside", "n_rows")
 
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import as_flag
-from millrace.operators.quantiles import exact_quantiles
+from millrace.operators.quantiles import exact_quantiles, quantile_values
 from millrace.operators.sizing import broadcast_if_small
 
 PRIME = 2_147_483_647
@@ -19,8 +19,8 @@ MAX_LEVELS = 1_000
 
 def threshold_label(df: DataFrame, col: str, q: float = 0.75, out: str = "label") -> DataFrame:
     """1 where the value is above the q-quantile of the whole column."""
-    cut = exact_quantiles(df, [col], [q]).agg(F.max("value")).scalar()
-    return df.withColumn(out, as_flag(F.col(col) > cut))
+    cut = quantile_values(df, [col], {"cut": q})[f"{col}_cut"]
+    return df.withColumn(out, as_flag(F.col(col) > F.lit(cut)))
 
 
 def lookup_join(df: DataFrame, table: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import as_flag
-from millrace.operators.quantiles import exact_quantiles, long_values, quantiles_wide
+from millrace.operators.quantiles import long_values, quantile_values, quantiles_wide
 from millrace.operators.sizing import broadcast_if_small, unpivot_row
 
 
@@ -119,8 +119,8 @@ def target_profile(df: DataFrame, col: str) -> DataFrame:
         F.stddev_samp(col).alias("std"),
         F.when(F.stddev_pop(col) > 0, F.skewness(col) * correction).alias("skew"),
     )
-    median = exact_quantiles(df, [col], [0.5]).agg(F.max("value")).scalar()
-    return moments.withColumn("median", median)
+    median = quantile_values(df, [col], {"median": 0.5})[f"{col}_median"]
+    return moments.withColumn("median", F.lit(median))
 
 
 def segment_compare(df: DataFrame, inside: Column, condition: Column) -> DataFrame:

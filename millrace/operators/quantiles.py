@@ -10,8 +10,10 @@ ever miss its rank the query fails loudly instead of returning a wrong value.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.sizing import broadcast_if_small
@@ -19,6 +21,7 @@ from millrace.operators.sizing import broadcast_if_small
 ACCURACY = 20_000  # sketch rank error is 1/ACCURACY of the rows
 SLACK = 3 / ACCURACY
 WHOLE_BELOW = 20_000  # groups up to this size are ranked without a bracket
+BRACKETS = "array<struct<prob: double, low: double, high: double>>"
 
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -39,40 +42,45 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """(by..., column, prob, n, value): quantiles of every column, per group if asked."""
+    """(by..., column, prob, n, value): quantiles of every column, per group if asked.
+
+    The sketch runs when this is called; the ranking runs with the returned frame.
+    """
+    probs = [float(p) for p in probs]
     keys = [*by, "column"]
     values = long_values(df, cols, by)
-    sketch = broadcast_if_small(values.groupBy(*keys).agg(*_bracket_aggregates(probs)))
+    sketch = values.groupBy(*keys).agg(*_sketch(probs))
+    if by:
+        cells = _cells_by_group(values, keys, broadcast_if_small(sketch), len(probs))
+    else:
+        cells = _cells_by_column(df, cols, sketch.collect())  # one row per named column
+    return _pick(cells, keys)
 
-    # null slot = everything below the bracket, merged before the shuffle
-    counted = (
-        values.join(sketch, keys)
-        .select(*keys, "n", "value", F.explode("brackets").alias("b"))
-        .filter(F.col("value") <= F.col("b.high"))
-        .groupBy(
-            *keys,
-            "n",
-            F.col("b.prob").alias("prob"),
-            F.when(F.col("value") >= F.col("b.low"), F.col("value")).alias("slot"),
-        )
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    upto = Window.partitionBy(*keys, "prob").orderBy(F.col("slot").asc_nulls_first())
-    position = (F.col("n") - 1) * F.col("prob")
-    running = counted.withColumn("upto", F.sum("rows").over(upto))
-    picked = running.groupBy(*keys, "prob", "n").agg(
-        F.min(F.when(F.col("upto") > F.floor(position), F.col("slot"))).alias("lower"),
-        F.min(F.when(F.col("upto") > F.ceil(position), F.col("slot"))).alias("upper"),
-        F.coalesce(F.max(F.when(F.col("slot").isNull(), F.col("upto"))), F.lit(0)).alias("below"),
-    )
-    missed = (F.col("below") > F.floor(position)) | F.col("upper").isNull()
-    value = F.col("lower") + (F.col("upper") - F.col("lower")) * (position - F.floor(position))
-    checked = F.when(missed, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-    return picked.select(*keys, "prob", "n", checked.otherwise(value).alias("value"))
 
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: dict[str, float]) -> dict[str, float | None]:
+    """Overall quantiles as numbers named `<column>_<label>`; None for a column without values.
 
-def _bracket_aggregates(probs: Sequence[float]) -> list[Column]:
-    probs = [float(p) for p in probs]
+    They re-enter later plans as literals, so a frame that uses them can be read many
+    times without ranking again.
+    """
+    rows = exact_quantiles(df, cols, list(probs.values())).collect()  # columns x probs rows
+    found = {(r["column"], r["prob"]): r["value"] for r in rows}
+    return {f"{c}_{label}": found.get((c, float(p))) for c in cols for label, p in probs.items()}
+
+
+def quantiles_wide(
+    df: DataFrame, cols: Sequence[str], probs: dict[str, float], by: Sequence[str] = ()
+) -> DataFrame:
+    """(by..., column, one column per label): quantiles side by side."""
+    q = exact_quantiles(df, cols, list(probs.values()), by)
+    fields = [
+        F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(label) for label, p in probs.items()
+    ]
+    return q.groupBy(*by, "column").agg(*fields)
+
+
+def _sketch(probs: list[float]) -> list[Column]:
+    """Row count and one (prob, low, high) bracket per probability."""
     marks = [max(p - SLACK, 0.0) for p in probs] + [min(p + SLACK, 1.0) for p in probs]
     cuts = F.percentile_approx("value", marks, ACCURACY)
     n, lowest, highest = F.count(F.lit(1)), F.min("value"), F.max("value")
@@ -90,23 +98,75 @@ def _bracket_aggregates(probs: Sequence[float]) -> list[Column]:
     return [n.alias("n"), F.array(*brackets).alias("brackets")]
 
 
-def quantile_struct(df: DataFrame, cols: Sequence[str], probs: dict[str, float]) -> Column:
-    """Overall quantiles as one scalar subquery: struct fields named `<column>_<label>`."""
-    q = exact_quantiles(df, cols, list(probs.values()))
-    fields = [
-        F.max(F.when((F.col("column") == c) & (F.col("prob") == float(p)), F.col("value"))).alias(f"{c}_{label}")
-        for c in cols
-        for label, p in probs.items()
-    ]
-    return q.agg(F.struct(*fields).alias("q")).scalar()
+def _cell(value: Column, brackets: Sequence[tuple[Column, Column]]) -> tuple[Column, Column]:
+    """Values inside a bracket stay apart; all values between the same brackets share a cell."""
+    inside = reduce(or_, [(value >= low) & (value <= high) for low, high in brackets])
+    passed = reduce(add, [F.when(value > high, 1).otherwise(0) for _, high in brackets])
+    return F.when(inside, value).alias("slot"), passed.alias("passed")
 
 
-def quantiles_wide(
-    df: DataFrame, cols: Sequence[str], probs: dict[str, float], by: Sequence[str] = ()
-) -> DataFrame:
-    """(by..., column, one column per label): quantiles side by side."""
-    q = exact_quantiles(df, cols, list(probs.values()), by)
-    fields = [
-        F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(label) for label, p in probs.items()
-    ]
-    return q.groupBy(*by, "column").agg(*fields)
+def _cells_by_group(values: DataFrame, keys: list[str], sketch: DataFrame, width: int) -> DataFrame:
+    brackets = [(F.get("brackets", F.lit(i))["low"], F.get("brackets", F.lit(i))["high"]) for i in range(width)]
+    slot, passed = _cell(F.col("value"), brackets)
+    counted = (
+        values.join(sketch, keys)
+        .select(*keys, slot, passed, "value")
+        .groupBy(*keys, "slot", "passed")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("at"))
+    )
+    return counted.join(sketch, keys)
+
+
+def _cells_by_column(df: DataFrame, cols: Sequence[str], sketch: list[Row]) -> DataFrame:
+    """The same with the few brackets as literals, so no join is needed."""
+    found = {r["column"]: r for r in sketch}
+    entries, n, brackets = [], F.lit(None).cast("bigint"), F.lit(None).cast(BRACKETS)
+    for c in cols:
+        if c not in found:
+            continue
+        value, limits = F.col(c).cast("double"), found[c]["brackets"]
+        slot, passed = _cell(value, [(F.lit(b["low"]), F.lit(b["high"])) for b in limits])
+        entries.append(F.struct(F.lit(c).alias("column"), slot, passed, value.alias("at")))
+        here = F.col("column") == c
+        n = F.when(here, F.lit(found[c]["n"])).otherwise(n)
+        literal = F.array(*[F.struct(*[F.lit(b[x]).alias(x) for x in ("prob", "low", "high")]) for b in limits])
+        brackets = F.when(here, literal).otherwise(brackets)
+    if not entries:
+        empty = "column string, slot double, passed int, rows bigint, at double, n bigint, brackets " + BRACKETS
+        return df.sparkSession.createDataFrame([], empty)
+    cells = df.select(F.explode(F.array(*entries)).alias("e")) if len(entries) > 1 else df.select(entries[0].alias("e"))
+    counted = (
+        cells.select("e.*")
+        .filter(F.col("at").isNotNull() & ~F.isnan("at"))
+        .groupBy("column", "slot", "passed")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("at").alias("at"))
+    )
+    return counted.withColumns({"n": n, "brackets": brackets})
+
+
+def _pick(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Interpolated value at every wanted rank."""
+    # seen from one bracket, all cells below it are one: their count is all that matters
+    counted = (
+        cells.select(*keys, "n", "rows", "at", F.explode("brackets").alias("b"))
+        .filter(F.col("at") <= F.col("b.high"))
+        .groupBy(
+            *keys,
+            "n",
+            F.col("b.prob").alias("prob"),
+            F.when(F.col("at") >= F.col("b.low"), F.col("at")).alias("slot"),
+        )
+        .agg(F.sum("rows").alias("rows"))
+    )
+    upto = Window.partitionBy(*keys, "prob").orderBy(F.col("slot").asc_nulls_first())
+    position = (F.col("n") - 1) * F.col("prob")
+    running = counted.withColumn("upto", F.sum("rows").over(upto))
+    picked = running.groupBy(*keys, "prob", "n").agg(
+        F.min(F.when(F.col("upto") > F.floor(position), F.col("slot"))).alias("lower"),
+        F.min(F.when(F.col("upto") > F.ceil(position), F.col("slot"))).alias("upper"),
+        F.coalesce(F.max(F.when(F.col("slot").isNull(), F.col("upto"))), F.lit(0)).alias("below"),
+    )
+    missed = (F.col("below") > F.floor(position)) | F.col("upper").isNull()
+    exact = F.col("lower") + (F.col("upper") - F.col("lower")) * (position - F.floor(position))
+    checked = F.when(missed, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
+    return picked.select(*keys, "prob", "n", checked.otherwise(exact).alias("value"))

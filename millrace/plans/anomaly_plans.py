@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import anomaly, features, metrics
+from millrace.operators.lineage import materialize
 from millrace.plans.readings import READINGS, SENSORS, labelled_readings
 from millrace.plans.registry import query
 from millrace.streaming.alerts import alert_stream, frozen_cuts
@@ -19,7 +20,8 @@ def _round(df, cols, digits=6):
 
 
 def scaled_readings(t):
-    return features.standardize(labelled_readings(t).select("udi", "failure", *SENSORS), SENSORS)
+    rows = materialize(labelled_readings(t).select("udi", "failure", *SENSORS), spread=True)
+    return features.standardize(rows, SENSORS)
 
 
 @query("an01_isolation_forest")

@@ -50,7 +50,7 @@ def _(t):
 
 def _split_readings(t, drop_first=False):
     """Readings with a stratified split and features learned from the training part, written once."""
-    rows = labelled_readings(t).select("udi", "variant", *SENSORS, "failure")
+    rows = materialize(labelled_readings(t).select("udi", "variant", *SENSORS, "failure"), spread=True)
     marked = materialize(features.stratified_split(rows, "failure", features.text_hash("udi"), 0.8))
     train = marked.filter("part = 'train'")
     prep = features.fit_preparation(train, SENSORS, ["variant"], drop_first)

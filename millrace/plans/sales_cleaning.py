@@ -29,11 +29,15 @@ MISSING_LABELS = {"item": "desconocido", "payment": "no_definido", "branch": "si
 def type_sales(raw: DataFrame) -> DataFrame:
     """Rename, drop error rows, normalise text, parse numbers and dates, remove copies."""
     named = cleaning.drop_error_rows(rename_select(raw, COLUMNS), "total")
-    typed = named.select(
-        *[normalize_text(c).alias(c) for c in ("id", "item", "payment", "branch")],
-        F.col("quantity").try_cast("double").alias("quantity"),
-        *[parse_number(c).alias(c) for c in ("unit_price", "total")],
-        parse_timestamp(normalize_text("bought_at")).alias("bought_at"),
+    # texts first, so the date layouts below share one cleaned text
+    texts = cleaning.apply_columns(named, ["id", "item", "payment", "branch", "bought_at"], normalize_text)
+    typed = texts.withColumns(
+        {
+            "quantity": F.col("quantity").try_cast("double"),
+            "unit_price": parse_number("unit_price"),
+            "total": parse_number("total"),
+            "bought_at": parse_timestamp("bought_at"),
+        }
     )
     return cleaning.deduplicate(typed)
 

@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.anomaly import level_of
-from millrace.operators.quantiles import exact_quantiles
+from millrace.operators.quantiles import quantile_values
 
 
 def frozen_cuts(history: DataFrame, score: str, critical: float = 0.10, caution: float = 0.25) -> tuple[float, float]:
     """The two score limits of the past, as numbers."""
-    rows = exact_quantiles(history, [score], [critical, caution]).collect()  # two rows
-    found = {r["prob"]: r["value"] for r in rows}
-    return found[critical], found[caution]
+    found = quantile_values(history, [score], {"critical": critical, "caution": caution})
+    return found[f"{score}_critical"], found[f"{score}_caution"]
 
 
 def alert_stream(stream: DataFrame, score: str, cuts: tuple[float, float]) -> DataFrame:
