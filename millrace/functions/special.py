@@ -6,12 +6,13 @@ import math
 
 import numpy as np
 
-_erf = np.vectorize(math.erf, otypes=[float])
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
+
+def _each(f, x) -> np.ndarray:
+    return np.asarray(np.frompyfunc(f, 1, 1)(np.asarray(x, float)), float)
 
 
 def normal_cdf(x) -> np.ndarray:
-    return 0.5 * (1.0 + _erf(np.asarray(x, float) / math.sqrt(2.0)))
+    return 0.5 * (1.0 + _each(math.erf, np.asarray(x, float) / math.sqrt(2.0)))
 
 
 def incomplete_beta(a, b, x, steps: int = 300) -> np.ndarray:
@@ -28,7 +29,7 @@ def incomplete_beta(a, b, x, steps: int = 300) -> np.ndarray:
     fraction = 1.0 / (1.0 + first / tail)
     with np.errstate(divide="ignore", invalid="ignore"):
         front = np.exp(
-            _lgamma(p + q) - _lgamma(p) - _lgamma(q) + p * np.log(z) + q * np.log1p(-z)
+            _each(math.lgamma, p + q) - _each(math.lgamma, p) - _each(math.lgamma, q) + p * np.log(z) + q * np.log1p(-z)
         ) / p
         value = np.where(z <= 0, 0.0, np.where(z >= 1, 1.0, front * fraction))
     return np.where(swap, 1.0 - value, value)

@@ -26,7 +26,7 @@ def feature_table(df: DataFrame, cols: Sequence[str], scaled: bool = True) -> Da
     inputs = [f"__f_{c}" for c in cols]
     copied = present.withColumns({f: F.col(c).cast("double") for f, c in zip(inputs, cols)})
     wide = minmax_scale(copied, inputs) if scaled else copied
-    return materialize(assemble(wide, inputs).drop(*inputs), spread=True)
+    return materialize(assemble(wide, inputs).drop(*inputs))
 
 
 def kmeans_elbow(points: DataFrame, ks: Iterable[int] = range(2, 11), seed: int = 42) -> DataFrame:

@@ -114,6 +114,14 @@ def feature_importance(model, prep: Preparation | Sequence[str], df: DataFrame)
     )
 
 
+def strongest_features(importance: DataFrame, k: int = 10) -> DataFrame:
+    """(feature, weight, side): the k largest positive and k largest negative weights."""
+    # one row per model input is ranked here
+    up = importance.filter("weight > 0").orderBy(F.desc("weight"), "feature").limit(k)
+    down = importance.filter("weight < 0").orderBy("weight", "feature").limit(k)
+    return up.withColumn("side", F.lit("raises")).unionByName(down.withColumn("side", F.lit("lowers")))
+
+
 def stratified_folds(df: DataFrame, label: str, hashed: Column, k: int) -> DataFrame:
     """Column `fold` in 0..k-1 with equal class shares in every fold."""
     keyed = df.withColumn("__hash", hashed)

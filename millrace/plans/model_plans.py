@@ -48,13 +48,13 @@ def _(t):
     return models.prediction_table(fit, t.lineitem, "l_extendedprice", _ID)
 
 
-def _split_readings(t, drop_first=False):
+def _split_readings(t, drop_first=False, spread=False):
     """Readings with a stratified split and features learned from the training part, written once."""
-    rows = materialize(labelled_readings(t).select("udi", "variant", *SENSORS, "failure"), spread=True)
+    rows = materialize(labelled_readings(t).select("udi", "variant", *SENSORS, "failure"))
     marked = materialize(features.stratified_split(rows, "failure", features.text_hash("udi"), 0.8))
     train = marked.filter("part = 'train'")
     prep = features.fit_preparation(train, SENSORS, ["variant"], drop_first)
-    return prep, materialize(prep.transform(marked).select("udi", "failure", "part", "features"), spread=True)
+    return prep, materialize(prep.transform(marked).select("udi", "failure", "part", "features"), spread)
 
 
 @query("ml03_logistic_regression")
@@ -76,7 +76,7 @@ def _(t):
 
 @query("ml04_random_forest")
 def _(t):
-    _prep, rows = _split_readings(t)
+    _prep, rows = _split_readings(t, spread=True)
     train = features.with_class_weights(rows.filter("part = 'train'"), "failure")
     model = models.random_forest(train, "failure", weight="weight")
     scored = materialize(models.predict_proba(model, rows.filter("part = 'test'")).select("failure", "p"))
@@ -108,8 +108,8 @@ def _(t):
 @query("ml07_feature_importance")
 def _(t):
     prep, rows = _split_readings(t)
-    model = models.random_forest(rows.filter("part = 'train'"), "failure", trees=50)
-    return models.feature_importance(model, prep, rows)
+    model = models.logistic_regression(rows.filter("part = 'train'"), "failure")
+    return models.strongest_features(models.feature_importance(model, prep, rows))
 
 
 _FOLD_HASH = "(((o_orderkey % 2147483647) * 48271 + 42) % 2147483647 * 69621 + 42) % 2147483647"
@@ -131,7 +131,7 @@ def _(t):
 def _(t):
     _prep, rows = _split_readings(t, drop_first=True)
     train = rows.filter("part = 'train'").select("udi", "failure", "features")
-    folded = materialize(models.stratified_folds(train, "failure", features.text_hash("udi", seed=7), 5), spread=True)
+    folded = materialize(models.stratified_folds(train, "failure", features.text_hash("udi", seed=7), 5))
     return models.cross_validate(folded, "failure", 5, [0.01, 1.0, 100.0])
 
 
