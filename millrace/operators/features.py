@@ -41,43 +41,41 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
 
 
 # --- scaling ---------------------------------------------------------------
+# The parameters come from one aggregate and enter the plan as literals, so a scaled
+# frame can be read many times without scanning the fitted table again.
 
 
 def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """z-scores with the population deviation; a constant column becomes 0."""
-    fields = [x for c in cols for x in (F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std"))]
-    s = (fit_on or df).agg(F.struct(*fields).alias("s")).scalar()
+    stats = [x for c in cols for x in (F.avg(c).alias(f"{c}|mean"), F.stddev_pop(c).alias(f"{c}|std"))]
+    row = (df if fit_on is None else fit_on).agg(*stats).first()
     return df.withColumns(
-        {
-            c: F.when(s[f"{c}_std"] > 0, (F.col(c) - s[f"{c}_mean"]) / s[f"{c}_std"]).otherwise(
-                F.col(c) - s[f"{c}_mean"]
-            )
-            for c in cols
-        }
+        {c: (F.col(c) - F.lit(row[f"{c}|mean"])) / F.lit(row[f"{c}|std"] or 1.0) for c in cols}
     )
 
 
 def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Columns stretched to [0, 1]; a constant column becomes 0.5."""
-    s = _limits(fit_on or df, cols)
-    return df.withColumns(
-        {
-            c: F.when(s[f"{c}_hi"] > s[f"{c}_lo"], (F.col(c) - s[f"{c}_lo"]) / (s[f"{c}_hi"] - s[f"{c}_lo"]))
-            .when(F.col(c).isNotNull(), 0.5)
-            for c in cols
-        }
-    )
+    limits = column_limits(df if fit_on is None else fit_on, cols)
+    scaled = {}
+    for c, (low, high) in limits.items():
+        if low is not None and high > low:
+            scaled[c] = (F.col(c) - low) / (high - low)
+        else:
+            scaled[c] = F.when(F.col(c).isNotNull(), 0.5)
+    return df.withColumns(scaled)
 
 
 def inverse_minmax(scaled: DataFrame, cols: Sequence[str], fit_on: DataFrame) -> DataFrame:
     """Back from [0, 1] to the units of `fit_on`."""
-    s = _limits(fit_on, cols)
-    return scaled.withColumns({c: F.col(c) * (s[f"{c}_hi"] - s[f"{c}_lo"]) + s[f"{c}_lo"] for c in cols})
+    limits = column_limits(fit_on, cols)
+    return scaled.withColumns({c: F.col(c) * (high - low) + low for c, (low, high) in limits.items()})
 
 
-def _limits(df: DataFrame, cols: Sequence[str]) -> Column:
-    fields = [x for c in cols for x in (F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi"))]
-    return df.agg(F.struct(*fields).alias("s")).scalar()
+def column_limits(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Smallest and largest value of each column, in one pass."""
+    row = df.agg(*[x for c in cols for x in (F.min(c).alias(f"{c}|lo"), F.max(c).alias(f"{c}|hi"))]).first()
+    return {c: (row[f"{c}|lo"], row[f"{c}|hi"]) for c in cols}
 
 
 # --- encoding --------------------------------------------------------------

@@ -38,10 +38,19 @@ def ttest_ind(df: DataFrame, group: str, a: object, b: object, col: str, alpha:
     return _verdict(sides, alpha)
 
 
+MAX_GROUPS = 1_000
+
+
 def ttest_pairs(df: DataFrame, group: str, col: str, alpha: float = 0.05) -> DataFrame:
-    """The same test for every pair of groups. Pairs are of group summaries, never of rows."""
+    """The same test for every pair of groups. Pairs are of group summaries, never of rows.
+
+    Refuses more than 1,000 groups, whose half million pairs no one reads.
+    """
     summary = F.array_sort(F.collect_list(F.struct("g", "n", "m", "v")))
-    groups = _moments(df, group, col).agg(summary.alias("all"))
+    known = _moments(df, group, col)
+    if known.limit(MAX_GROUPS + 1).count() > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups to compare in pairs")
+    groups = known.agg(summary.alias("all"))
     left = groups.select("all", F.posexplode("all").alias("i", "x"))
     pairs = left.select(
         "x", F.explode(F.slice("all", F.col("i") + 2, F.greatest(F.size("all") - F.col("i") - 1, F.lit(0)))).alias("y")

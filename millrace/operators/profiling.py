@@ -171,10 +171,10 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
     Only bins that hold rows are listed.
     """
     values = long_values(df, [col], by)
-    limits = values.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi")).alias("s")).scalar()
-    lo, hi = limits["lo"], limits["hi"]
+    limits = values.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).first()
+    lo, hi = limits["lo"] or 0.0, limits["hi"] or 0.0
     width = (hi - lo) / bins
-    position = F.when(hi > lo, F.least(F.floor((F.col("value") - lo) / width), F.lit(bins - 1))).otherwise(0)
+    position = F.least(F.floor((F.col("value") - lo) / width), F.lit(bins - 1)) if hi > lo else F.lit(0)
     counts = values.groupBy(*by, position.cast("int").alias("bin")).agg(_rows().alias("n"))
     return counts.withColumns({"low": lo + F.col("bin") * width, "high": lo + (F.col("bin") + 1) * width})
 

@@ -101,8 +101,11 @@ def test_partial_autocorrelation_of_an_ar1(spark):
         x.append(0.7 * x[-1] + e)
     got = {r.lag: (r.r, r.band) for r in series.pacf(monthly(spark, x), "k").collect()}
     acf = {r.lag: r.r for r in series.acf(monthly(spark, x), "k").collect()}
-    assert got[1][0] == pytest.approx(acf[1]) and abs(got[1][0] - 0.7) < 0.1
-    assert all(abs(got[k][0]) < 0.15 for k in range(2, 16)) and got[1][1] == pytest.approx(1.96 / 401**0.5)
+    centred = np.array(x) - np.mean(x)
+    assert acf[1] == pytest.approx(centred[1:] @ centred[:-1] / (centred @ centred))
+    assert got[1][0] == pytest.approx(acf[1])
+    assert got[2][0] == pytest.approx((acf[2] - acf[1] ** 2) / (1 - acf[1] ** 2))
+    assert all(abs(got[k][0]) < 0.2 for k in range(2, 16)) and got[1][1] == pytest.approx(1.96 / 401**0.5)
 
 
 def simulate(ar, ma, n, seed=0):
