@@ -22,6 +22,11 @@ def work_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path in the work folder that nothing uses yet."""
+    return f"{work_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, spread: bool = False) -> DataFrame:
     """Write `df` once and read it back.
 
@@ -39,6 +44,6 @@ def materialize(df: DataFrame, spread: bool = False) -> DataFrame:
 
 def _stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
-    path = f"{work_folder(spark).rstrip('/')}/millrace-{uuid.uuid4().hex}"
+    path = new_path(spark, "millrace")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from millrace.plans import (  # noqa: F401
     model_plans,
     profiling_plans,
     series_plans,
+    source_plans,
 )
 from millrace.plans.registry import QUERIES, SQL
 

@@ -209,7 +209,7 @@ def _(t):
 
 
 @query(
-    "fe15_fit_transform_pipeline",
+    "fe15_fit_transform",
     f"""with split as (select *, {_HASH.format(k='o_orderkey')} < floor(0.8 * 2147483647) as train from orders),
         s as (select avg(o_totalprice) as m, stddev_pop(o_totalprice) as d from split where train)
         select o_orderkey, round((o_totalprice - m) / d, 6) + 0.0 as scaled,

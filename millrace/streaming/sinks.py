@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.lineage import work_folder
+from millrace.operators.lineage import new_path
 
 
 def file_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -24,7 +22,7 @@ def run_available(stream: DataFrame, mode: str = "append") -> DataFrame:
     replaces its rows instead of doubling them.
     """
     spark = stream.sparkSession
-    base = f"{work_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = new_path(spark, "stream")
 
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/rows/batch={number}")
