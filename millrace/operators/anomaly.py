@@ -223,7 +223,7 @@ def one_class_machine(
     machine = OneClassMachine(cols, omega, shift, _mean_features(table, cols, omega, shift))
     for _ in range(steps):
         scored = machine.margin(table)
-        rho = scored.agg(F.percentile_approx("score", nu, 10_000)).first()[0]
+        rho = scored.agg(F.percentile_approx("score", nu, 2_000)).first()[0]
         target = _mean_features(scored.filter(F.col("score") <= rho), cols, omega, shift)
         gap = machine.weights - target
         gain = float(machine.weights @ gap)

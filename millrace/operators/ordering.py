@@ -18,7 +18,7 @@ def order_cuts(df: DataFrame, order: str) -> list[float]:
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = min(max(2 * partitions, 16), MAX_SLICES)
     marks = [i / slices for i in range(1, slices)]
-    cuts = df.agg(F.percentile_approx(order, marks, 10 * slices).alias("cuts")).first()["cuts"]
+    cuts = df.agg(F.percentile_approx(order, marks, 4 * slices).alias("cuts")).first()["cuts"]
     return sorted(set(cuts or []))
 
 

@@ -1,10 +1,12 @@
 """Exact, linearly interpolated quantiles that never gather a column in one task.
 
 The built-in exact percentile keeps every distinct value of a group in one
-aggregation buffer. Here a sketch first brackets each wanted rank; only the values
-inside the bracket are kept apart (with their counts) and everything below it is
-counted. The ranked window then holds a tiny share of the rows. Should a bracket
-ever miss its rank the query fails loudly instead of returning a wrong value.
+aggregation buffer. Here a coarse sketch first brackets each wanted rank; only the
+values inside a bracket are kept apart (with their counts) and everything below it is
+counted. In large groups a bracket is cut once more into equal widths, their counts
+tell which width holds the rank, and only its values are put in order. The ordered
+window then holds a few millionths of the rows. Should a bracket ever miss its rank
+the query fails loudly instead of returning a wrong value.
 """
 
 from __future__ import annotations
@@ -16,11 +18,14 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.sizing import broadcast_if_small
+from millrace.operators.sizing import local_if_small
 
-ACCURACY = 20_000  # sketch rank error is 1/ACCURACY of the rows
+ACCURACY = 1_000  # sketch rank error is 1/ACCURACY of the rows; keeps sketches of a task small
 SLACK = 3 / ACCURACY
 WHOLE_BELOW = 20_000  # groups up to this size are ranked without a bracket
+REFINE_ABOVE = 10_000_000  # larger groups cut their brackets into widths
+WIDTHS = 1_024
+SKETCH_ROWS = 50_000  # group sketches up to this count are read and broadcast
 BRACKETS = "array<struct<prob: double, low: double, high: double>>"
 
 
@@ -44,17 +49,24 @@ def exact_quantiles(
 ) -> DataFrame:
     """(by..., column, prob, n, value): quantiles of every column, per group if asked.
 
-    The sketch runs when this is called; the ranking runs with the returned frame.
+    Sizes and sketch run when this is called; the ranking runs with the returned frame.
     """
     probs = [float(p) for p in probs]
     keys = [*by, "column"]
     values = long_values(df, cols, by)
-    sketch = values.groupBy(*keys).agg(*_sketch(probs))
     if by:
-        cells = _cells_by_group(values, keys, broadcast_if_small(sketch), len(probs))
-    else:
-        cells = _cells_by_column(df, cols, sketch.collect())  # one row per named column
-    return _pick(cells, keys)
+        sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= WHOLE_BELOW:
+            return _small_groups(values, keys, probs)
+    sketch = values.groupBy(*keys).agg(*_sketch(probs))
+    if not by:
+        rows = sketch.collect()  # one row per named column
+        return _pick(_cells_by_column(df, cols, rows), keys, max((r["n"] for r in rows), default=0))
+    known = local_if_small(sketch, SKETCH_ROWS)
+    if known is None:
+        return _pick(_cells_by_group(values, keys, sketch, len(probs)), keys, None)
+    small = F.broadcast(df.sparkSession.createDataFrame(known, schema=sketch.schema))
+    return _pick(_cells_by_group(values, keys, small, len(probs)), keys, max(known["n"].to_pylist(), default=0))
 
 
 def quantile_values(df: DataFrame, cols: Sequence[str], probs: dict[str, float]) -> dict[str, float | None]:
@@ -79,6 +91,15 @@ def quantiles_wide(
     return q.groupBy(*by, "column").agg(*fields)
 
 
+def _small_groups(values: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Groups that are all known to be small: one shuffle and one bounded buffer per group."""
+    found = values.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile("value", F.array(*map(F.lit, probs))).alias("value")
+    )
+    pairs = F.arrays_zip(F.array(*map(F.lit, probs)).alias("prob"), "value")
+    return found.select(*keys, "n", F.explode(pairs).alias("p")).select(*keys, "p.prob", "n", "p.value")
+
+
 def _sketch(probs: list[float]) -> list[Column]:
     """Row count and one (prob, low, high) bracket per probability."""
     marks = [max(p - SLACK, 0.0) for p in probs] + [min(p + SLACK, 1.0) for p in probs]
@@ -144,29 +165,52 @@ def _cells_by_column(df: DataFrame, cols: Sequence[str], sketch: list[Row]) -> D
     return counted.withColumns({"n": n, "brackets": brackets})
 
 
-def _pick(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Interpolated value at every wanted rank."""
+def _pick(cells: DataFrame, keys: list[str], largest: int | None) -> DataFrame:
+    """Interpolated value at every wanted rank; `largest` is the largest group, if known."""
+    low, high, at = F.col("b.low"), F.col("b.high"), F.col("at")
+    inside = at >= low
+    width = F.when(high > low, F.least(F.floor((at - low) / (high - low) * WIDTHS), F.lit(WIDTHS - 1))).otherwise(0)
     # seen from one bracket, all cells below it are one: their count is all that matters
     counted = (
         cells.select(*keys, "n", "rows", "at", F.explode("brackets").alias("b"))
-        .filter(F.col("at") <= F.col("b.high"))
+        .filter(at <= high)
         .groupBy(
             *keys,
             "n",
             F.col("b.prob").alias("prob"),
-            F.when(F.col("at") >= F.col("b.low"), F.col("at")).alias("slot"),
+            F.when(inside, width).otherwise(-1).cast("int").alias("width"),
+            F.when(inside, at).alias("slot"),
         )
         .agg(F.sum("rows").alias("rows"))
     )
-    upto = Window.partitionBy(*keys, "prob").orderBy(F.col("slot").asc_nulls_first())
     position = (F.col("n") - 1) * F.col("prob")
-    running = counted.withColumn("upto", F.sum("rows").over(upto))
+    start, end = F.floor(position), F.ceil(position)
+    missed = F.raise_error(F.lit("quantile bracket missed its rank"))
+    if largest is None or largest > REFINE_ABOVE:
+        order = Window.partitionBy(*keys, "prob").orderBy("width")
+        group = Window.partitionBy(*keys, "prob")
+        widths = counted.groupBy(*keys, "n", "prob", "width").agg(F.sum("rows").alias("rows"))
+        widths = widths.withColumn("upto", F.sum("rows").over(order)).withColumns(
+            {
+                "before": F.col("upto") - F.col("rows"),
+                "below": F.coalesce(F.max(F.when(F.col("width") < 0, F.col("upto"))).over(group), F.lit(0)),
+                "most": F.max("upto").over(group),
+            }
+        )
+        holds = ((F.col("before") <= start) & (F.col("upto") > start)) | ((F.col("before") <= end) & (F.col("upto") > end))
+        lost = (F.col("below") > start) | (F.col("most") <= end)
+        wanted = widths.filter(F.when(lost, missed.cast("boolean")).otherwise(holds))
+        inner = counted.join(wanted.select(*keys, "prob", "width", "before"), [*keys, "prob", "width"])
+        ordered = Window.partitionBy(*keys, "prob", "width").orderBy("slot")
+        running = inner.withColumn("upto", F.col("before") + F.sum("rows").over(ordered))
+    else:
+        ordered = Window.partitionBy(*keys, "prob").orderBy(F.col("slot").asc_nulls_first())
+        running = counted.withColumn("upto", F.sum("rows").over(ordered))
     picked = running.groupBy(*keys, "prob", "n").agg(
-        F.min(F.when(F.col("upto") > F.floor(position), F.col("slot"))).alias("lower"),
-        F.min(F.when(F.col("upto") > F.ceil(position), F.col("slot"))).alias("upper"),
+        F.min(F.when(F.col("upto") > start, F.col("slot"))).alias("lower"),
+        F.min(F.when(F.col("upto") > end, F.col("slot"))).alias("upper"),
         F.coalesce(F.max(F.when(F.col("slot").isNull(), F.col("upto"))), F.lit(0)).alias("below"),
     )
-    missed = (F.col("below") > F.floor(position)) | F.col("upper").isNull()
-    exact = F.col("lower") + (F.col("upper") - F.col("lower")) * (position - F.floor(position))
-    checked = F.when(missed, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-    return picked.select(*keys, "prob", "n", checked.otherwise(exact).alias("value"))
+    lost = (F.col("below") > start) | F.col("upper").isNull()
+    exact = F.col("lower") + (F.col("upper") - F.col("lower")) * (position - start)
+    return picked.select(*keys, "prob", "n", F.when(lost, missed.cast("double")).otherwise(exact).alias("value"))

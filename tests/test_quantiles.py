@@ -35,9 +35,7 @@ def skewed(spark, n=60_000):
 @pytest.fixture
 def brackets_only(monkeypatch):
     """Make small test tables take the path of large ones."""
-    monkeypatch.setattr(quantiles, "WHOLE_BELOW", 100)
-    monkeypatch.setattr(quantiles, "ACCURACY", 500)
-    monkeypatch.setattr(quantiles, "SLACK", 3 / 500)
+    monkeypatch.setattr(quantiles, "WHOLE_BELOW", 1_500)
 
 
 def test_small_table(spark):
@@ -59,6 +57,24 @@ def test_brackets_give_the_same_values(spark, brackets_only):
     check(skewed(spark), ["g"])
 
 
+def test_widths_give_the_same_values(spark, brackets_only, monkeypatch):
+    monkeypatch.setattr(quantiles, "REFINE_ABOVE", 0)
+    check(skewed(spark))
+    check(skewed(spark), ["g"])
+    tiny = spark.createDataFrame([(x,) for x in (1.0, 1.0, 2.0, 50.0, None)], "v double")
+    check(tiny)
+
+
+def test_a_missed_rank_fails(spark):
+    cells = spark.createDataFrame(
+        [("v", None, 1, 90, 1.0, 100, [(0.5, 5.0, 9.0)]), ("v", 6.0, 0, 10, 6.0, 100, [(0.5, 5.0, 9.0)])],
+        "column string, slot double, passed int, rows bigint, at double, n bigint, brackets " + quantiles.BRACKETS,
+    )
+    for largest in (100, None):
+        with pytest.raises(Exception, match="missed its rank"):
+            quantiles._pick(cells, ["column"], largest).collect()
+
+
 def test_bracket_holds_a_small_share(spark, brackets_only):
     df = spark.range(100_000).select(F.col("id").cast("double").alias("v"))
     values = quantiles.long_values(df, ["v"])
@@ -68,13 +84,16 @@ def test_bracket_holds_a_small_share(spark, brackets_only):
 
 
 def test_large_sketch_table_joins_without_broadcast(spark, monkeypatch):
-    from millrace.operators import sizing
-
-    monkeypatch.setattr(sizing.broadcast_if_small, "__defaults__", (3,))
-    df = spark.range(5_000).select((F.col("id") % 50).alias("g"), F.col("id").cast("double").alias("v"))
+    monkeypatch.setattr(quantiles, "SKETCH_ROWS", 3)
+    monkeypatch.setattr(quantiles, "WHOLE_BELOW", 1_500)
+    df = spark.range(20_000).select((F.col("id") % 10).alias("g"), F.col("id").cast("double").alias("v"))
     check(df, ["g"])
 
 
+def test_many_small_groups(spark):
+    check(spark.range(5_000).select((F.col("id") % 500).alias("g"), (F.pmod(F.xxhash64("id"), F.lit(997)) / 7.0).alias("v")), ["g"])
+
+
 def test_several_columns_and_null_keys(spark):
     df = spark.createDataFrame([("a", 1.0, 5.0), ("a", 3.0, None), (None, 9.0, 9.0)], "g string, x double, y double")
     got = {(r.g, r.column): r.value for r in quantiles.exact_quantiles(df, ["x", "y"], [0.5], ["g"]).collect()}
