@@ -162,6 +162,9 @@ def score_isolation_forest(
 # --- one-class machine -----------------------------------------------------
 
 
+TOLERANCE = 1e-2  # stop when the squared length is within this share of the best
+
+
 @dataclass
 class OneClassMachine:
     """Approximate one-class support machine on random cosine features."""
@@ -178,27 +181,52 @@ class OneClassMachine:
 
         def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             for batch in batches:
-                yield pd.Series(scale * np.cos(batch.to_numpy(float) @ omega + shift) @ weights)
+                yield pd.Series((scale * np.cos(batch.to_numpy(float) @ omega + shift)) @ weights)
 
         udf = F.pandas_udf(rate, T.DoubleType())
         return df.withColumn(out, udf(F.struct(*[F.col(c).cast("double") for c in self.cols])))
 
 
-def _mean_features(df: DataFrame, cols: list[str], omega: np.ndarray, shift: np.ndarray) -> np.ndarray:
-    """Mean of phi over the rows: sums per task, merged by feature, at most one number per feature back."""
+def _mean_features(
+    df: DataFrame, machine: OneClassMachine, below: float = math.inf
+) -> np.ndarray:
+    """Mean of phi over the rows whose margin is at most `below`.
+
+    Sums are taken per task and merged by feature; one number per feature comes back.
+    """
+    omega, shift, weights = machine.omega, machine.shift, machine.weights
     scale = math.sqrt(2.0 / len(shift))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(len(shift)), 0
         for batch in batches:
-            total += np.cos(batch.to_numpy(float) @ omega + shift).sum(axis=0)
-            n += len(batch)
+            phi = scale * np.cos(batch.to_numpy(float) @ omega + shift)
+            if below < math.inf:
+                phi = phi[phi @ weights <= below]
+            total += phi.sum(axis=0)
+            n += len(phi)
         if n:
-            yield pd.DataFrame({"i": np.arange(len(shift), dtype="int32"), "s": scale * total, "n": n})
+            yield pd.DataFrame({"i": np.arange(len(shift), dtype="int32"), "s": total, "n": n})
 
-    sums = df.select(*[F.col(c).cast("double") for c in cols]).mapInPandas(partial, "i int, s double, n long")
+    sums = df.select(*machine.cols).mapInPandas(partial, "i int, s double, n long")
     rows = sums.groupBy("i").agg((F.sum("s") / F.sum("n")).alias("m")).orderBy("i").collect()
-    return np.array([r["m"] for r in rows])
+    return np.array([r["m"] for r in rows]) if rows else weights
+
+
+def shortest_mix(atoms: np.ndarray, rounds: int = 5_000) -> np.ndarray:
+    """Shortest weighted average of a few vectors, moving weight from the worst to the best."""
+    gram = atoms @ atoms.T
+    share = np.full(len(atoms), 1.0 / len(atoms))
+    for _ in range(rounds):
+        slope = gram @ share
+        best, worst = int(np.argmin(slope)), int(np.argmax(np.where(share > 0, slope, -np.inf)))
+        bend = gram[best, best] + gram[worst, worst] - 2 * gram[best, worst]
+        if slope[worst] - slope[best] < 1e-12 or bend <= 0:
+            break
+        moved = min(share[worst], (slope[worst] - slope[best]) / bend)
+        share[best] += moved
+        share[worst] -= moved
+    return share @ atoms
 
 
 def one_class_machine(
@@ -207,8 +235,8 @@ def one_class_machine(
     """Fit on scaled columns with an RBF kernel of width 1 / (d * variance).
 
     The dual asks for the shortest average of phi in which no row weighs more than
-    1 / (nu n). Each step finds the nu share of rows with the lowest margin, moves
-    towards their mean by the best step length, and stops when that gains nothing.
+    1 / (nu n). Each step finds the nu share of rows with the lowest margin, adds their
+    mean to the averages found so far, and takes the shortest mix of all of them.
     A step reads the table twice and returns one number and one short vector, so `df`
     should be a stored table rather than a long plan.
     """
@@ -220,17 +248,17 @@ def one_class_machine(
     omega = rng.normal(0.0, math.sqrt(2.0 / (len(cols) * variance)), (len(cols), features))
     shift = rng.uniform(0.0, 2.0 * math.pi, features)
 
-    machine = OneClassMachine(cols, omega, shift, _mean_features(table, cols, omega, shift))
+    machine = OneClassMachine(cols, omega, shift, np.zeros(features))
+    machine.weights = _mean_features(table, machine)
+    atoms = machine.weights[None, :]
     for _ in range(steps):
-        scored = machine.margin(table)
-        rho = scored.agg(F.percentile_approx("score", nu, 2_000)).first()[0]
-        target = _mean_features(scored.filter(F.col("score") <= rho), cols, omega, shift)
-        gap = machine.weights - target
-        gain = float(machine.weights @ gap)
-        length = float(gap @ gap)
-        if gain <= 1e-6 or length == 0.0:
+        rho = machine.margin(table).agg(F.percentile_approx("score", nu, 2_000)).first()[0]
+        lowest = _mean_features(table, machine, rho)
+        length = float(machine.weights @ machine.weights)
+        if length - float(machine.weights @ lowest) <= TOLERANCE * length:
             break
-        machine.weights = machine.weights - min(gain / length, 1.0) * gap
+        atoms = np.vstack([atoms, lowest])
+        machine.weights = shortest_mix(atoms)
     return machine
 
 

@@ -65,6 +65,20 @@ def _(t):
     return _round(out, ["precision", "recall", "f1", "auc"])
 
 
+@query("an03_compare_detectors")
+def _(t):
+    rows = scaled_readings(t)
+    found = {
+        "isolation forest": anomaly.score_isolation_forest(rows, ["udi"], SENSORS),
+        "one-class machine": anomaly.score_one_class_machine(rows, SENSORS),
+    }
+    return metrics.misclassification_cost(
+        metrics.compare_models(
+            {name: anomaly.evaluate_anomaly(df, "failure", "pred", "score") for name, df in found.items()}
+        )
+    )
+
+
 _LEVELLED = """q as (select quantile_cont(score, 0.1) as q10, quantile_cont(score, 0.25) as q25 from scored),
 levelled as (select udi, failure, score, case when score <= q10 then 'Critical' when score <= q25 then 'Caution'
   else 'Normal' end as level from scored, q)"""
