@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import language_id, phrases, pieces, simhash
+from millrace.llm import kneser_ney, language_id, long_matches, phrases, pieces, simhash
 from millrace.llm.registry import query
 from millrace.session import Tables
 
@@ -35,3 +35,13 @@ def op8_simhash(t: Tables):
 @query("op9_document_fingerprints")
 def op9_document_fingerprints(t: Tables):
     return phrases.fingerprint_documents(t.documents.select("doc_id", "text"))
+
+
+@query("op10_quality_model")
+def op10_quality_model(t: Tables):
+    return kneser_ney.classify(t.documents, t.labels)
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(t: Tables):
+    return long_matches.without_repeats(t.documents.select("doc_id", "text"))

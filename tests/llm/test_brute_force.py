@@ -90,3 +90,32 @@ def test_pieces_round_trip(spark, docs):
     got = rows(spark, "op6_sentencepiece")
     assert len(got) == len(docs)
     assert all(r["round_trip"] and r["n_pieces"] == len(r["ids"]) for r in got.values())
+
+
+def plain_removal(docs):
+    """(removed, spans, digest of the rest) of each document, all 50-byte strings compared."""
+    first = {}
+    for d in docs:
+        raw = (d["text"] or "").encode()
+        for i in range(len(raw) - 49):
+            first.setdefault(raw[i : i + 50], d["doc_id"])
+    out = {}
+    for d in docs:
+        raw = (d["text"] or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - 49):
+            if first[raw[i : i + 50]] < d["doc_id"]:
+                gone[i : i + 50] = b"\1" * 50
+        rest = bytes(c for c, g in zip(raw, gone) if not g)
+        out[d["doc_id"]] = (sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(rest).hexdigest())
+    return out
+
+
+def test_long_matches(spark, docs):
+    got = rows(spark, "op3_suffix_dedup")
+    want = plain_removal(docs)
+    assert len(got) == len(docs) and any(w[0] for w in want.values())
+    for d in docs:
+        r = got[d["doc_id"]]
+        assert r["n_bytes"] == len(d["text"].encode())
+        assert (r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[d["doc_id"]]
