@@ -166,16 +166,18 @@ def decoded(ids: Column, model: str = MODEL) -> Column:
     return decode(ids)
 
 
-def encode_documents(docs: DataFrame, *, model: str = MODEL) -> DataFrame:
-    """doc_id, ids, n_pieces, round_trip: one row per input row.
+def encode_documents(docs: DataFrame, *, model: str = MODEL, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The `keep` columns, ids, n_pieces and round_trip: one row per input row.
 
     The ids maximise the sum of the model's piece scores. round_trip tells whether
     decoding the ids gives the text back, byte for byte; it fails only for a text that holds
     the word mark itself, which decodes to a blank. Null texts count as empty and have no ids.
-    Repeated rows are encoded each for itself.
+    Repeated rows are encoded each for itself; an empty table gives no rows.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("body")).withColumn("ids", encoded(F.col("body"), model))
+    body = F.coalesce(docs["text"], F.lit(""))
+    row = F.struct(*[docs[c] for c in keep]).alias("row")
+    rows = docs.select(row, body.alias("body")).withColumn("ids", encoded(F.col("body"), model))
     return rows.select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
+        "row.*", "ids", F.size("ids").cast("long").alias("n_pieces"),
         (decoded(F.col("ids"), model) == F.col("body")).alias("round_trip"),
     )
