@@ -96,6 +96,10 @@ def simplex_search(f, start: np.ndarray, steps: int = 400, tol: float = 1e-8) ->
 def fit(values: np.ndarray, p: int, d: int, q: int) -> dict:
     """Best ARIMA(p, d, q); a constant only without differencing."""
     w = np.diff(values, d) if d else np.asarray(values, float)
+    if len(w) < p + q + 2:
+        raise np.linalg.LinAlgError("too few values for this order")
+    if np.ptp(w) == 0:
+        raise np.linalg.LinAlgError("no variation")
     scale = float(np.std(w)) or 1.0
     w = w / scale
 
@@ -130,17 +134,25 @@ def forecast(values: np.ndarray, d: int, model: dict, steps: int) -> tuple[np.nd
     cross = gamma[np.arange(n, n + steps)[:, None] - np.arange(n)[None, :]]
     mean = cross @ np.linalg.solve(_toeplitz(gamma[:n]), w) + model["mean"]
     psi = psi_weights(model["ar"], model["ma"], steps)
-    if d:
-        mean = values[-1] + np.cumsum(mean)
+    for level in range(d - 1, -1, -1):  # sum up once per difference taken
+        mean = np.diff(values, level)[-1] + np.cumsum(mean)
         psi = np.cumsum(psi)
     return mean, np.sqrt(model["sigma2"] * np.cumsum(psi**2))
 
 
-def unit_root(values: np.ndarray) -> tuple[float, int, int]:
-    """(t statistic, lags, rows used) of the unit-root regression with a constant, lags by AIC."""
+def unit_root(values: np.ndarray, max_lags: int | None = None) -> tuple[float, int, int]:
+    """(t statistic, lags, rows used) of the unit-root regression with a constant, lags by AIC.
+
+    Raises LinAlgError where there is no such statistic: fewer than four values, or no variation.
+    """
     y = np.asarray(values, float)
     n = len(y)
+    if n < 4:
+        raise np.linalg.LinAlgError("fewer than 4 values")
+    if np.ptp(y) == 0 or np.ptp(np.diff(y)) == 0:
+        raise np.linalg.LinAlgError("no variation")
     most = max(min(int(np.ceil(12 * (n / 100) ** 0.25)), n // 2 - 2), 0)
+    most = most if max_lags is None else min(most, max_lags)
     dy = np.diff(y)
 
     def regress(lags: int, skip: int) -> tuple[float, float, int]:
@@ -156,4 +168,6 @@ def unit_root(values: np.ndarray) -> tuple[float, int, int]:
 
     best = min(range(most + 1), key=lambda lags: regress(lags, most)[1])
     tau, _, used = regress(best, best)
+    if not np.isfinite(tau):
+        raise np.linalg.LinAlgError("no residual variation")
     return float(tau), best, used

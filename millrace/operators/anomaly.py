@@ -36,23 +36,29 @@ def expected_path(n: np.ndarray | float) -> np.ndarray:
 def tree_samples(df: DataFrame, ids: Sequence[str], cols: Sequence[str], trees: int, seed: int) -> DataFrame:
     """(tree, draw, cols...): about 300 rows per tree, drawn by a hash of the row key.
 
-    A large table gives each drawn row to one tree; a small one shares rows between
-    trees. Either way about `trees * 300` rows are kept, whatever the table size.
+    Every row joins every tree with the same chance, 300 / rows, at any table size. The
+    trees a row joins are found by geometric steps from one to the next, so a row of a
+    large table mostly costs one hash. `ids` must name a row: rows that share one are
+    drawn together.
     """
-    n = df.count()
-    wanted = trees * 300
-    copies = max(1, min(trees, math.ceil(wanted / max(n, 1))))
-    share = min(1.0, wanted / max(n * copies, 1))
-    draw = F.pmod(F.xxhash64(F.lit(seed), *ids), F.lit(1 << 40)) / float(1 << 40)
-    place = F.pmod(F.xxhash64(F.lit(seed + 1), *ids), F.lit(trees))
-    # different rows step through the trees at different strides
-    stride = 1 + F.pmod(F.xxhash64(F.lit(seed + 2), *ids), F.lit(max(trees // copies, 1)))
-    drawn = df.select(*ids, *cols).filter(draw < share)
-    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy")
-    spread = drawn.select(*ids, *cols, place.alias("place"), stride.alias("stride"), copy)
-    return spread.select(
-        F.pmod(F.col("place") + F.col("copy") * F.col("stride"), F.lit(trees)).cast("int").alias("tree"),
-        F.xxhash64(F.lit(seed + 3), "copy", *ids).alias("draw"),
+    chance = 300 / max(df.count(), 300)
+
+    def step(i: Column) -> Column:
+        if chance >= 1:
+            return F.lit(1).cast("long")
+        u = (F.pmod(F.xxhash64(F.lit(seed), i, *ids), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+        return F.floor(F.log(u) / F.lit(math.log1p(-chance))) + 1
+
+    def onwards(state: Column, i: Column) -> Column:
+        at = state["at"] + step(i)
+        return F.struct(at.alias("at"), F.when(at < trees, F.concat(state["trees"], F.array(at))).otherwise(state["trees"]).alias("trees"))
+
+    some = df.select(*ids, *cols).filter(step(F.lit(0)) <= trees)
+    start = F.struct(F.lit(-1).cast("long").alias("at"), F.array().cast("array<bigint>").alias("trees"))
+    joined = F.aggregate(F.sequence(F.lit(0), F.lit(trees - 1)), start, onwards)["trees"]
+    return some.select(*ids, *cols, F.explode(joined).alias("tree")).select(
+        F.col("tree").cast("int"),
+        F.xxhash64(F.lit(seed + 3), "tree", *ids).alias("draw"),
         *[F.col(c).cast("double").alias(c) for c in cols],
     )
 

@@ -35,9 +35,15 @@ def rule_flags(df: DataFrame, rules: Mapping[str, Column], any_name: str = "any_
     return flagged.withColumn(any_name, hit)
 
 
-def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
-    """Feature vector of the columns; rows with a missing value are left out."""
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
+def assemble(df: DataFrame, cols: Sequence[str], out: str = "features", invalid: str = "error") -> DataFrame:
+    """Feature vector of the columns, one for every row.
+
+    A missing value fails the query; with `invalid="keep"` it becomes NaN in the vector.
+    Rows are only ever left out by `drop_missing` of the cleaning operators.
+    """
+    if invalid not in ("error", "keep"):
+        raise ValueError("invalid is 'error' or 'keep'")
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid=invalid).transform(df)
 
 
 # --- scaling ---------------------------------------------------------------
@@ -128,8 +134,8 @@ class Preparation:
         start = 1 if self.drop_first else 0
         self.names = [*self.numeric, *(f"{c}_{v}" for c, vs in self.levels.items() for v in vs[start:])]
 
-    def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
-        """Add the feature vector; other columns stay."""
+    def transform(self, df: DataFrame, out: str = "features", invalid: str = "error") -> DataFrame:
+        """Add the feature vector; other columns and all rows stay (`invalid` as in `assemble`)."""
         start = 1 if self.drop_first else 0
         inputs = {
             f"__n_{c}": (F.col(c) - self.means[c]) / (self.deviations[c] or 1.0) for c in self.numeric
@@ -140,7 +146,7 @@ class Preparation:
             for i, level in enumerate(vs[start:])
         }
         wide = df.withColumns(inputs)
-        return assemble(wide, list(inputs), out).drop(*inputs)
+        return assemble(wide, list(inputs), out, invalid).drop(*inputs)
 
 
 def fit_preparation(
@@ -185,13 +191,16 @@ def random_split(df: DataFrame, hashed: Column, train_share: float) -> DataFrame
 
 
 def stratified_split(df: DataFrame, label: str, hashed: Column, train_share: float) -> DataFrame:
-    """The same, with the cut placed per class so each class keeps its share in both parts."""
+    """The same, with the cut placed per class so each class keeps its share in both parts.
+
+    Rows without a label stay and have no part.
+    """
     keyed = df.withColumn("__hash", hashed)
     cuts = exact_quantiles(keyed, ["__hash"], [train_share], [label]).select(
         label, F.col("value").alias("__cut")
     )
-    marked = keyed.join(broadcast_if_small(cuts), label)
-    part = F.when(F.col("__hash") < F.col("__cut"), "train").otherwise("test")
+    marked = keyed.join(broadcast_if_small(cuts), label, "left")
+    part = F.when(F.col("__hash") < F.col("__cut"), "train").when(F.col("__cut").isNotNull(), "test")
     return marked.withColumn("part", part).drop("__hash", "__cut")
 
 
@@ -205,5 +214,5 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Rows with their balanced class weight."""
-    return df.join(broadcast_if_small(class_weights(df, label)), label)
+    """Rows with their balanced class weight; rows without a label stay and have no weight."""
+    return df.join(broadcast_if_small(class_weights(df, label)), label, "left")

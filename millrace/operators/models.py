@@ -6,15 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import as_flag
 from millrace.operators.features import Preparation, assemble
+from millrace.operators.metrics import roc_auc
 from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.sizing import broadcast_if_small
 
@@ -48,7 +47,7 @@ def linear_regression(train: DataFrame, y: str, xs: Sequence[str]) -> LinearFit:
 def ridge_regression(train: DataFrame, y: str, xs: Sequence[str], alpha: float) -> LinearFit:
     """min ||y - Xw||^2 + alpha ||w||^2 with a free intercept."""
     s = train.dropna(subset=[y, *xs]).agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(y).alias("std")).first()
-    rows = assemble(train.dropna(subset=[y]), xs).select("features", F.col(y).cast("double").alias("label"))
+    rows = assemble(train.dropna(subset=[y, *xs]), xs).select("features", F.col(y).cast("double").alias("label"))
     # MLlib divides the penalty by the deviation of the label
     penalty = alpha * (s["std"] or 1.0) / s["n"] if alpha else 0.0
     model = LinearRegression(
@@ -123,30 +122,28 @@ def strongest_features(importance: DataFrame, k: int = 10) -> DataFrame:
 
 
 def stratified_folds(df: DataFrame, label: str, hashed: Column, k: int) -> DataFrame:
-    """Column `fold` in 0..k-1 with equal class shares in every fold."""
+    """Column `fold` in 0..k-1 with equal class shares in every fold; null where the label is null."""
     keyed = df.withColumn("__hash", hashed)
     cuts = exact_quantiles(keyed, ["__hash"], [i / k for i in range(1, k)], [label])
     cuts = cuts.groupBy(label).agg(F.collect_list("value").alias("__cuts"))  # k - 1 numbers per class
-    marked = keyed.join(broadcast_if_small(cuts), label)
+    marked = keyed.join(broadcast_if_small(cuts), label, "left")
     passed = F.size(F.filter("__cuts", lambda x: x <= F.col("__hash")))
-    return marked.withColumn("fold", passed.cast("int")).drop("__hash", "__cuts")
+    return marked.withColumn("fold", F.when(F.col("__cuts").isNotNull(), passed.cast("int"))).drop("__hash", "__cuts")
 
 
 def cross_validate(folded: DataFrame, y: str, k: int, cs: Sequence[float], features: str = "features") -> DataFrame:
-    """(c, auc): mean area under the curve over the folds for each inverse penalty."""
-    total = folded.count()
-    share = (k - 1) / k
-    model = LogisticRegression(
-        featuresCol=features, labelCol=y, elasticNetParam=0.0, standardization=False, maxIter=100
-    )
-    grid = ParamGridBuilder().addGrid(model.regParam, [1.0 / (c * total * share) for c in cs]).build()
-    search = CrossValidator(
-        estimator=model,
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(labelCol=y, metricName="areaUnderROC"),
-        numFolds=k,
-        foldCol="fold",
-        parallelism=2,
-    ).fit(folded)
-    rows = [(float(c), float(auc)) for c, auc in zip(cs, search.avgMetrics)]
+    """(c, auc): mean exact area under the curve over the folds for each inverse penalty.
+
+    Folds are fitted with the settings of the final model; rows without a label take no part.
+    """
+    known = folded.filter(F.col(y).isNotNull())
+    rows = []
+    for c in cs:
+        areas = []
+        for i in range(k):
+            model = logistic_regression(known.filter(F.col("fold") != i), y, features, float(c))
+            scored = predict_proba(model, known.filter(F.col("fold") == i))
+            areas.append(roc_auc(scored, y, "p").first()["auc"])
+        measured = [a for a in areas if a is not None]
+        rows.append((float(c), sum(measured) / len(measured) if measured else None))
     return folded.sparkSession.createDataFrame(rows, "c double, auc double").orderBy(F.desc("auc"), "c")

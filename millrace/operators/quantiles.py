@@ -92,12 +92,18 @@ def quantiles_wide(
 
 
 def _small_groups(values: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Groups that are all known to be small: one shuffle and one bounded buffer per group."""
-    found = values.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile("value", F.array(*map(F.lit, probs))).alias("value")
+    """Groups that are all known to be small: one shuffle and one sorted, bounded array per group.
+
+    Interpolates as `_pick` does, so both ways give the same digits.
+    """
+    ranked = values.groupBy(*keys).agg(F.sort_array(F.collect_list("value")).alias("ranked"))
+    wanted = ranked.select(
+        *keys, "ranked", F.size("ranked").cast("long").alias("n"), F.explode(F.array(*map(F.lit, probs))).alias("prob")
     )
-    pairs = F.arrays_zip(F.array(*map(F.lit, probs)).alias("prob"), "value")
-    return found.select(*keys, "n", F.explode(pairs).alias("p")).select(*keys, "p.prob", "n", "p.value")
+    position = (F.col("n") - 1) * F.col("prob")
+    start = F.floor(position)
+    lower, upper = (F.get("ranked", x.cast("int")) for x in (start, F.ceil(position)))
+    return wanted.select(*keys, "prob", "n", (lower + (upper - lower) * (position - start)).alias("value"))
 
 
 def _sketch(probs: list[float]) -> list[Column]:

@@ -9,19 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.numeric import money_sum
 
-
-def monthly_series(df: DataFrame, key: str, date: str, col: str) -> DataFrame:
+def monthly_series(df: DataFrame, key: str, date: str, total: Column | str) -> DataFrame:
     """(key, month, value): monthly totals labelled by month end.
 
-    Months without records between the first and the last of a key get 0.
+    `total` is a column to add up, or an aggregate such as `money_sum(col)`, whose decimal
+    sum does not depend on the order of the rows but keeps two decimals only. Months
+    without records between the first and the last of a key get 0.
     """
+    measure = F.sum(F.col(total).cast("double")) if isinstance(total, str) else total.cast("double")
     totals = (
-        df.select(key, F.trunc(date, "month").alias("start"), col)
+        df.withColumn("start", F.trunc(date, "month"))
         .dropna(subset=[key, "start"])
         .groupBy(key, "start")
-        .agg(F.coalesce(money_sum(col), F.lit(0.0)).alias("total"))
+        .agg(F.coalesce(measure, F.lit(0.0)).alias("total"))
     )
     following = F.lead("start").over(Window.partitionBy(key).orderBy("start"))
     # each month also writes the empty months up to the next one

@@ -5,6 +5,7 @@ from __future__ import annotations
 from millrace.plans import (  # noqa: F401
     anomaly_plans,
     cleaning_plans,
+    closed_forms,
     feature_plans,
     model_plans,
     profiling_plans,

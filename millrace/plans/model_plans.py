@@ -50,8 +50,8 @@ def _(t):
 
 def _split_readings(t, drop_first=False, spread=False):
     """Readings with a stratified split and features learned from the training part, written once."""
-    rows = materialize(labelled_readings(t).select("udi", "variant", *SENSORS, "failure"))
-    marked = materialize(features.stratified_split(rows, "failure", features.text_hash("udi"), 0.8))
+    rows = labelled_readings(t).select("udi", "variant", *SENSORS, "failure")
+    marked = features.stratified_split(rows, "failure", features.text_hash("udi"), 0.8)
     train = marked.filter("part = 'train'")
     prep = features.fit_preparation(train, SENSORS, ["variant"], drop_first)
     return prep, materialize(prep.transform(marked).select("udi", "failure", "part", "features"), spread)

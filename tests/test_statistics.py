@@ -160,7 +160,8 @@ def test_series_jobs_over_several_keys(spark):
     assert tests["flat"].stationary and not tests["walk"].stationary
     grid = arima.arima_grid(both, "k").collect()
     assert len(grid) == 18 and {r.d for r in grid if r.k == "walk"} == {1}
-    orders = arima.best_order(spark.createDataFrame(grid), "k")
+    schema = "k string, p int, d int, q int, aic double, reason string"
+    orders = arima.best_order(spark.createDataFrame(grid, schema), "k")
     ahead = arima.arima_forecast(both, "k", orders, 6).collect()
     assert len(ahead) == 12 and all(r.lower < r["mean"] < r.upper for r in ahead)
     assert min(r.month for r in ahead) == dt.date(2008, 1, 31)

@@ -38,7 +38,7 @@ def test_daily_counts_merge_over_batches(spark, tmp_path):
 def test_append_mode_emits_closed_days_only(spark, tmp_path):
     folder = str(tmp_path / "events")
     two_files(spark, folder)
-    out = run_available(daily_counts_stream(file_stream(spark, folder), "kind", "ts"))
+    out = run_available(daily_counts_stream(file_stream(spark, folder), "kind", "ts", lateness="1 day"))
     assert {r.day for r in out.collect()} == {dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
 
 
