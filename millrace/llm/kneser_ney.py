@@ -65,8 +65,8 @@ def _runs(table: pa.Table, chars: int = 1 << 21) -> Iterator[tuple[int, list[byt
 
 
 def _distinct(table: pa.Table) -> np.ndarray:
-    found = [np.unique(pd.unique(_grams(part)[0])) for _, part in _runs(table)]
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    found = [pd.unique(_grams(part)[0]) for _, part in _runs(table)]
+    return np.sort(pd.unique(np.concatenate(found))) if found else np.zeros(0, np.int64)
 
 
 def _shard(grams: np.ndarray, shards: int) -> np.ndarray:
@@ -176,7 +176,9 @@ def contexts(counts: DataFrame, shards: int) -> DataFrame:
     below = counts
     for k in range(ORDER - 1, 0, -1):
         mask = F.lit((1 << 8 * k) - 1).cast("long")
-        below = below.select(F.col("g").bitwiseAND(mask).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("c"))
+        # Counting through `c` keeps the column, so that every user of a level reads one exchange.
+        one = F.least(F.col("c"), F.lit(1))
+        below = below.select(F.col("g").bitwiseAND(mask).alias("g"), one.alias("c")).groupBy("g").agg(F.sum("c").alias("c"))
         levels.append(below.select(F.lit(k).alias("k"), "g", "c"))
     every = levels[0]
     for other in levels[1:]:
