@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numeric import clamp
 from millrace.functions.text import plain_number, scrub, unparseable
-from millrace.operators.quantiles import long_values, quantile_values, quantiles_wide
+from millrace.operators.quantiles import quantile_values
 from millrace.operators.sizing import unpivot_row
 from millrace.sources.schema import string_columns
 
@@ -102,13 +102,29 @@ def clip_report(df: DataFrame, col: str, low: float = 0.01, high: float = 0.99)
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """(column, q1, q3, low, high, outliers) with fences k interquartile ranges away."""
-    fences = quantiles_wide(df, cols, {"q1": 0.25, "q3": 0.75})
-    spread = F.col("q3") - F.col("q1")
-    fences = fences.withColumns({"low": F.col("q1") - k * spread, "high": F.col("q3") + k * spread})
-    # one row per named column, so the broadcast side is bounded by the call
-    joined = long_values(df, cols).join(F.broadcast(fences), "column")
-    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
-    return joined.groupBy("column", "q1", "q3", "low", "high").agg(F.count_if(outside).alias("outliers"))
+    found = quantile_values(df, cols, {"q1": 0.25, "q3": 0.75})
+    fences = {}
+    for c in cols:
+        q1, q3 = found[f"{c}_q1"], found[f"{c}_q3"]
+        if q1 is not None:
+            fences[c] = (q1, q3, q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+
+    def beyond(c: str, low: float, high: float) -> Column:
+        value = F.col(c).cast("double")
+        return F.count_if(~F.isnan(value) & ((value < low) | (value > high))).alias(c)
+
+    if not fences:
+        schema = "column string, q1 double, q3 double, low double, high double, outliers bigint"
+        return df.sparkSession.createDataFrame([], schema)
+    row = df.agg(*[beyond(c, low, high) for c, (_, _, low, high) in fences.items()])
+    names = ("q1", "q3", "low", "high")
+    entries = [
+        F.struct(
+            F.lit(c).alias("column"), *[F.lit(v).alias(n) for n, v in zip(names, limits)], F.col(c).alias("outliers")
+        )
+        for c, limits in fences.items()
+    ]
+    return unpivot_row(row, entries)
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:

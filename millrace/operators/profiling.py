@@ -25,18 +25,29 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str], null_group: str = "drop")
 
 def describe(df: DataFrame, cols: Sequence[str], quartiles: bool = True) -> DataFrame:
     """(column, count, mean, std, min[, q1, median, q3], max) per column."""
-    values = long_values(df, cols)
-    out = values.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    shown = {}
+    for c in cols:
+        value = F.col(c).cast("double")
+        shown[c] = F.when(~F.isnan(value), value)
+    # one aggregate over all columns; the quartiles enter as numbers
+    cuts = quantile_values(df, cols, {"q1": 0.25, "median": 0.5, "q3": 0.75}) if quartiles else {}
+    row = df.agg(
+        *[
+            f(value).alias(f"{name}|{c}")
+            for c, value in shown.items()
+            for name, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+        ]
     )
-    if not quartiles:
-        return out
-    # one row per named column on both sides
-    return out.join(F.broadcast(quantiles_wide(df, cols, {"q1": 0.25, "median": 0.5, "q3": 0.75})), "column")
+    entries = [
+        F.struct(
+            F.lit(c).alias("column"),
+            *[F.col(f"{name}|{c}").alias(name) for name in ("count", "mean", "std", "min")],
+            *[F.lit(cuts[f"{c}_{name}"]).cast("double").alias(name) for name in ("q1", "median", "q3") if quartiles],
+            F.col(f"max|{c}").alias("max"),
+        )
+        for c in cols
+    ]
+    return unpivot_row(row, entries).filter("count > 0")
 
 
 def group_agg(

@@ -7,6 +7,7 @@ from millrace.plans import (  # noqa: F401
     cleaning_plans,
     closed_forms,
     feature_plans,
+    flows,
     model_plans,
     profiling_plans,
     series_plans,
