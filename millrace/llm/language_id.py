@@ -30,7 +30,7 @@ PRIOR_WEIGHT = 10.0
 #: A document whose best language has a smaller posterior is rejected.
 LEAST_POSTERIOR = 0.5
 #: Letters that a text needs.
-LEAST_LETTERS = 3
+LEAST_LETTERS = 1
 #: Bytes a worker looks at in one array.
 CHUNK = 1 << 20
 
@@ -207,7 +207,7 @@ def identify(evidence: DataFrame) -> DataFrame:
 
     `evidence` has text, declared, host, domain, suffix (string, any null) and a struct
     `row` that is carried along. Null or unknown declarations, addresses and hosts are no
-    evidence either way. A text with under LEAST_LETTERS letters gets no language and is rejected,
+    evidence either way. A text with fewer than LEAST_LETTERS letters gets no language and is rejected,
     as is one whose best posterior is under LEAST_POSTERIOR; ties go to the language first in the
     alphabet. If nothing declares a language, every row is rejected. Rows are never
     joined on an id, so repeated rows and ids do not matter.

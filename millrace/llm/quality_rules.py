@@ -44,7 +44,8 @@ RULES = [
     Rule(2, "short_words", lambda: F.col("word_chars") < F.col("n_words") * 3),
     Rule(3, "long_words", lambda: F.col("word_chars") > F.col("n_words") * 12),
     Rule(4, "symbols", lambda: F.col("n_symbols") * 10 > F.col("n_words")),
-    Rule(5, "duplicate_lines", lambda: F.col("n_dup_lines") * 10 > F.col("n_lines") * 3),
+    # A line that occurs twice in a text of three is no sign yet.
+    Rule(5, "duplicate_lines", lambda: (F.col("n_dup_lines") > 2) & (F.col("n_dup_lines") * 10 > F.col("n_lines") * 3)),
     Rule(6, "few_letters", lambda: F.col("n_letters") * 10 < F.col("word_chars") * 6),
     Rule(7, "shouting", lambda: F.col("n_capitals") * 2 > F.col("n_letters")),
     Rule(8, "bullet_lines", lambda: F.col("n_bullet_lines") * 10 > F.col("n_lines") * 9),

@@ -33,7 +33,7 @@ b as (select *, (case when n_words < 50 then 1 else 0 end)
         + (case when word_chars < 3 * n_words then 4 else 0 end)
         + (case when word_chars > 12 * n_words then 8 else 0 end)
         + (case when 10 * n_symbols > n_words then 16 else 0 end)
-        + (case when 10 * n_dup_lines > 3 * n_lines then 32 else 0 end)
+        + (case when n_dup_lines > 2 and 10 * n_dup_lines > 3 * n_lines then 32 else 0 end)
         + (case when 10 * n_letters < 6 * word_chars then 64 else 0 end)
         + (case when 2 * n_capitals > n_letters then 128 else 0 end)
         + (case when 10 * n_bullet_lines > 9 * n_lines then 256 else 0 end)
