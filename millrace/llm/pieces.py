@@ -15,7 +15,9 @@ from collections.abc import Iterator
 from functools import cache
 from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ MARK = "▁"
 #: Where the public vocabulary lies on this machine; a parameter of every function.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words of one worker that are remembered between batches; then it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 #: Below the lowest piece score by this much: the score of a character that needs its bytes.
 UNKNOWN_PENALTY = 10.0
 
@@ -49,7 +51,14 @@ class Pieces:
                 piece = model.id_to_piece(i)
                 self.scores[piece] = (model.get_score(i), i)
                 self.raw[i] = piece.replace(MARK, " ").encode()
-        self.longest = max(map(len, self.scores))
+        # Trie of the pieces: characters to (branches, score or None, id).
+        self.trie: dict = {}
+        for piece in sorted(self.scores, key=len):
+            node = self.trie
+            for c in piece[:-1]:
+                node = node.setdefault(c, ({}, None, -1))[0]
+            below = node.get(piece[-1], ({},))[0]
+            node[piece[-1]] = (below, *self.scores[piece])
         self.unknown = min(s for s, _ in self.scores.values()) - UNKNOWN_PENALTY
         # Characters inside longer pieces; all others always stand alone.
         inside = {c for p in self.scores if len(p) > 1 for c in p}
@@ -63,11 +72,15 @@ class Pieces:
         return self.cut.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def encode_words(self, words: list[str]) -> dict[str, list[int]]:
-        """The ids of distinct words, found in one depth-first walk over their trie."""
+        """The ids of distinct words, found in one depth-first walk over their trie.
+
+        On the stack lie, for every character of the current word, the best score up to it,
+        the piece that ends there, and the pieces that are still open: those whose trie
+        goes on. A word starts from the stack of the prefix it shares with the word before.
+        """
         out = {}
-        best: list[float] = [0.0]
-        back: list[tuple[int, int]] = [(0, -1)]
-        scores, longest, unknown = self.scores, self.longest, self.unknown
+        stack: list[tuple] = [(0.0, 0, -1, ())]  # best score, start and number of the last piece, open pieces
+        trie, scores, unknown = self.trie, self.scores, self.unknown
         before = ""
         for word in sorted(words):
             shared = 0
@@ -75,38 +88,43 @@ class Pieces:
                 if a != b:
                     break
                 shared += 1
-            del best[shared + 1 :], back[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                top, at, piece = None, 0, -1
-                for start in range(max(0, end - longest), end):
-                    found = scores.get(word[start:end])
-                    if found is not None:
-                        score = best[start] + found[0]
-                        if top is None or score > top:
-                            top, at, piece = score, start, found[1]
-                if word[end - 1] not in scores:
-                    score = best[end - 1] + unknown
-                    if top is None or score > top:
-                        top, at, piece = score, end - 1, -1
-                best.append(top)
-                back.append((at, piece))
-            out[word] = self._path(word, back)
+            del stack[shared + 1 :]
+            best, _, _, open_ = stack[-1]
+            for end in range(shared, len(word)):
+                c = word[end]
+                top, at, piece, alive = -1e300, end, -1, []
+                for branches, base, start in open_:
+                    if c in branches:
+                        below, score, number = branches[c]
+                        if score is not None and base + score > top:
+                            top, at, piece = base + score, start, number
+                        if below:
+                            alive.append((below, base, start))
+                if c in trie:
+                    below, score, number = trie[c]
+                    if score is not None and best + score > top:
+                        top, at, piece = best + score, end, number
+                    if below:
+                        alive.append((below, best, end))
+                if best + unknown > top and c not in scores:
+                    top, at, piece = best + unknown, end, -1
+                best, open_ = top, alive
+                stack.append((top, at, piece, alive))
+            ids = []
+            end = len(word)
+            while end:
+                _, start, piece, _ = stack[end]
+                if piece >= 0:
+                    ids.append(piece)
+                else:
+                    text = word[start:end].replace(MARK, " ").encode("utf-8", "surrogatepass")
+                    ids += [self.bytes[b] for b in reversed(text)]
+                end = start
+            ids.reverse()
+            out[word] = ids
             before = word
         return out
 
-    def _path(self, word: str, back: list[tuple[int, int]]) -> list[int]:
-        parts = []
-        end = len(word)
-        while end:
-            at, piece = back[end]
-            if piece >= 0:
-                parts.append((piece,))
-            else:
-                text = word[at:end].replace(MARK, " ").encode("utf-8", "surrogatepass")
-                parts.append(tuple(self.bytes[b] for b in text))
-            end = at
-        return list(chain.from_iterable(reversed(parts)))
-
     def decode(self, ids) -> str:
         """The text of the ids; the blank put in front goes. Bytes that are no UTF-8 become U+FFFD."""
         text = b"".join([self.raw[i] for i in ids]).decode("utf-8", "replace")
@@ -122,46 +140,49 @@ def pieces(path: str) -> Pieces:
 def encoded(text: Column, model: str = MODEL) -> Column:
     """The ids of each text as array<int>; empty for a null or empty text."""
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType(), False))
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = pieces(model)
-        known: dict[str, list[int]] = {}
+    @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vocabulary, known = pieces(model), {}
         for texts in batches:
-            yield pd.Series([ids for part in _parts(texts) for ids in _encode(vocabulary, part, known)], dtype=object)
+            parts = [_lists(vocabulary, part, known) for part in _parts(texts)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return encode(text)
 
 
-def _parts(texts: pd.Series, chars: int = 1 << 21) -> Iterator[list[str]]:
-    """The texts in runs of about so many characters."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t or "")
-        size += len(part[-1])
-        if size >= chars:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def _parts(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
+    """The texts in runs of about so many bytes."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    start, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        size += n
+        if size >= most or i + 1 == len(texts):
+            yield texts.slice(start, i + 1 - start)
+            start, size = i + 1, 0
 
 
-def _encode(vocabulary: Pieces, texts: list[str], known: dict[str, list[int]]) -> Iterator[list[int]]:
-    cut = [vocabulary.words(t) for t in texts]
+def _lists(vocabulary: Pieces, texts: pa.Array, known: dict[str, list[int]]) -> pa.ListArray:
+    """The ids of each text. `known` keeps words between calls, up to REMEMBERED of them."""
+    cut = [vocabulary.words(t or "") for t in texts.to_pylist()]
     if len(known) > REMEMBERED:
         known.clear()
     known.update(vocabulary.encode_words([w for w in set(chain.from_iterable(cut)) if w not in known]))
-    for ws in cut:
-        yield list(chain.from_iterable(map(known.__getitem__, ws)))
+    flat: list[int] = []
+    ends = [0]
+    for words in cut:
+        flat.extend(chain.from_iterable(map(known.__getitem__, words)))
+        ends.append(len(flat))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)))
 
 
 def decoded(ids: Column, model: str = MODEL) -> Column:
     """The text of each array of ids; null for null. Exact inverse of `encoded`."""
 
-    @F.pandas_udf(T.StringType())
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.StringType())
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = pieces(model)
         for rows in batches:
-            yield pd.Series([None if r is None else vocabulary.decode(r.tolist()) for r in rows], dtype=object)
+            yield pa.array([None if r is None else vocabulary.decode(r) for r in rows.to_pylist()], pa.string())
 
     return decode(ids)
 
@@ -174,10 +195,29 @@ def encode_documents(docs: DataFrame, *, model: str = MODEL, keep: tuple[str, ..
     the word mark itself, which decodes to a blank. Null texts count as empty and have no ids.
     Repeated rows are encoded each for itself; an empty table gives no rows.
     """
-    body = F.coalesce(docs["text"], F.lit(""))
-    row = F.struct(*[docs[c] for c in keep]).alias("row")
-    rows = docs.select(row, body.alias("body")).withColumn("ids", encoded(F.col("body"), model))
-    return rows.select(
-        "row.*", "ids", F.size("ids").cast("long").alias("n_pieces"),
-        (decoded(F.col("ids"), model) == F.col("body")).alias("round_trip"),
-    )
+    kept = docs.select(*keep, F.coalesce(docs["text"], F.lit("")).alias("ids")).schema.fields
+    schema = T.StructType([
+        *kept[:-1], T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+        T.StructField("n_pieces", T.LongType()), T.StructField("round_trip", T.BooleanType()),
+    ])
+    names = schema.names
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, known = pieces(model), {}
+        for batch in batches:
+            texts, at = batch.column(batch.num_columns - 1), 0
+            for part in _parts(texts):
+                lists = _lists(vocabulary, part, known)
+                sizes = pc.list_value_length(lists).cast(pa.int64())
+                same = [vocabulary.decode(ids.tolist()) == t for ids, t in zip(_rows(lists), part.to_pylist())]
+                own = batch.slice(at, len(part)).columns[:-1]
+                at += len(part)
+                yield pa.RecordBatch.from_arrays([*own, lists, sizes, pa.array(same, pa.bool_())], names)
+
+    return docs.select(*keep, F.coalesce(docs["text"], F.lit("")).alias("text")).mapInArrow(encode, schema)
+
+
+def _rows(lists: pa.ListArray) -> Iterator[np.ndarray]:
+    flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        yield flat[a:b]
