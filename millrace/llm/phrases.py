@@ -118,7 +118,8 @@ def signatures(texts: list[bytes]) -> list[np.ndarray]:
         starts = np.cumsum(counts[go]) - counts[go]
         names, starts = _phrases(names, starts)
         level += 1
-    every = np.unique(np.concatenate(found))
+    every = np.sort(np.concatenate(found))
+    every = every[np.r_[True, every[1:] != every[:-1]]]
     text = (every >> np.uint64(32)).astype(np.int64)
     low = (every & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     begin = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
@@ -136,9 +137,10 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     if not len(a) and not len(b):
         return 1.0
     both = np.sort(np.concatenate([a, b]))
-    twice = np.flatnonzero(both[1:] == both[:-1])
-    seen = np.unique(both)[:KEPT]
-    return float(np.searchsorted(both[twice], seen[-1], "right")) / len(seen)
+    again = both[1:] == both[:-1]
+    twice = both[1:][again]
+    seen = both[np.r_[True, ~again]][:KEPT]
+    return float(np.searchsorted(twice, seen[-1], "right")) / len(seen)
 
 
 def edited(text: str, following: str) -> str:
