@@ -100,7 +100,12 @@ def additive_forecast(df: DataFrame, date: str, y: str) -> AdditiveForecast:
         F.avg("y").alias("mean"),
         F.stddev_samp("y").alias("std"),
         F.count("y").alias("n"),
+        F.countDistinct("ds").alias("days"),
     ).first()
+    if not s["n"]:
+        raise ValueError("no day with a value to fit on")
+    if s["days"] != s["n"]:
+        raise ValueError("more than one row for a day; aggregate to days first")
     scale = s["scale"] or 1.0
     center, spread = s["mean"] / scale, (s["std"] or scale) / scale
     terms = _terms(s["first"], s["last"])

@@ -41,15 +41,17 @@ def ttest_ind(df: DataFrame, group: str, a: object, b: object, col: str, alpha:
 MAX_GROUPS = 1_000
 
 
-def ttest_pairs(df: DataFrame, group: str, col: str, alpha: float = 0.05) -> DataFrame:
+def ttest_pairs(
+    df: DataFrame, group: str, col: str, alpha: float = 0.05, max_groups: int = MAX_GROUPS
+) -> DataFrame:
     """The same test for every pair of groups. Pairs are of group summaries, never of rows.
 
-    Refuses more than 1,000 groups, whose half million pairs no one reads.
+    Refuses more than `max_groups` groups, as the result has a row for every pair.
     """
     summary = F.array_sort(F.collect_list(F.struct("g", "n", "m", "v")))
     known = _moments(df, group, col)
-    if known.limit(MAX_GROUPS + 1).count() > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups to compare in pairs")
+    if known.limit(max_groups + 1).count() > max_groups:
+        raise ValueError(f"more than {max_groups} groups to compare in pairs")
     groups = known.agg(summary.alias("all"))
     left = groups.select("all", F.posexplode("all").alias("i", "x"))
     pairs = left.select(

@@ -7,16 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_SLICES = 1024
-
-
 def order_cuts(df: DataFrame, order: str) -> list[float]:
-    """Approximate equal-share cut points of a column, read to the driver (at most 1,023 numbers).
+    """Approximate equal-share cut points of a column, read to the driver (two per shuffle partition).
 
     They only spread the work; results do not depend on where they fall.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = min(max(2 * partitions, 16), MAX_SLICES)
+    slices = max(2 * partitions, 16)
     marks = [i / slices for i in range(1, slices)]
     cuts = df.agg(F.percentile_approx(order, marks, 4 * slices).alias("cuts")).first()["cuts"]
     return sorted(set(cuts or []))
@@ -42,8 +39,8 @@ def running_totals(counts: DataFrame, order: str, cols: Sequence[str], cuts: Seq
     """Add `<col>_upto` (rows up to and including this value) and `<col>_all` for each column.
 
     `counts` holds one row per distinct value of `order`. Values are cut into ordered
-    slices; each slice is summed on its own, and the totals of the earlier slices (at
-    most 1,024 rows) are added from a broadcast table.
+    slices; each slice is summed on its own, and the totals of the earlier slices (two
+    per shuffle partition) are added from a broadcast table.
     """
     sliced = counts.withColumn("__slice", slice_of(F.col(order), cuts))
     within = Window.partitionBy("__slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

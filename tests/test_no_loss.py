@@ -147,3 +147,14 @@ def test_late_rows_of_many_files_are_counted(spark, tmp_path):
     out = latest(run_available(daily_counts_stream(stream, "kind", "ts"), "update"), ["kind", "day"], "n")
     got = {r.day.day: r.n for r in out.collect()}
     assert got == {20: 2, 1: 2, 25: 1, 2: 1}
+
+
+def test_daily_forecast_needs_one_row_per_day(spark):
+    from millrace.operators import forecast
+
+    day = dt.date(2024, 1, 1)
+    rows = [(day + dt.timedelta(days=i), float(i % 7)) for i in range(40)]
+    with pytest.raises(ValueError, match="more than one row"):
+        forecast.additive_forecast(spark.createDataFrame(rows + rows[:1], "d date, y double"), "d", "y")
+    with pytest.raises(ValueError, match="no day"):
+        forecast.additive_forecast(spark.createDataFrame([], "d date, y double"), "d", "y")
