@@ -11,13 +11,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.blocks import release, slices
 from millrace.operators.lineage import materialize
+from millrace.operators.sizing import broadcast_if_small
 
 #: Byte trigrams are hashed to so many cells.
 CELLS = 1 << 16
@@ -42,21 +43,13 @@ def _cells(text: bytes) -> np.ndarray:
     return ((code * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64)
 
 
-def _joined(texts: list) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+def _joined(texts: pa.Array) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
     """Runs of texts as one byte string each, with the bounds of every text in it.
 
     Texts are lower-cased; digits and punctuation become blanks, so only words count.
     """
-    part: list[bytes] = []
-    size = 0
-    for t in texts:
-        part.append(_letters(t))
-        size += len(part[-1]) + 2
-        if size >= CHUNK:
-            yield _run(part)
-            part, size = [], 0
-    if part:
-        yield _run(part)
+    for part in slices(texts, CHUNK):
+        yield _run([_letters(t) for t in part.to_pylist()])
 
 
 _BLANKS = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256))
@@ -82,7 +75,7 @@ def _counter(languages: list[str]):
         for batch in batches:
             classes = np.array([number[d] for d in batch.column(0).to_pylist()], np.int64)
             at = 0
-            for text, starts, ends in _joined(batch.column(1).to_pylist()):
+            for text, starts, ends in _joined(batch.column(1)):
                 of = classes[at : at + len(starts)]
                 at += len(starts)
                 cells = _cells(text)
@@ -91,6 +84,7 @@ def _counter(languages: list[str]):
                     np.add.at(inside, starts[of == c], 1)
                     np.add.at(inside, ends[of == c], -1)
                     total[c] += np.bincount(cells[np.cumsum(inside[: len(cells)], dtype=np.int8) > 0], minlength=CELLS)
+        release()
         c, cell = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(cell), pa.array(total[c, cell])], ["class", "cell", "n"])
 
@@ -124,19 +118,22 @@ def text_model(evidence: DataFrame, languages: list[str]) -> np.ndarray:
 def text_scores(text: Column, model) -> Column:
     """Log-likelihoods of each text, one per language, for at most EVIDENCE trigrams; 0 without any."""
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType(), False))
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.DoubleType(), False))
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = model.value
         for texts in batches:
-            out = []
-            for joined, starts, ends in _joined(texts.tolist()):
+            out = [np.zeros((0, len(table)))]
+            for joined, starts, ends in _joined(texts):
                 cells = _cells(joined)
                 n = ends - starts
                 bounds = np.c_[starts, np.maximum(ends, starts + 1)].ravel()
                 sums = [np.add.reduceat(np.r_[t[cells], np.float32(0)], np.minimum(bounds, len(cells)), dtype=np.float64)[::2] for t in table]
                 mean = np.stack(sums, 1) / np.maximum(n, 1)[:, None]
-                out += list(mean * np.minimum(n, EVIDENCE)[:, None])
-            yield pd.Series(out, dtype=object)
+                out.append(mean * np.minimum(n, EVIDENCE)[:, None])
+            scores = np.concatenate(out)
+            bounds = np.arange(len(scores) + 1, dtype=np.int32) * np.int32(len(table))
+            yield pa.ListArray.from_arrays(pa.array(bounds), pa.array(scores.ravel()))
+        release()
 
     return score(text)
 
@@ -226,9 +223,9 @@ def identify(evidence: DataFrame) -> DataFrame:
     scored = materialize(scored.withColumn("by_text", F.when(F.col("letters"), _best(F.col("likelihood")))))
     voters = scored.filter("by_text is not null")
     joined = (
-        scored.join(host_priors(scored, n), "host", "left")
-        .join(_reliability(voters, "declared", n), "declared", "left")
-        .join(_reliability(voters, "suffix", n), "suffix", "left")
+        scored.join(broadcast_if_small(host_priors(scored, n)), "host", "left")
+        .join(broadcast_if_small(_reliability(voters, "declared", n)), "declared", "left")
+        .join(broadcast_if_small(_reliability(voters, "suffix", n)), "suffix", "left")
     )
     even = F.array_repeat(F.lit(1.0 / n), n)
     nothing = F.array_repeat(F.lit(0.0), n)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -23,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.blocks import release, slices
+
 MARK = "▁"
 #: Where the public vocabulary lies on this machine; a parameter of every function.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -32,6 +35,14 @@ REMEMBERED = 400_000
 UNKNOWN_PENALTY = 10.0
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+def unpack_ids(packed: bytes) -> list[int]:
+    return array("i", packed).tolist()
+
+
 class Pieces:
     """The vocabulary of a model file."""
 
@@ -71,8 +82,8 @@ class Pieces:
         """The marked words of a text; no piece reaches over the end of one."""
         return self.cut.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def encode_words(self, words: list[str]) -> dict[str, list[int]]:
-        """The ids of distinct words, found in one depth-first walk over their trie.
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of distinct words as packed 32-bit numbers, found in one depth-first walk over their trie.
 
         On the stack lie, for every character of the current word, the best score up to it,
         the piece that ends there, and the pieces that are still open: those whose trie
@@ -121,7 +132,7 @@ class Pieces:
                     ids += [self.bytes[b] for b in reversed(text)]
                 end = start
             ids.reverse()
-            out[word] = ids
+            out[word] = pack_ids(ids)
             before = word
         return out
 
@@ -144,35 +155,22 @@ def encoded(text: Column, model: str = MODEL) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary, known = pieces(model), {}
         for texts in batches:
-            parts = [_lists(vocabulary, part, known) for part in _parts(texts)]
+            parts = [_lists(vocabulary, part, known) for part in slices(texts)]
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+        release()
 
     return encode(text)
 
 
-def _parts(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
-    """The texts in runs of about so many bytes."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    start, size = 0, 0
-    for i, n in enumerate(sizes.tolist()):
-        size += n
-        if size >= most or i + 1 == len(texts):
-            yield texts.slice(start, i + 1 - start)
-            start, size = i + 1, 0
-
-
-def _lists(vocabulary: Pieces, texts: pa.Array, known: dict[str, list[int]]) -> pa.ListArray:
+def _lists(vocabulary: Pieces, texts: pa.Array, known: dict[str, bytes]) -> pa.ListArray:
     """The ids of each text. `known` keeps words between calls, up to REMEMBERED of them."""
     cut = [vocabulary.words(t or "") for t in texts.to_pylist()]
     if len(known) > REMEMBERED:
         known.clear()
     known.update(vocabulary.encode_words([w for w in set(chain.from_iterable(cut)) if w not in known]))
-    flat: list[int] = []
-    ends = [0]
-    for words in cut:
-        flat.extend(chain.from_iterable(map(known.__getitem__, words)))
-        ends.append(len(flat))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)))
+    flat = [b"".join(map(known.__getitem__, words)) for words in cut]
+    ends = np.cumsum([0, *map(len, flat)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(flat), np.int32)))
 
 
 def decoded(ids: Column, model: str = MODEL) -> Column:
@@ -206,13 +204,15 @@ def encode_documents(docs: DataFrame, *, model: str = MODEL, keep: tuple[str, ..
         vocabulary, known = pieces(model), {}
         for batch in batches:
             texts, at = batch.column(batch.num_columns - 1), 0
-            for part in _parts(texts):
+            for part in slices(texts):
                 lists = _lists(vocabulary, part, known)
                 sizes = pc.list_value_length(lists).cast(pa.int64())
                 same = [vocabulary.decode(ids.tolist()) == t for ids, t in zip(_rows(lists), part.to_pylist())]
                 own = batch.slice(at, len(part)).columns[:-1]
                 at += len(part)
                 yield pa.RecordBatch.from_arrays([*own, lists, sizes, pa.array(same, pa.bool_())], names)
+        known.clear()
+        release()
 
     return docs.select(*keep, F.coalesce(docs["text"], F.lit("")).alias("text")).mapInArrow(encode, schema)
 

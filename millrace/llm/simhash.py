@@ -14,13 +14,13 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.blocks import release, slices
 from millrace.llm.common import packed, unpacked
 from millrace.llm.graph import components, local_roots
 from millrace.operators.lineage import materialize
@@ -63,10 +63,11 @@ def fingerprint(text: str | None, width: int) -> int:
 
 
 def fingerprints(text: Column, width: int) -> Column:
-    @F.pandas_udf(T.LongType())
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.LongType())
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([fingerprint(t, width) for t in texts], dtype="int64")
+            yield pa.array([fingerprint(t, width) for part in slices(texts) for t in part.to_pylist()], pa.int64())
+        release()
 
     return of(text)
 
