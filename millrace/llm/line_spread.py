@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import packed, unpacked
+from millrace.operators.lineage import materialize
 
 #: A line on at least so many sites is boilerplate.
 MIN_SITES = 10
@@ -60,7 +61,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 def removals(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """doc, mark, drop: sorted line numbers that go, one row per document that loses any."""
-    lines = _lines(docs)
+    lines = materialize(_lines(docs))  # hashes and places only, for the three passes below
     known = boilerplate(lines, min_sites)
     first = F.col("doc").eqNullSafe(F.col("first_doc")) & (F.col("at") == F.col("first_at"))
     return (
