@@ -151,6 +151,8 @@ def unit_root(values: np.ndarray, max_lags: int | None = None) -> tuple[float, i
         raise np.linalg.LinAlgError("fewer than 4 values")
     if np.ptp(y) == 0 or np.ptp(np.diff(y)) == 0:
         raise np.linalg.LinAlgError("no variation")
+    # The statistic knows no unit; in units of money the normal equations lose their digits.
+    y = (y - y.mean()) / y.std()
     most = max(min(int(np.ceil(12 * (n / 100) ** 0.25)), n // 2 - 2), 0)
     most = most if max_lags is None else min(most, max_lags)
     dy = np.diff(y)

@@ -158,3 +158,11 @@ def test_daily_forecast_needs_one_row_per_day(spark):
         forecast.additive_forecast(spark.createDataFrame(rows + rows[:1], "d date, y double"), "d", "y")
     with pytest.raises(ValueError, match="no day"):
         forecast.additive_forecast(spark.createDataFrame([], "d date, y double"), "d", "y")
+
+
+def test_unit_root_knows_no_unit():
+    walk = np.cumsum(np.random.default_rng(5).normal(size=80))
+    plain = arma.unit_root(walk)
+    for shifted in (walk * 1e7 + 5e8, walk * 1e-6 - 3):
+        tau, lags, used = arma.unit_root(shifted)
+        assert (lags, used) == plain[1:] and tau == pytest.approx(plain[0], rel=1e-5)
