@@ -21,7 +21,7 @@ WEIGHTS = (5, 2, 1)
 #: No source's target, and no document's share, goes beyond this many times its size.
 PASSES = 3
 #: Rows that one slice of a source's queue holds about.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 #: Pieces a range of finish times is cut into while the end of the budget is searched.
 CUTS = 1024
 
