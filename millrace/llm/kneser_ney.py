@@ -3,8 +3,9 @@
 The model is over bytes, so any language is covered and an n-gram of five bytes is an exact
 integer. Its counts come from all trusted training documents and stay distributed: they
 are sharded by the two bytes before the predicted one, and so are the distinct n-grams of
-every block of documents; each shard answers with log-probabilities. Perplexity per byte
-is thresholded by a quantile, per language, of trusted documents that were not trained on.
+every block of documents; each shard answers with log-probabilities. Perplexity per byte, of
+the whole text and of its worst window, is thresholded by quantiles, per language, of
+trusted documents that were not trained on.
 """
 
 from __future__ import annotations
@@ -19,18 +20,23 @@ from pyspark.sql import functions as F
 
 from millrace.llm.blocks import pack, unpack
 from millrace.operators.lineage import materialize
+from millrace.operators.sizing import broadcast_if_small
 
 ORDER = 5
 #: Stands before a text's first byte; no UTF-8 text holds it.
 EDGE = 0xFF
 #: Text bytes of one block of documents, about.
 BLOCK_BYTES = 8 << 20
+#: Bytes of the windows of which a text's worst one counts, as a few words do not move the mean of a long text.
+WINDOW = 8
 #: Documents of a language above this quantile of its held-out trusted ones are rejected.
 QUANTILE = 0.995
 #: A language with fewer held-out trusted documents uses the quantile over all languages.
 LEAST_HELD_OUT = 50
 #: Digits to which bits per byte are rounded before quantiles, which bounds their buffers.
 DIGITS = 3
+#: What is thresholded: bits per byte of the whole text and of its worst window.
+MEASURES = ("bits", "worst")
 
 
 def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +146,23 @@ def _answer(model, asked):
     return pa.table({"block": asked["block"], "shard": asked["shard"], "bits": pa.array(out, pa.binary())})
 
 
+def _worst(total: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The highest mean of WINDOW successive bytes of each text; of all bytes in a shorter text, 0 in an empty one."""
+    sizes = np.diff(bounds)
+    means = np.diff(total[bounds]) / np.maximum(sizes, 1)
+    n = len(total) - 1
+    if n < WINDOW or not (sizes >= WINDOW).any():
+        return means
+    inside = np.arange(n) + WINDOW <= np.repeat(bounds[1:], sizes)
+    sums = np.full(n, -np.inf)
+    sums[: n - WINDOW + 1] = total[WINDOW:] - total[:-WINDOW]
+    sums[~inside] = -np.inf
+    some = sizes > 0  # bounds of empty texts would cut no window
+    highest = means.copy()
+    highest[some] = np.maximum.reduceat(sums, bounds[:-1][some]) / WINDOW
+    return np.where(sizes >= WINDOW, highest, means)
+
+
 def _scorer(shards: int):
     def score(block, answers):
         grams = _distinct(block)
@@ -148,17 +171,20 @@ def _scorer(shards: int):
         for s, b in zip(answers["shard"].to_pylist(), answers["bits"].to_pylist()):
             bits[shard == s] = np.frombuffer(b, np.float32)
         sums = np.zeros(block.num_rows)
+        worst = np.zeros(block.num_rows)
         sizes = np.zeros(block.num_rows, np.int64)
         for start, part in _runs(block):
             own, bounds = _grams(part)
             codes, few = pd.factorize(own)
             total = np.r_[0.0, np.cumsum(bits[np.searchsorted(grams, few)].astype(np.float64)[codes])]
             sums[start : start + len(part)] = np.diff(total[bounds])
+            worst[start : start + len(part)] = _worst(total, bounds)
             sizes[start : start + len(part)] = np.diff(bounds)
         per_byte = [s / n if n else None for s, n in zip(sums.tolist(), sizes.tolist())]
         return pa.table({
             "doc_id": block["doc_id"], "lang": block["lang"], "n_bytes": pa.array(sizes, pa.int64()),
             "bits": pa.array(per_byte, pa.float64()),
+            "worst": pa.array([w if n else None for w, n in zip(worst.tolist(), sizes.tolist())], pa.float64()),
         })
 
     return score
@@ -211,8 +237,9 @@ def contexts(counts: DataFrame, shards: int) -> DataFrame:
 
 
 def bits_per_byte(docs: DataFrame, training: DataFrame) -> DataFrame:
-    """doc_id, lang, n_bytes and bits (per byte; null for an empty or null text), one row per input row.
+    """doc_id, lang, n_bytes, bits and worst, one row per input row.
 
+    bits are per byte of the text, worst are those of its worst window; both are null for an empty or null text.
     `training` holds the doc_id of the documents to learn from. Texts are dealt into
     blocks once; learning, asking and scoring share that exchange. Without a training
     document every byte costs 8 bits.
@@ -235,30 +262,36 @@ def bits_per_byte(docs: DataFrame, training: DataFrame) -> DataFrame:
     answers = model.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_answer, "block long, shard long, bits binary")
     return (
         rows.groupBy("block").cogroup(answers.groupBy("block"))
-        .applyInArrow(_scorer(shards), "doc_id long, lang string, n_bytes long, bits double")
+        .applyInArrow(_scorer(shards), "doc_id long, lang string, n_bytes long, bits double, worst double")
     )
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE) -> DataFrame:
-    """doc_id, lang, n_bytes, perplexity, threshold and kept, one row per row of `docs`.
+    """doc_id, lang, n_bytes, perplexity, threshold, kept, worst and worst_threshold, one row per row of `docs`.
 
     Trusted documents are those labelled with quality 1 and not toxic; half of them, by a
     hash of the id, train the model, the other half set the thresholds. Perplexity is per
-    byte. A null or empty text has none and is not kept. Null languages form one of their
+    byte, worst is that of the worst window; a text above either threshold is not kept.
+    A null or empty text has none and is not kept. Null languages form one of their
     own. Without held-out trusted documents there is no threshold and all texts are kept.
     """
     trusted = labels.filter("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))
-    scored = materialize(bits_per_byte(docs, trusted.filter(half == 0)).withColumn("bits", F.round("bits", DIGITS)))
+    scored = bits_per_byte(docs, trusted.filter(half == 0))
+    scored = materialize(scored.withColumns({m: F.round(m, DIGITS) for m in MEASURES}))
     held = scored.filter("bits is not null").join(trusted.filter(half == 1), "doc_id", "left_semi")
-    counts = held.groupBy(F.coalesce("lang", F.lit("")).alias("of"), "bits").agg(F.count(F.lit(1)).alias("n"))
-    cut = F.percentile("bits", F.lit(quantile), F.col("n"))
-    overall = counts.agg(cut).first()[0]
-    per = counts.groupBy("of").agg(F.sum("n").alias("held"), cut.alias("own"))
-    limit = F.coalesce(F.when(F.col("held") >= LEAST_HELD_OUT, F.col("own")), F.lit(overall).cast("double"))
-    joined = scored.join(per, F.coalesce("lang", F.lit("")) == F.col("of"), "left")
+    language = F.coalesce("lang", F.lit(""))
+    counts = held.groupBy(language.alias("of"), *MEASURES).agg(F.count(F.lit(1)).alias("n"))
+    cuts = [F.percentile(m, F.lit(quantile), F.col("n")).alias(f"own_{m}") for m in MEASURES]
+    overall = counts.agg(*cuts).first()
+    per = counts.groupBy("of").agg(F.sum("n").alias("held"), *cuts)
+    enough = F.col("held") >= LEAST_HELD_OUT
+    limits = [F.coalesce(F.when(enough, F.col(f"own_{m}")), F.lit(overall[f"own_{m}"]).cast("double")) for m in MEASURES]
+    joined = scored.join(broadcast_if_small(per), language == F.col("of"), "left")
+    under = [F.col(m) <= F.coalesce(l, F.lit(float("inf"))) for m, l in zip(MEASURES, limits)]
+    power = lambda bits: F.pow(F.lit(2.0), bits)
     return joined.select(
-        "doc_id", "lang", "n_bytes", F.pow(F.lit(2.0), F.col("bits")).alias("perplexity"),
-        F.pow(F.lit(2.0), limit).alias("threshold"),
-        F.coalesce(F.col("bits") <= F.coalesce(limit, F.lit(float("inf"))), F.lit(False)).alias("kept"),
+        "doc_id", "lang", "n_bytes", power(F.col("bits")).alias("perplexity"), power(limits[0]).alias("threshold"),
+        F.coalesce(under[0] & under[1], F.lit(False)).alias("kept"),
+        power(F.col("worst")).alias("worst"), power(limits[1]).alias("worst_threshold"),
     )

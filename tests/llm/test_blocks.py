@@ -120,3 +120,31 @@ def test_kneser_ney(spark, corpus, monkeypatch):
             assert got[r[0]]["bits"] == pytest.approx(plain_bits(texts, r[1]), rel=1e-5)
     nothing = kneser_ney.bits_per_byte(docs.limit(3), training.limit(0)).toArrow().to_pylist()
     assert all(r["bits"] is None or r["bits"] == pytest.approx(8) for r in nothing)
+
+
+def test_worst_window_of_each_text():
+    rng = np.random.default_rng(3)
+    sizes = [0, 3, 40, 0, kneser_ney.WINDOW, 100, 7, 0]
+    bits = [rng.random(n) for n in sizes]
+    bounds = np.r_[0, np.cumsum(sizes)]
+    got = kneser_ney._worst(np.r_[0.0, np.cumsum(np.concatenate(bits))], bounds)
+    for b, found in zip(bits, got):
+        k = min(kneser_ney.WINDOW, len(b))
+        want = max(b[i : i + k].mean() for i in range(len(b) - k + 1)) if k else 0
+        assert found == pytest.approx(want)
+
+
+def test_a_few_strange_words_in_a_long_text_are_rejected(spark):
+    rng = random.Random(6)
+    words = ["the", "house", "water", "with", "this", "river", "and", "old"]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    name = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3))
+    rows = [(i, say(200) if i % 2 else f"{say(2)} {name()}", "en") for i in range(600)]
+    # Short held-out texts are as strange on the whole as a long text with a strange word.
+    rows += [(1000 + i, say(150) + " zqxjkvwqzx " + say(150), "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in kneser_ney.classify(docs, labels).collect()}
+    planted = [got[1000 + i] for i in range(20)]
+    assert not any(r["kept"] for r in planted) and all(r["perplexity"] <= r["threshold"] for r in planted)
+    assert sum(got[i]["kept"] for i in range(600)) >= 585
