@@ -4,6 +4,8 @@ The posterior of a language is its prior at the document's host, times the likel
 the text, of the declared markup language and of the address suffix. Host priors are
 smoothed down a hierarchy: a host leans on its domain, the domain on its suffix, the
 suffix on the whole corpus. All tables come from grouped aggregation over all documents.
+Languages with few documents share one class; a second pass tells them apart in the
+documents that this class wins.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from millrace.operators.sizing import broadcast_if_small
 CELLS = 1 << 16
 #: A text counts as at most so many independent trigrams, as overlapping ones repeat each other.
 EVIDENCE = 200
-#: A declared language with a smaller share of all documents is no class of its own.
+#: Declared languages with a smaller share of all documents share a class and are told apart in a second pass.
 LEAST_SHARE = 0.001
 #: Documents that a parent of the host hierarchy counts for.
 PRIOR_WEIGHT = 10.0
@@ -66,14 +68,14 @@ def _run(part: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     return b"\0\0".join(part) + b"\0\0", starts, np.maximum(starts, starts + sizes - 2)
 
 
-def _counter(languages: list[str]):
-    """Per task: language, cell, n over all its texts."""
+def _counter(languages: list[str], n: int):
+    """Per task: class, cell, n over all its texts; languages that are not listed are the last of the n classes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), CELLS), np.int64)
+        total = np.zeros((n, CELLS), np.int64)
         number = {l: i for i, l in enumerate(languages)}
         for batch in batches:
-            classes = np.array([number[d] for d in batch.column(0).to_pylist()], np.int64)
+            classes = np.array([number.get(d, n - 1) for d in batch.column(0).to_pylist()], np.int64)
             at = 0
             for text, starts, ends in _joined(batch.column(1)):
                 of = classes[at : at + len(starts)]
@@ -91,26 +93,46 @@ def _counter(languages: list[str]):
     return count
 
 
-def declared_languages(evidence: DataFrame) -> list[str]:
-    """The declared languages with at least LEAST_SHARE of the declared documents; at most 1 / LEAST_SHARE."""
+def _cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Key, cell, n and size (the trigrams of the text) of each distinct cell of each text."""
+    for batch in batches:
+        at = 0
+        for text, starts, ends in _joined(batch.column(1)):
+            cells = _cells(text)
+            own = [np.unique(cells[a:b], return_counts=True) for a, b in zip(starts, ends)]
+            lengths = [len(c) for c, _ in own]
+            keys = batch.column(0).take(pa.array(np.repeat(np.arange(at, at + len(own)), lengths)))
+            at += len(own)
+            columns = [np.concatenate([c for c, _ in own]), np.concatenate([n for _, n in own]), np.repeat(ends - starts, lengths)]
+            yield pa.RecordBatch.from_arrays([keys, *[pa.array(x, pa.int64()) for x in columns]], ["key", "cell", "n", "size"])
+    release()
+
+
+def declared_languages(evidence: DataFrame) -> tuple[list[str], int]:
+    """The declared languages with at least LEAST_SHARE of the declared documents, and the number of all others.
+
+    At most 1 / LEAST_SHARE languages are listed.
+    """
     counts = evidence.filter("declared is not null").groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    some = counts.filter(F.col("n") >= total * LEAST_SHARE).select("declared")
-    return sorted(r[0] for r in some.collect())
+    total, every = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    some = counts.filter(F.col("n") >= (total or 0) * LEAST_SHARE).select("declared")
+    found = sorted(r[0] for r in some.collect())
+    return found, every - len(found)
 
 
-def text_model(evidence: DataFrame, languages: list[str]) -> np.ndarray:
-    """Log-likelihood of a trigram cell under each language, from all documents that declare it.
+def text_model(evidence: DataFrame, languages: list[str], n: int) -> np.ndarray:
+    """Log-likelihood of a trigram cell under each of n classes, from all documents that declare a language.
 
-    Tasks count into arrays of a fixed size, which are summed by an aggregation; the
-    driver gets one array per language, whatever the size of the corpus.
+    The classes are `languages` and, where n is larger, one of all others. Tasks count into
+    arrays of a fixed size, which are summed by an aggregation; the driver gets one array
+    per class, whatever the size of the corpus.
     """
-    some = evidence.filter(F.col("declared").isin(languages)).select("declared", "text")
+    some = evidence.filter("declared is not null").select("declared", "text")
     counts = (
-        some.mapInArrow(_counter(languages), "class long, cell long, n long")
+        some.mapInArrow(_counter(languages, n), "class long, cell long, n long")
         .groupBy("class", "cell").agg(F.sum("n").alias("n"))
     ).toArrow()
-    table = np.full((len(languages), CELLS), 0.5)
+    table = np.full((n, CELLS), 0.5)
     table[counts["class"].to_numpy(), counts["cell"].to_numpy()] += counts["n"].to_numpy()
     return np.log(table / table.sum(1, keepdims=True)).astype(np.float32)
 
@@ -183,6 +205,59 @@ def _reliability(voters: DataFrame, key: str, n: int) -> DataFrame:
     return tally.select(key, F.array(*logs).alias(f"given_{key}"))
 
 
+def _counted(rows: DataFrame, wins: DataFrame, key: str) -> DataFrame:
+    """`rows` with both_<key>, the wins of its language at its key, and all_<key>, all wins at its key."""
+    at = wins.filter(F.col(key).isNotNull())
+    both = at.groupBy(key, "of").agg(F.count(F.lit(1)).alias(f"both_{key}"))
+    every = at.groupBy(key).agg(F.count(F.lit(1)).alias(f"all_{key}"))
+    out = rows.join(broadcast_if_small(both), [key, "of"], "left").join(broadcast_if_small(every), key, "left")
+    return out.fillna(0, [f"both_{key}", f"all_{key}"])
+
+
+def among_rare(won: DataFrame, rare: DataFrame, n: int) -> DataFrame:
+    """uid, language, among (its share among them): the best of the n languages declared in `rare`, for each row of `won`.
+
+    Fuses the same evidence as the first pass. Trigram counts and tallies stay distributed
+    and hold a row per language and value met, so the number of languages is not bounded.
+    A language that shares no trigram with a text is no candidate for it.
+    """
+    shape = "cell long, n long, size long"
+    texts = rare.select("declared", "text").mapInArrow(_cells_of, f"key string, {shape}")
+    counts = materialize(texts.groupBy(F.col("key").alias("of"), "cell").agg(F.sum("n").alias("n")))
+    weights = counts.select("of", "cell", F.log((F.col("n") + 0.5) / 0.5).alias("weight"))
+    bases = counts.groupBy("of").agg(F.log(0.5 / (F.sum("n") + 0.5 * CELLS)).alias("base"))
+    cells = won.select("uid", "text").mapInArrow(_cells_of, f"key long, {shape}")
+    sums = (
+        cells.join(broadcast_if_small(weights), "cell")
+        .groupBy(F.col("key").alias("uid"), "of")
+        .agg(F.sum(F.col("n") * F.col("weight")).alias("sum"), F.max("size").alias("size"))
+        .join(broadcast_if_small(bases), "of")
+    )
+    by_text = (F.col("sum") / F.col("size") + F.col("base")) * F.least("size", F.lit(EVIDENCE))
+    places = won.select("uid", "declared", "host", "domain", "suffix")
+    rows = materialize(sums.select("uid", "of", by_text.alias("likelihood")).join(places, "uid"))
+    best = rows.groupBy("uid").agg(F.min_by("of", F.struct(-F.col("likelihood"), "of")).alias("of"))
+    wins = materialize(best.join(places, "uid"))
+    total, values, suffixes = wins.agg(F.count(F.lit(1)), F.count_distinct("declared"), F.count_distinct("suffix")).first()
+    for key in ("host", "domain", "suffix", "declared"):
+        rows = _counted(rows, wins, key)
+    own = wins.groupBy("of").agg(F.count(F.lit(1)).alias("own"))
+    rows = rows.join(broadcast_if_small(own), "of", "left").fillna(0, ["own"])
+    prior = (F.col("own") + 1.0) / (total + n)
+    for key in ("suffix", "domain", "host"):
+        prior = (F.col(f"both_{key}") + PRIOR_WEIGHT * prior) / (F.col(f"all_{key}") + PRIOR_WEIGHT)
+    fused = F.col("likelihood") + F.when(F.col("host").isNull(), 0.0).otherwise(F.log(prior))
+    for key, known in (("declared", values), ("suffix", suffixes)):
+        given = F.log((F.col(f"both_{key}") + 1.0) / (F.col("own") + known + 1))
+        fused = fused + F.when(F.col(key).isNull(), 0.0).otherwise(given)
+    scored = rows.select("uid", "of", fused.alias("fused"))
+    tops = scored.groupBy("uid").agg(
+        F.min_by("of", F.struct(-F.col("fused"), "of")).alias("language"), F.max("fused").alias("top"), F.collect_list("fused").alias("all")
+    )
+    share = F.lit(1.0) / F.aggregate("all", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
+    return tops.select("uid", "language", share.alias("among"))
+
+
 def with_address(url: Column) -> dict[str, Column]:
     """host, domain and suffix of an address; null parts where it has none."""
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
@@ -207,19 +282,21 @@ def identify(evidence: DataFrame) -> DataFrame:
     evidence either way. A text with fewer than LEAST_LETTERS letters gets no language and is rejected,
     as is one whose best posterior is under LEAST_POSTERIOR; ties go to the language first in the
     alphabet. If nothing declares a language, every row is rejected. Rows are never
-    joined on an id, so repeated rows and ids do not matter.
+    joined on an id, so repeated rows and ids do not matter. Languages under LEAST_SHARE
+    compete as one class; the posterior of one of them is the class's times its share in it.
     """
     spark = evidence.sparkSession
-    languages = declared_languages(evidence)
-    n = len(languages)
+    languages, others = declared_languages(evidence)
+    n = len(languages) + (others > 0)
     if not n:
         return evidence.select(
             "row", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted")
         )
-    model = spark.sparkContext.broadcast(text_model(evidence, languages))
+    model = spark.sparkContext.broadcast(text_model(evidence, languages, n))
     letters = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"\P{L}+", "")) >= LEAST_LETTERS
     scores = text_scores(F.col("text"), model)
-    scored = evidence.select("row", "declared", "host", "domain", "suffix", letters.alias("letters"), scores.alias("likelihood"))
+    carried = ["declared", "host", "domain", "suffix"] + ["text"] * (others > 0)
+    scored = evidence.select("row", *carried, letters.alias("letters"), scores.alias("likelihood"))
     scored = materialize(scored.withColumn("by_text", F.when(F.col("letters"), _best(F.col("likelihood")))))
     voters = scored.filter("by_text is not null")
     joined = (
@@ -232,16 +309,26 @@ def identify(evidence: DataFrame) -> DataFrame:
     fused = F.transform(F.coalesce("prior", even), lambda p: F.log(p))
     for part in ("likelihood", "given_declared", "given_suffix"):
         fused = F.zip_with(fused, F.coalesce(F.col(part), nothing), lambda a, b: a + b)
-    summed = joined.select("row", "letters", fused.alias("fused"))
+    summed = joined.select("row", *carried, "letters", fused.alias("fused"))
     top = F.array_max("fused")
     share = F.lit(1.0) / F.aggregate("fused", F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    names = F.array(*[F.lit(l) for l in languages])
-    return summed.select(
-        "row",
+    names = F.array(*[F.lit(l) for l in languages], *[F.lit(None).cast("string")] * (others > 0))
+    accepted = (F.col("letters") & F.col("language").isNotNull() & (F.col("posterior") >= LEAST_POSTERIOR)).alias("accepted")
+    decided = summed.select(
+        "row", "letters", *carried,
         F.when(F.col("letters"), F.get(names, _best(F.col("fused")))).alias("language"),
         F.when(F.col("letters"), share).otherwise(0.0).alias("posterior"),
-        (F.col("letters") & (share >= LEAST_POSTERIOR)).alias("accepted"),
+    )
+    if not others:
+        return decided.select("row", "language", "posterior", accepted)
+    pooled = F.col("letters") & F.col("language").isNull()
+    won = materialize(decided.filter(pooled).drop("language").withColumn("uid", F.monotonically_increasing_id()))
+    rare = evidence.filter(F.col("declared").isNotNull() & ~F.col("declared").isin(languages))
+    told = won.join(among_rare(won, rare, others), "uid", "left").withColumn(
+        "posterior", F.coalesce(F.col("posterior") * F.col("among"), F.lit(0.0))
     )
+    every = decided.filter(~pooled).unionByName(told.select(decided.columns))
+    return every.select("row", "language", "posterior", accepted)
 
 
 def document_evidence(docs: DataFrame, row: list[str]) -> DataFrame:

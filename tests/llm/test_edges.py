@@ -257,6 +257,27 @@ def test_language_evidence(spark):
     assert got[902]["language"] == "de"
 
 
+def test_rare_languages_are_possible_answers(spark):
+    words = {
+        "en": "the house and the water with this", "de": "das haus und der fluss nicht mit ein",
+        "cy": "mae hwn yn dda iawn ac rydym", "eu": "etxea eta ura gizon zahar bat da", "pl": "woda jest przez rzeka dom stary nie",
+    }
+    rng = random.Random(8)
+    say = lambda l, n: " ".join(rng.choice(words[l].split()) for _ in range(n))
+    rows = [(i, say(l, 12), l, f"www.{l}.org", 1) for i, l in enumerate(["en", "de"] * 2500)]
+    few = [(9000 + i, say(l, 40), l, rng.choice([None, "www.x.net"]), 1) for i, l in enumerate(["cy", "eu", "pl"] * 3)]
+    bare = [(9100 + i, say(l, 40), None, None, 1) for i, l in enumerate(["cy", "eu", "pl"])]
+    wrong = [(9200, say("cy", 40), "en", "www.en.org", 1), (9201, say("cy", 40), "en", "www.en.org", 1)]
+    assert all(sum(r[2] == l for r in few) < language_id.LEAST_SHARE * 5000 for l in ("cy", "eu", "pl"))
+    found = language_id.identify(language_id.document_evidence(make(spark, rows + few + few[:1] + bare + wrong), ["doc_id"])).collect()
+    assert len(found) == 5000 + 9 + 1 + 3 + 2
+    got = {r["row"]["doc_id"]: r for r in found}
+    assert all(got[r[0]]["language"] == r[2] and got[r[0]]["accepted"] for r in rows + few)
+    assert [got[9100 + i]["language"] for i in range(3)] == ["cy", "eu", "pl"]
+    assert got[9200]["language"] == got[9201]["language"] == "cy"
+    assert all(0 <= r["posterior"] <= 1 for r in found)
+
+
 def test_page_addresses(spark):
     pages = spark.createDataFrame(
         [(1, "http://u@m.a.example.co:80/x?y#z", '<html lang="EN-us"><script>x</script><p>text</p>'), (2, None, None), (3, "nonsense", "<p>")],
