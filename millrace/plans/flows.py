@@ -67,7 +67,7 @@ def _(t):
 
 
 @query(
-    "flow_forecast",
+    "flow_forecast_random_walk",
     """with q as (select quantile_cont(l_extendedprice, 0.01) as lo, quantile_cont(l_extendedprice, 0.99) as hi from lineitem),
          totals as (select l_returnflag, date_trunc('month', l_shipdate)::date as start,
            sum(greatest(least(l_extendedprice, hi), lo)) as total from lineitem, q group by all),
@@ -89,12 +89,40 @@ def _(t):
        from m, (select unnest(range(1, 4)) as i)""",
 )
 def _(t):
-    clipped = cleaning.clip_percentiles(t.lineitem, "l_extendedprice")
-    monthly = series.monthly_series(clipped, "l_returnflag", "l_shipdate", "l_extendedprice_clean")
-    holes = monthly.withColumn("value", F.when((F.month("month") != 7) & (c("value") > 0), c("value")))
-    smooth = materialize(series.align_and_interpolate(holes, "l_returnflag"))
+    smooth = _smooth_months(t)
     orders = arima.best_order(arima.arima_grid(smooth, "l_returnflag", 0, 0, d=1), "l_returnflag")
     ahead = arima.arima_forecast(smooth, "l_returnflag", orders, 3)
     return ahead.select(
         "l_returnflag", "step", F.round("mean", 3).alias("mean"), F.round((c("upper") - c("lower")) / 2, 2).alias("margin")
     )
+
+
+def _smooth_months(t):
+    clipped = cleaning.clip_percentiles(t.lineitem, "l_extendedprice")
+    monthly = series.monthly_series(clipped, "l_returnflag", "l_shipdate", "l_extendedprice_clean")
+    holes = monthly.withColumn("value", F.when((F.month("month") != 7) & (c("value") > 0), c("value")))
+    return materialize(series.align_and_interpolate(holes, "l_returnflag"))
+
+
+def forecast_chain(smooth, key: str, h: int = 3):
+    """key, step, month, mean, lower, upper, then the test, order and back-test of the key's series; h rows per key.
+
+    The unit-root test sets d, the order search tries p and q up to 2, and the back-test
+    forecasts the last h known months from an order searched in the months before them.
+    """
+    search = lambda months: arima.best_order(arima.arima_grid(months, key), key)
+    tests = arima.adf_test(smooth, key).select(key, "statistic", "p", "stationary", c("reason").alias("test_reason"))
+    orders = materialize(search(smooth))
+    train, _test = arima.split_last(smooth, key, h)
+    scores = arima.arima_backtest(smooth, key, materialize(search(train)), h)
+    found = (
+        tests.withColumnRenamed("p", "p_value")
+        .join(orders.select(key, "p", "d", "q", "aic", c("reason").alias("order_reason")), key, "left")
+        .join(scores.select(key, "mape", "rmse", "grade", c("reason").alias("backtest_reason")), key, "left")
+    )
+    return arima.arima_forecast(smooth, key, orders, h).join(found, key, "left")
+
+
+@query("flow_forecast")
+def _(t):
+    return forecast_chain(_smooth_months(t), "l_returnflag")

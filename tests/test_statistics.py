@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import arma, special
 from millrace.operators import arima, correlation, hypothesis, series, windows
+from millrace.plans import flows
 
 
 def test_t_p_values_against_tables():
@@ -169,6 +170,18 @@ def test_series_jobs_over_several_keys(spark):
     assert scores["flat"].mape < 10 and scores["flat"].grade == "excellent"
 
 
+def test_forecast_flow_tests_searches_and_backtests(spark):
+    flat = simulate([0.7], [], 96, seed=3) + 50
+    walk = np.cumsum(simulate([], [], 96, seed=4)) + 500
+    both = monthly(spark, flat, "flat").unionByName(monthly(spark, walk, "walk"))
+    rows = flows.forecast_chain(both, "k").collect()
+    assert len(rows) == 6 and all(r.lower < r["mean"] < r.upper and r.rmse is not None for r in rows)
+    of = {r.k: r for r in rows}
+    assert of["flat"].stationary and of["flat"].d == 0 and of["flat"].p + of["flat"].q > 0
+    assert not of["walk"].stationary and of["walk"].d == 1
+    assert of["flat"].mape < 10
+
+
 def test_packed_series_must_be_aggregated(spark, monkeypatch):
     monkeypatch.setattr(arima, "MAX_PERIODS", 10)
     with pytest.raises(Exception, match="more than 10 periods"):
