@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import kneser_ney, language_id, long_matches, phrases, pieces, simhash
+from millrace.llm import alignment, kneser_ney, language_id, long_matches, phrases, pieces, simhash
 from millrace.llm.registry import query
 from millrace.session import Tables
 
@@ -45,3 +45,8 @@ def op10_quality_model(t: Tables):
 @query("op3_suffix_dedup")
 def op3_suffix_dedup(t: Tables):
     return long_matches.without_repeats(t.documents.select("doc_id", "text"))
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(t: Tables):
+    return alignment.align_documents(t.documents)
