@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import money_sum
@@ -196,6 +198,81 @@ def _(t):
     return forecast.additive_forecast(_daily_orders(t), "day", "total").components(90)
 
 
+def _daily_by_priority(t):
+    total = t.orders.groupBy("o_orderpriority", c("o_orderdate").cast("date").alias("day")).agg(money_sum("o_totalprice").alias("total"))
+    return materialize(total)
+
+
+@query("ts11_series_forecasts")
+def _(t):
+    return forecast.series_forecasts(_daily_by_priority(t), "o_orderpriority", "day", "total").predict()
+
+
+@query("ts12_series_components")
+def _(t):
+    return forecast.series_forecasts(_daily_by_priority(t), "o_orderpriority", "day", "total").components()
+
+
+_GRAM_CHANGES = 3
+
+
+def _gram_terms() -> list[str]:
+    hinges = [f"greatest(t - {forecast.CHANGEPOINT_RANGE}::double * {i + 1} / {_GRAM_CHANGES}, 0.0::double)" for i in range(_GRAM_CHANGES)]
+    waves = [f"{f}(d * {angle!r}::double)" for _, angle in forecast._waves() for f in ("sin", "cos")]
+    return ["1.0::double", "t", *hinges, *waves, "y / scale"]
+
+
+@query(
+    "ts11_gram_sums",
+    f"""with s as (select o_orderpriority as k, o_orderdate::date - date '1970-01-01' as d, sum(o_totalprice::decimal(18, 2))::double as y
+         from orders group by all),
+       b as (select *, (d - min(d) over w)::double / (max(d) over w - min(d) over w) as t, max(abs(y)) over w as scale
+         from s window w as (partition by k)),
+       x as (select k, [{", ".join(_gram_terms())}] as x from b)
+       select k as o_orderpriority, i, j, round(sum(x[i + 1] * x[j + 1]), 5) + 0.0 as total from
+         (select k, (p // {len(_gram_terms())})::integer as i, (p % {len(_gram_terms())})::integer as j, x from x,
+           (select unnest(range({len(_gram_terms()) ** 2})) as p)) group by all""",
+)
+def _(t):
+    grams = forecast.series_grams(_daily_by_priority(t), "o_orderpriority", "day", "total", _GRAM_CHANGES)
+    n = len(_gram_terms())
+    cells = grams.select("o_orderpriority", F.posexplode("gram").alias("at", "total"))
+    out = cells.select("o_orderpriority", F.floor(c("at") / n).cast("int").alias("i"), (c("at") % n).alias("j"), "total")
+    return _round(out, ["total"], 5)
+
+
+@query(
+    "ts11_planted_change",
+    """with d as (select distinct o_orderpriority as k, o_orderdate::date as ds from orders),
+       b as (select k, min(ds) as lo, max(ds) as hi, dense_rank() over (order by k) as r from d group by k)
+       select k as o_orderpriority, (lo + round((hi - lo) * 0.8::double * (4 + 3 * r) / 25)::integer)::date as ds from b""",
+)
+def _(t):
+    """A series whose slope changes on one known day per priority; no other day may be named."""
+    days = t.orders.select("o_orderpriority", c("o_orderdate").cast("date").alias("ds")).distinct()
+    spans = days.groupBy("o_orderpriority").agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"))
+    ranks = sorted(r[0] for r in spans.select("o_orderpriority").collect())
+    rank = F.array_position(F.array(*map(F.lit, ranks)), c("o_orderpriority"))
+    at = F.datediff("hi", "lo") * 0.8 * (4 + 3 * rank) / 25
+    since = F.datediff("ds", "lo")
+    y = 500 + 0.3 * since + 0.9 * F.greatest(since - at, F.lit(0.0))
+    made = materialize(days.join(F.broadcast(spans), "o_orderpriority").select("o_orderpriority", "ds", y.alias("y")))
+    return forecast.series_forecasts(made, "o_orderpriority", "ds", "y", 0).changes().drop("change")
+
+
+@query(
+    "ts12_planted_waves",
+    """with d as (select distinct o_orderdate::date as ds from orders), x as (select ds, (ds - date '1970-01-01')::double as d from d)
+       select ds, round(7 * sin(d * 2 * pi() / 7), 3) + 0.0 as weekly, round(40 * cos(d * 2 * pi() / 365.25::double), 3) + 0.0 as yearly from x""",
+)
+def _(t):
+    days = t.orders.select(c("o_orderdate").cast("date").alias("ds")).distinct()
+    d = F.datediff("ds", F.lit("1970-01-01").cast("date")).cast("double")
+    y = 300 + 0.05 * (d - 8000) + 7 * F.sin(d * 2 * math.pi / 7) + 40 * F.cos(d * 2 * math.pi / 365.25)
+    parts = forecast.additive_forecast(materialize(days.withColumn("y", y)), "ds", "y", 0).components()
+    return _round(parts.select("ds", "weekly", "yearly"), ["weekly", "yearly"], 3)
+
+
 @query(
     "ts13_below_lower_bound",
     f"""with {_SERIES.format(src='lineitem')},
