@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -168,61 +169,79 @@ def score_isolation_forest(
 # --- one-class machine -----------------------------------------------------
 
 
-TOLERANCE = 1e-2  # stop when the squared length is within this share of the best
+#: Stop when the squared length is proven to be within this share of the best.
+TOLERANCE = 1e-3
+#: Steps after which the fit ends with whatever gap is left; the machine carries the gap.
+STEPS = 200
+#: Margins around the nu quantile are sorted into so many bins in a pass.
+BINS = 16
+#: No vector of cosine features is longer.
+LONGEST = math.sqrt(2.0)
 
 
 @dataclass
 class OneClassMachine:
-    """Approximate one-class support machine on random cosine features."""
+    """One-class support machine on random cosine features.
+
+    `gap` bounds the share by which the squared length of `weights` exceeds the least one;
+    `converged` tells whether it came under the tolerance, `steps` in how many passes.
+    """
 
     cols: list[str]
     omega: np.ndarray
     shift: np.ndarray
     weights: np.ndarray
+    gap: float = math.inf
+    steps: int = 0
+    converged: bool = False
+
+    def features(self, x: np.ndarray) -> np.ndarray:
+        return math.sqrt(2.0 / len(self.shift)) * np.cos(x @ self.omega + self.shift)
 
     def margin(self, df: DataFrame, out: str = "score") -> DataFrame:
         """Add w·phi(x); low values lie outside the usual region."""
-        omega, shift, weights = self.omega, self.shift, self.weights
-        scale = math.sqrt(2.0 / len(shift))
 
         def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             for batch in batches:
-                yield pd.Series((scale * np.cos(batch.to_numpy(float) @ omega + shift)) @ weights)
+                yield pd.Series(self.features(batch.to_numpy(float)) @ self.weights)
 
         udf = F.pandas_udf(rate, T.DoubleType())
         return df.withColumn(out, udf(F.struct(*[F.col(c).cast("double") for c in self.cols])))
 
 
-def _mean_features(
-    df: DataFrame, machine: OneClassMachine, below: float = math.inf
-) -> np.ndarray:
-    """Mean of phi over the rows whose margin is at most `below`.
+def _binned_features(df: DataFrame, machine: OneClassMachine, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and sum of phi per bin of the margin, in one pass: (counts, sums).
 
-    Sums are taken per task and merged by feature; one number per feature comes back.
+    Bin 0 lies below the first edge; rows above the last edge are in no bin and not summed.
+    Every task adds up its own rows; the sums meet by bin and feature, and one number for
+    each of these comes back, however large the table is.
     """
-    omega, shift, weights = machine.omega, machine.shift, machine.weights
-    scale = math.sqrt(2.0 / len(shift))
+    bins = len(edges)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, n = np.zeros(len(shift)), 0
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, sums = np.zeros(bins, np.int64), np.zeros((bins, len(machine.shift)))
         for batch in batches:
-            phi = scale * np.cos(batch.to_numpy(float) @ omega + shift)
-            if below < math.inf:
-                phi = phi[phi @ weights <= below]
-            total += phi.sum(axis=0)
-            n += len(phi)
-        if n:
-            yield pd.DataFrame({"i": np.arange(len(shift), dtype="int32"), "s": total, "n": n})
-
-    sums = df.select(*machine.cols).mapInPandas(partial, "i int, s double, n long")
-    rows = sums.groupBy("i").agg((F.sum("s") / F.sum("n")).alias("m")).orderBy("i").collect()
-    return np.array([r["m"] for r in rows]) if rows else weights
-
-
-def shortest_mix(atoms: np.ndarray, rounds: int = 5_000) -> np.ndarray:
-    """Shortest weighted average of a few vectors, moving weight from the worst to the best."""
+            phi = machine.features(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
+            bin_ = np.searchsorted(edges, phi @ machine.weights, side="right")
+            inside = np.flatnonzero(bin_ < bins)
+            counts += np.bincount(bin_[inside], minlength=bins)
+            sums += (bin_[inside] == np.arange(bins)[:, None]).astype(float) @ phi[inside]
+        some = np.flatnonzero(counts)
+        rows = [pa.array(some.astype(np.int32)), pa.array(counts[some]), pa.array(list(sums[some]), pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays(rows, ["bin", "n", "s"])
+
+    parts = df.select(*machine.cols).mapInArrow(partial, "bin int, n long, s array<double>")
+    cells = parts.select("bin", "n", F.posexplode("s").alias("i", "x")).groupBy("bin", "i").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
+    counts, sums = np.zeros(bins, np.int64), np.zeros((bins, len(machine.shift)))
+    for r in cells.collect():
+        counts[r["bin"]] = r["n"]
+        sums[r["bin"], r["i"]] = r["x"]
+    return counts, sums
+
+
+def _shortest_shares(atoms: np.ndarray, share: np.ndarray, rounds: int) -> np.ndarray:
     gram = atoms @ atoms.T
-    share = np.full(len(atoms), 1.0 / len(atoms))
+    share = share.copy()
     for _ in range(rounds):
         slope = gram @ share
         best, worst = int(np.argmin(slope)), int(np.argmax(np.where(share > 0, slope, -np.inf)))
@@ -232,19 +251,27 @@ def shortest_mix(atoms: np.ndarray, rounds: int = 5_000) -> np.ndarray:
         moved = min(share[worst], (slope[worst] - slope[best]) / bend)
         share[best] += moved
         share[worst] -= moved
-    return share @ atoms
+    return share
+
+
+def shortest_mix(atoms: np.ndarray, rounds: int = 5_000) -> np.ndarray:
+    """Shortest weighted average of a few vectors, moving weight from the worst to the best."""
+    return _shortest_shares(atoms, np.full(len(atoms), 1.0 / len(atoms)), rounds) @ atoms
 
 
 def one_class_machine(
-    df: DataFrame, cols: Sequence[str], nu: float = 0.05, features: int = 256, steps: int = 20, seed: int = 42
+    df: DataFrame, cols: Sequence[str], nu: float = 0.05, features: int = 256, seed: int = 42, tolerance: float = TOLERANCE
 ) -> OneClassMachine:
     """Fit on scaled columns with an RBF kernel of width 1 / (d * variance).
 
     The dual asks for the shortest average of phi in which no row weighs more than
-    1 / (nu n). Each step finds the nu share of rows with the lowest margin, adds their
-    mean to the averages found so far, and takes the shortest mix of all of them.
-    A step reads the table twice and returns one number and one short vector, so `df`
-    should be a stored table rather than a long plan.
+    1 / (nu n). Each step is one pass: margins under the present weights are sorted into
+    bins, the nu share of rows with the lowest ones is averaged, a share of the bin that
+    the quantile falls into included, and the weights become the shortest mix of the
+    averages found so far. The lower edge of that bin proves how short any average can
+    be, so the gap is a bound and not an estimate. A margin moves by no more than
+    the weights do, so the bins of the next pass hold the next quantile for certain and
+    close in on it. Rows with a missing value are left out; a table without rows has no machine.
     """
     cols = list(cols)
     table = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
@@ -255,21 +282,41 @@ def one_class_machine(
     shift = rng.uniform(0.0, 2.0 * math.pi, features)
 
     machine = OneClassMachine(cols, omega, shift, np.zeros(features))
-    machine.weights = _mean_features(table, machine)
-    atoms = machine.weights[None, :]
-    for _ in range(steps):
-        rho = machine.margin(table).agg(F.percentile_approx("score", nu, 2_000)).first()[0]
-        lowest = _mean_features(table, machine, rho)
+    counts, sums = _binned_features(table, machine, np.array([math.inf]))
+    if not counts[0]:
+        raise ValueError("no row without missing values to fit on")
+    mass = nu * counts[0]
+    machine.weights = sums[0] / counts[0]
+    atoms, share = machine.weights[None, :], np.array([1.0])
+    reach = LONGEST * float(np.linalg.norm(machine.weights))
+    low, high = -reach, reach
+    while machine.steps < STEPS:
+        pad = 1e-9 + 1e-9 * max(abs(low), abs(high))  # rounding
+        edges = np.linspace(low - pad, high + pad, BINS + 1)
+        counts, sums = _binned_features(table, machine, edges)
+        machine.steps += 1
+        upto = np.cumsum(counts)
+        at = min(int(np.searchsorted(upto, mass)), BINS)  # the quantile lies in this bin
+        rest = mass - (upto[at - 1] if at else 0)
+        whole = sums[:at].sum(0)
+        lowest = (whole + rest / max(counts[at], 1) * sums[at]) / mass
         length = float(machine.weights @ machine.weights)
-        if length - float(machine.weights @ lowest) <= TOLERANCE * length:
+        bound = float(machine.weights @ whole + rest * edges[max(at - 1, 0)]) / mass
+        machine.gap = (length - bound) / length if length else 0.0
+        machine.converged = machine.gap <= tolerance
+        if machine.converged:
             break
-        atoms = np.vstack([atoms, lowest])
-        machine.weights = shortest_mix(atoms)
+        atoms, share = np.vstack([atoms, lowest]), np.append(share, 0.0)
+        share = _shortest_shares(atoms, share, 20_000)
+        atoms, share = atoms[share > 0], share[share > 0]
+        moved = LONGEST * float(np.linalg.norm(share @ atoms - machine.weights))
+        machine.weights = share @ atoms
+        low, high = edges[max(at - 1, 0)] - moved, edges[min(at, BINS)] + moved
     return machine
 
 
 def score_one_class_machine(df: DataFrame, cols: Sequence[str], nu: float = 0.05, seed: int = 42) -> DataFrame:
-    """Fit, score and decide: about a `nu` share of the rows is marked -1."""
+    """Fit, score and decide: about a `nu` share of the rows is marked -1, cut at the exact quantile of the scores."""
     rows = materialize(df.dropna(subset=list(cols)), spread=True)
     scored = materialize(one_class_machine(rows, cols, nu, seed=seed).margin(rows))
     return decide(scored, "score", nu)

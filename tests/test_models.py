@@ -207,6 +207,53 @@ def test_one_class_machine_comes_close_to_the_best(readings):
     assert machine.weights @ machine.weights == pytest.approx(w @ w, rel=0.02)
 
 
+def exact_machine(x, nu, gamma, rounds=60_000):
+    """The dual with the full kernel matrix, weight moved between two rows at a time."""
+    kernel = np.exp(-gamma * ((x[:, None] - x[None]) ** 2).sum(2))
+    n, cap = len(x), 1 / (nu * len(x))
+    alpha = np.full(n, 1 / n)
+    slope = kernel @ alpha
+    for _ in range(rounds):
+        up, down = int(np.where(alpha < cap, slope, np.inf).argmin()), int(np.where(alpha > 0, slope, -np.inf).argmax())
+        if slope[down] - slope[up] < 1e-9:
+            break
+        step = min(cap - alpha[up], alpha[down], (slope[down] - slope[up]) / (2 - 2 * kernel[up, down]))
+        alpha[up] += step
+        alpha[down] -= step
+        slope += step * (kernel[up] - kernel[down])
+    return slope
+
+
+def ranks(values):
+    return np.argsort(np.argsort(values))
+
+
+def test_one_class_machine_orders_rows_as_the_exact_kernel(spark):
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(size=(380, 3)), rng.normal(scale=4, size=(20, 3))])
+    rows = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "i int, a double, b double, c double").repartition(3)
+    machine = anomaly.one_class_machine(rows, ["a", "b", "c"], nu=0.1, features=2048, tolerance=1e-4)
+    assert machine.converged and machine.gap <= 1e-4 and machine.steps < 60
+    scores = [r.score for r in machine.margin(rows).orderBy("i").collect()]
+    exact = exact_machine(x, 0.1, 1 / (3 * x.var()))
+    assert np.corrcoef(ranks(scores), ranks(exact))[0, 1] > 0.95
+    assert len(set(np.argsort(scores)[:20]) & set(np.argsort(exact)[:20])) >= 17
+
+
+def test_one_class_machine_reports_its_gap(readings, monkeypatch):
+    cols = ["a", "b", "c"]
+    done = anomaly.one_class_machine(readings, cols)
+    assert done.converged and 0 <= done.gap <= anomaly.TOLERANCE and done.steps < 40
+    monkeypatch.setattr(anomaly, "STEPS", 3)
+    early = anomaly.one_class_machine(readings, cols)
+    assert not early.converged and early.steps == 3 and early.gap > anomaly.TOLERANCE
+    # The bound holds: no mix is shorter than the present one by more than the gap.
+    best, now = done.weights @ done.weights, early.weights @ early.weights
+    assert now * (1 - early.gap) <= best <= now
+    with pytest.raises(ValueError, match="no row"):
+        anomaly.one_class_machine(readings.limit(0), cols)
+
+
 def test_shortest_mix():
     square = np.array([[1.0, 1.0], [3.0, -1.0], [5.0, 5.0]])
     assert np.allclose(anomaly.shortest_mix(square), [1.0, 1.0])
