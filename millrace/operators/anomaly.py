@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.numeric import as_flag
 from millrace.operators import metrics
+from millrace.operators.blocks import block_sum
 from millrace.operators.lineage import materialize
 from millrace.operators.quantiles import quantile_values
 from millrace.operators.sizing import unpivot_row
@@ -213,30 +214,24 @@ def _binned_features(df: DataFrame, machine: OneClassMachine, edges: np.ndarray)
     """Rows and sum of phi per bin of the margin, in one pass: (counts, sums).
 
     Bin 0 lies below the first edge; rows above the last edge are in no bin and not summed.
-    Every task adds up its own rows; the sums meet by bin and feature, and one number for
-    each of these comes back, however large the table is.
+    One number per bin and feature comes back, however large the table is.
     """
     bins = len(edges)
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, sums = np.zeros(bins, np.int64), np.zeros((bins, len(machine.shift)))
+    width = len(machine.shift) + 1
+
+    def block(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros((bins, width))
         for batch in batches:
             phi = machine.features(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
             bin_ = np.searchsorted(edges, phi @ machine.weights, side="right")
             inside = np.flatnonzero(bin_ < bins)
-            counts += np.bincount(bin_[inside], minlength=bins)
-            sums += (bin_[inside] == np.arange(bins)[:, None]).astype(float) @ phi[inside]
-        some = np.flatnonzero(counts)
-        rows = [pa.array(some.astype(np.int32)), pa.array(counts[some]), pa.array(list(sums[some]), pa.list_(pa.float64()))]
-        yield pa.RecordBatch.from_arrays(rows, ["bin", "n", "s"])
-
-    parts = df.select(*machine.cols).mapInArrow(partial, "bin int, n long, s array<double>")
-    cells = parts.select("bin", "n", F.posexplode("s").alias("i", "x")).groupBy("bin", "i").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
-    counts, sums = np.zeros(bins, np.int64), np.zeros((bins, len(machine.shift)))
-    for r in cells.collect():
-        counts[r["bin"]] = r["n"]
-        sums[r["bin"], r["i"]] = r["x"]
-    return counts, sums
+            total[:, 0] += np.bincount(bin_[inside], minlength=bins)
+            total[:, 1:] += (bin_[inside] == np.arange(bins)[:, None]).astype(float) @ phi[inside]
+        return total.ravel()
+
+    total = block_sum(df.select(*machine.cols), block, bins * width).reshape(bins, width)
+    return total[:, 0].astype(np.int64), total[:, 1:]
 
 
 def _shortest_shares(atoms: np.ndarray, share: np.ndarray, rounds: int) -> np.ndarray:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordering import order_cuts, running_totals
+from millrace.operators.ordering import order_cuts, running_totals, running_totals_by
 from millrace.operators.profiling import histogram
 
 
@@ -109,6 +109,17 @@ def roc_auc(df: DataFrame, y: str, score: str, invert: bool = False) -> DataFram
     return totals.agg(F.try_divide(area, pairs).alias("auc"))
 
 
+def roc_auc_by(df: DataFrame, by: str, y: str, score: str) -> DataFrame:
+    """(by, auc): exact area per group, all groups in one job; null for a group of a single class."""
+    scored = df.select(by, F.col(score).cast("double").alias("score"), (F.col(y) == 1).alias("hit")).dropna()
+    counts = scored.groupBy(by, "score").agg(F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg"))
+    totals = running_totals_by(counts, by, "score", ["pos", "neg"])
+    below = (F.col("neg_upto") - F.col("neg")).cast("double")
+    area = F.sum(F.col("pos") * (below + 0.5 * F.col("neg")))
+    pairs = F.max("pos_all").cast("double") * F.max("neg_all")
+    return totals.groupBy(by).agg(F.try_divide(area, pairs).alias("auc"))
+
+
 def roc_points(df: DataFrame, y: str, score: str, invert: bool = False) -> DataFrame:
     """(cut, fpr, tpr) for every distinct score used as `score >= cut`."""
     totals = score_totals(df, y, score, invert)

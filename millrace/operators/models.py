@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numeric import as_flag
 from millrace.operators.features import Preparation, assemble
-from millrace.operators.metrics import roc_auc
+from millrace.operators.logistic import LogisticFit, fit_logistics, held_out_scores
+from millrace.operators.metrics import roc_auc_by
 from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.sizing import broadcast_if_small
 
@@ -69,14 +70,12 @@ def prediction_table(fit: LinearFit, df: DataFrame, y: str, keys: Sequence[str]
 
 def logistic_regression(
     train: DataFrame, y: str, features: str = "features", c: float = 1.0, weight: str | None = None
-):
-    """L2-penalised logistic regression; `c` is the inverse penalty on the summed loss."""
-    total = train.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
-    model = LogisticRegression(
-        featuresCol=features, labelCol=y, regParam=1.0 / (c * float(total)), elasticNetParam=0.0,
-        standardization=False, maxIter=200, tol=1e-9,
-    )
-    return (model.setWeightCol(weight) if weight else model).fit(train)
+) -> LogisticFit:
+    """L2-penalised logistic regression; `c` is the inverse penalty on the summed loss.
+
+    Newton steps, each one pass; the fit tells whether it converged.
+    """
+    return fit_logistics(train, y, [(c, None, weight is not None)], features, weight=weight)[0]
 
 
 def random_forest(
@@ -92,6 +91,8 @@ def random_forest(
 
 def predict_proba(model, df: DataFrame, out: str = "p") -> DataFrame:
     """Rows with the probability of class 1."""
+    if isinstance(model, LogisticFit):
+        return df.withColumn(out, model.probability())
     scored = model.transform(df)
     return scored.withColumn(out, vector_to_array("probability")[1]).drop(
         "rawPrediction", "probability", "prediction"
@@ -131,19 +132,27 @@ def stratified_folds(df: DataFrame, label: str, hashed: Column, k: int) -> DataF
     return marked.withColumn("fold", F.when(F.col("__cuts").isNotNull(), passed.cast("int"))).drop("__hash", "__cuts")
 
 
-def cross_validate(folded: DataFrame, y: str, k: int, cs: Sequence[float], features: str = "features") -> DataFrame:
-    """(c, auc): mean exact area under the curve over the folds for each inverse penalty.
+def cross_validate(
+    folded: DataFrame, y: str, k: int, cs: Sequence[float], features: str = "features", weight: str | None = None
+) -> DataFrame:
+    """(c, weighted, auc, converged, passes): mean exact area under the curve over the folds, best first.
 
-    Folds are fitted with the settings of the final model; rows without a label take no part.
+    The grid is every inverse penalty, without and, if `weight` names a column, also with
+    row weights. All folds and grid points are fitted together, each pass over the table
+    serves all models that are still open, and one job scores every row under the models
+    that did not see it. `converged` holds if all fits of a grid point did. Rows without a
+    label take no part; a fold with one class only has no area and is left out of the mean.
     """
-    known = folded.filter(F.col(y).isNotNull())
+    points = [(float(c), w) for w in ([False, True] if weight else [False]) for c in cs]
+    grid = [(c, i, w) for c, w in points for i in range(k)]
+    fits = fit_logistics(folded, y, grid, features, "fold", weight)
+    found = roc_auc_by(held_out_scores(folded, y, fits), "model", y="y", score="p").collect()
+    areas = {r["model"]: r["auc"] for r in found}
     rows = []
-    for c in cs:
-        areas = []
-        for i in range(k):
-            model = logistic_regression(known.filter(F.col("fold") != i), y, features, float(c))
-            scored = predict_proba(model, known.filter(F.col("fold") == i))
-            areas.append(roc_auc(scored, y, "p").first()["auc"])
-        measured = [a for a in areas if a is not None]
-        rows.append((float(c), sum(measured) / len(measured) if measured else None))
-    return folded.sparkSession.createDataFrame(rows, "c double, auc double").orderBy(F.desc("auc"), "c")
+    for n, (c, w) in enumerate(points):
+        own = range(n * k, n * k + k)
+        measured = [areas[m] for m in own if areas.get(m) is not None]
+        auc = sum(measured) / len(measured) if measured else None
+        rows.append((c, w, auc, all(fits[m].converged for m in own), max(fits[m].passes for m in own)))
+    schema = "c double, weighted boolean, auc double, converged boolean, passes int"
+    return folded.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("auc"), "c", "weighted")

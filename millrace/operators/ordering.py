@@ -35,6 +35,33 @@ def slice_of(value: Column, cuts: Sequence[float]) -> Column:
     )
 
 
+def running_totals_by(counts: DataFrame, by: str, order: str, cols: Sequence[str]) -> DataFrame:
+    """`running_totals` within each of a few groups, all in one job.
+
+    Every group has its own cut points, so each slice of each group is about as large as
+    the others of its group. Groups are few (models, folds): one row of cut points each is broadcast.
+    """
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(2 * partitions, 16)
+    marks = [i / slices for i in range(1, slices)]
+    cuts = counts.groupBy(by).agg(F.percentile_approx(order, marks, 4 * slices).alias("__cuts"))
+    at = F.size(F.filter("__cuts", lambda x: x <= F.col(order)))
+    sliced = counts.join(F.broadcast(cuts), by).withColumn("__slice", at).drop("__cuts")
+    within = Window.partitionBy(by, "__slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = sliced.withColumns({f"__{c}": F.sum(c).over(within) for c in cols})
+    slices_of = sliced.groupBy(by, "__slice").agg(*[F.sum(c).alias(f"__{c}_slice") for c in cols])
+    before = Window.partitionBy(by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(by)
+    offsets = slices_of.select(
+        by, "__slice",
+        *[F.coalesce(F.sum(f"__{c}_slice").over(before), F.lit(0)).alias(f"__{c}_before") for c in cols],
+        *[F.sum(f"__{c}_slice").over(whole).alias(f"{c}_all") for c in cols],
+    )
+    joined = local.join(F.broadcast(offsets), [by, "__slice"])
+    totals = {f"{c}_upto": F.col(f"__{c}") + F.col(f"__{c}_before") for c in cols}
+    return joined.select(*counts.columns, *[v.alias(k) for k, v in totals.items()], *[f"{c}_all" for c in cols])
+
+
 def running_totals(counts: DataFrame, order: str, cols: Sequence[str], cuts: Sequence[float]) -> DataFrame:
     """Add `<col>_upto` (rows up to and including this value) and `<col>_all` for each column.
 

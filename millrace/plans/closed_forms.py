@@ -259,7 +259,81 @@ def _(t):
     vectors = features.assemble(rows.withColumn("small", c("x") / 1e5), ["small"])
     folded = materialize(models.stratified_folds(vectors, "y", h, 3))
     # with one feature the area does not depend on the penalty
-    return _round(models.cross_validate(folded, "y", 3, [0.1, 10.0]), ["auc"])
+    return _round(models.cross_validate(folded, "y", 3, [0.1, 10.0]).select("c", "auc"), ["auc"])
+
+
+# With an indicator for each of two groups and hardly a penalty, a logistic fit gives every group its own share.
+
+
+def _groups(t):
+    group = F.when(c("o_orderpriority") == "1-URGENT", "urgent").when(c("o_orderpriority") == "2-HIGH", "high").otherwise("other")
+    h = features.integer_hash("o_orderkey")
+    rows = t.orders.select(
+        "o_orderkey", group.alias("g"), F.when(c("o_totalprice") + 20000 * (group == "urgent").cast("int") > 150000, 1).otherwise(0).alias("y"),
+        F.when(group == "urgent", 1.0).otherwise(0.0).alias("urgent"), F.when(group == "high", 1.0).otherwise(0.0).alias("high"),
+    )
+    return materialize(models.stratified_folds(features.assemble(rows, ["urgent", "high"]), "y", h, 3))
+
+
+_GROUPS = f"""h as (select *, {_HASH} as h, case o_orderpriority when '1-URGENT' then 'urgent' when '2-HIGH' then 'high' else 'other' end as g,
+    case when o_totalprice + case when o_orderpriority = '1-URGENT' then 20000 else 0 end > 150000 then 1 else 0 end as y from orders)"""
+_LOGITS = f"""with {_GROUPS}, l as (select g, ln(avg(y) / (1 - avg(y))) as l from h group by 1)"""
+
+
+@query(
+    "ml03_two_feature_coefficients",
+    f"""{_LOGITS} select g.g as feature, round(g.l - b.l, 5) as weight, round(b.l, 5) as intercept, true as converged
+        from l g, l b where g.g <> 'other' and b.g = 'other'""",
+)
+def _(t):
+    rows = _groups(t)
+    fit = models.logistic_regression(rows, "y", c=1e9)
+    named = models.feature_importance(fit, ["urgent", "high"], rows)
+    out = named.withColumn("intercept", F.lit(fit.intercept)).withColumn("converged", F.lit(fit.converged))
+    return _round(out, ["weight", "intercept"], 5)
+
+
+@query(
+    "ml07_strongest_of_fit",
+    f"""{_LOGITS}, w as (select g.g as feature, g.l - b.l as weight from l g, l b where g.g <> 'other' and b.g = 'other')
+        select feature, round(weight, 5) as weight, case when weight > 0 then 'raises' else 'lowers' end as side from w""",
+)
+def _(t):
+    rows = _groups(t)
+    importance = models.feature_importance(models.logistic_regression(rows, "y", c=1e9), ["urgent", "high"], rows)
+    return _round(models.strongest_features(importance), ["weight"], 5)
+
+
+@query(
+    "ml08_two_feature_search",
+    f"""with {_GROUPS},
+      q as (select y, quantile_cont(h::double, [1 / 3.0::double, 2 / 3.0::double]) as cuts from h group by 1),
+      f as (select g, h.y, (cuts[1] <= h)::int + (cuts[2] <= h)::int as fold from h join q on h.y = q.y),
+      n as (select g, fold, sum(y) as pos, count(*) - sum(y) as neg from f group by all),
+      p as (select n.*, (sum(pos) over w - pos) / (sum(pos + neg) over w - pos - neg)::double as p from n window w as (partition by g)),
+      k as (select *, sum(neg) over (partition by fold order by p) - neg as below from p),
+      a as (select fold, sum(pos * (below + 0.5::double * neg)) / (sum(pos)::double * sum(neg)) as auc from k group by 1)
+      select 1e9::double as c, round(avg(auc), 6) as auc, true as converged from a""",
+)
+def _(t):
+    return _round(models.cross_validate(_groups(t), "y", 3, [1e9]).select("c", "auc", "converged"), ["auc"])
+
+
+# Classes with a gap between them, which no constant or random classifier gets right.
+
+
+@query(
+    "ml04_forest_on_separate_classes",
+    f"""with h as (select case when o_totalprice > 150000 then 1 else 0 end as label from orders where {_HASH} >= 1717986917)
+        select label, count(*) as n, count(*) as correct from h group by 1""",
+)
+def _(t):
+    label = F.when(c("o_totalprice") > 150000, 1).otherwise(0)
+    rows = t.orders.select("o_orderkey", label.alias("label"), (c("o_totalprice") / 1e6 + label).alias("x"), (c("o_orderkey") % 7 / 10 + 2 * label).alias("other"))
+    rows = features.assemble(features.random_split(rows, features.integer_hash("o_orderkey"), 0.8), ["other", "x"])
+    model = models.random_forest(rows.filter("part = 'train'"), "label", trees=15, depth=4)
+    scored = models.predict_class(models.predict_proba(model, rows.filter("part = 'test'")))
+    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(c("pred") == c("label")).alias("correct"))
 
 
 # --- clusters: two groups far apart, so the best clusters are known ----------
@@ -356,6 +430,44 @@ def _(t):
     return _marks(anomaly.score_one_class_machine(scaled_readings(t), SENSORS))
 
 
+# One reading in 500 is moved far out, in a direction of its own; a detector must put these before all others.
+
+_STRANGE = "l_orderkey * 7 + l_linenumber"
+
+
+def _with_strangers(t):
+    sensors = {x: c(f"l_{x}") for x in ("quantity", "discount", "tax")}
+    scaled = features.standardize(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *[v.alias(k) for k, v in sensors.items()]), list(sensors))
+    key = F.expr(_STRANGE)
+    strange = (key % 500 == 0).cast("int")
+    away = {k: c(k) + strange * (6 + key % 3) * F.when(F.floor(key / 500 / 2**i) % 2 == 0, 1).otherwise(-1) for i, k in enumerate(sensors)}
+    moved = scaled.withColumns(away).withColumn("strange", strange)
+    udi = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("udi")
+    return moved.select(udi, "strange", *sensors), list(sensors)
+
+
+def _strangers_first(scored):
+    scored = materialize(scored.select("strange", "score"))
+    n = scored.agg(F.sum("strange")).first()[0]
+    lowest = scored.orderBy("score").limit(n).agg(F.sum("strange").alias("found"))
+    return lowest.select(F.lit(n).cast("long").alias("strange"), "found")
+
+
+_STRANGERS = f"select count(*) as strange, count(*) as found from lineitem where ({_STRANGE}) % 500 = 0"
+
+
+@query("an01_strangers_first", _STRANGERS)
+def _(t):
+    rows, sensors = _with_strangers(t)
+    return _strangers_first(anomaly.score_isolation_forest(rows, ["udi"], sensors))
+
+
+@query("an02_strangers_first", _STRANGERS)
+def _(t):
+    rows, sensors = _with_strangers(t)
+    return _strangers_first(anomaly.score_one_class_machine(rows, sensors))
+
+
 @query(
     "fe17_split_with_missing_labels",
     "select count(*) as n, count(*) filter (o_orderkey % 5 = 0) as without_part, count(*) filter (o_orderkey % 5 = 0) as without_weight, count(*) filter (o_orderkey % 5 = 0) as without_fold from orders",

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.operators import anomaly, clustering, features, forecast, metrics, models
+from millrace.operators import anomaly, blocks, clustering, features, forecast, logistic, metrics, models
 
 
 @pytest.fixture(scope="module")
@@ -99,6 +99,89 @@ def test_cross_validation_and_forest(table):
     assert models.feature_importance(forest, ["a", "b"], rows).count() == 2
 
 
+def grid_rows(spark, n=1500, p=4, seed=3):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, p)) * np.arange(1, p + 1)
+    y = (rng.random(n) < 1 / (1 + np.exp(-x @ np.linspace(-1, 1, p) - 0.3))).astype(int)
+    names = [f"x{i}" for i in range(p)]
+    rows = [(i, int(i % 5), int(y[i]) if i % 97 else None, 1.0 + i % 3, *map(float, x[i])) for i in range(n)]
+    schema = "id int, fold int, label int, weight double, " + ", ".join(f"{c} double" for c in names)
+    return features.assemble(spark.createDataFrame(rows, schema), names), names
+
+
+def newton(x, y, s, c, rounds=60):
+    x = np.column_stack([x, np.ones(len(x))])
+    w, ridge = np.zeros(x.shape[1]), np.r_[np.full(x.shape[1] - 1, 1 / c), 0]
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-x @ w))
+        w = w - np.linalg.solve((x.T * (s * p * (1 - p))) @ x + np.diag(ridge), x.T @ (s * (p - y)) + ridge * w)
+    return w
+
+
+def test_grid_fits_equal_single_fits(spark, monkeypatch):
+    rows, names = grid_rows(spark)
+    grid = [(c, fold, w) for c in (0.01, 1.0, 100.0) for fold in (0, 1, 2, 3, 4) for w in (False, True)]
+    passes = []
+    monkeypatch.setattr(logistic, "block_sum", lambda *a: passes.append(1) or blocks.block_sum(*a))
+    fits = logistic.fit_logistics(rows, "label", grid, fold="fold", weight="weight")
+    assert len(fits) == 30 and all(f.converged for f in fits) and len(passes) < 20
+    pdf = rows.filter("label is not null").toPandas()
+    for (c, fold, weighted), fit in zip(grid, fits):
+        own = pdf[pdf["fold"] != fold]
+        s = own["weight"].to_numpy() if weighted else np.ones(len(own))
+        want = newton(own[names].to_numpy(), own["label"].to_numpy(), s, c)
+        assert np.allclose([*fit.coefficients, fit.intercept], want, rtol=1e-6, atol=1e-8)
+
+
+def test_wide_tables_take_first_order_steps(spark, monkeypatch):
+    rows, names = grid_rows(spark)
+    by_curvature = logistic.fit_logistics(rows, "label", [(1.0, None, False), (50.0, None, True)], weight="weight")
+    monkeypatch.setattr(logistic, "NEWTON_FEATURES", 2)
+    by_gradient = logistic.fit_logistics(rows, "label", [(1.0, None, False), (50.0, None, True)], weight="weight")
+    for a, b in zip(by_curvature, by_gradient):
+        assert b.converged and np.allclose([*a.coefficients, a.intercept], [*b.coefficients, b.intercept], atol=1e-4)
+
+
+def test_fits_say_when_they_fail(spark, monkeypatch):
+    rows, _ = grid_rows(spark, 200)
+    one_class = rows.withColumn("label", F.lit(1))
+    assert not models.logistic_regression(one_class, "label").converged
+    with pytest.raises(ValueError, match="no row"):
+        models.logistic_regression(rows.limit(0), "label")
+    holes = features.assemble(spark.createDataFrame([(1, None), (0, 2.0)], "label int, a double"), ["a"], invalid="keep")
+    with pytest.raises(ValueError, match="missing"):
+        models.logistic_regression(holes, "label")
+    monkeypatch.setattr(logistic, "PASSES", 2)
+    out = models.cross_validate(rows, "label", 5, [1.0], weight="weight").collect()
+    assert len(out) == 2 and not any(r.converged for r in out) and all(r.passes == 2 for r in out)
+
+
+def test_search_areas_are_exact(spark):
+    rows, names = grid_rows(spark, 900)
+    out = {(r.c, r.weighted): r for r in models.cross_validate(rows, "label", 5, [0.1, 10.0], weight="weight").collect()}
+    pdf = rows.filter("label is not null").toPandas()
+    assert len(out) == 4 and all(r.converged for r in out.values())
+    for (c, weighted), r in out.items():
+        areas = []
+        for fold in range(5):
+            own, test = pdf[pdf["fold"] != fold], pdf[pdf["fold"] == fold]
+            s = own["weight"].to_numpy() if weighted else np.ones(len(own))
+            w = newton(own[names].to_numpy(), own["label"].to_numpy(), s, c)
+            areas.append(brute_auc(test["label"].to_numpy(), test[names].to_numpy() @ w[:-1]))
+        assert r.auc == pytest.approx(np.mean(areas), abs=1e-9)
+
+
+def test_areas_by_group(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(g), int(rng.integers(0, 2)), float(rng.integers(0, 9)) / 8) for g in (1, 2, 3) for _ in range(300)] + [(4, 1, 0.5), (None, 1, 0.1)]
+    df = spark.createDataFrame(rows, "g int, y int, s double")
+    got = {r.g: r.auc for r in metrics.roc_auc_by(df, "g", "y", "s").collect()}
+    for g in (1, 2, 3):
+        own = [r for r in rows if r[0] == g]
+        assert got[g] == pytest.approx(brute_auc(np.array([r[1] for r in own]), np.array([r[2] for r in own])))
+    assert got[4] is None and set(got) == {1, 2, 3, 4}
+
+
 def brute_auc(y, s):
     pos, neg = s[y == 1], s[y == 0]
     return np.mean((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :]))
