@@ -16,26 +16,31 @@ from pyspark.sql import functions as F
 from millrace.functions import arma
 from millrace.functions.numeric import MAPE_BANDS, grade
 from millrace.functions.special import unit_root_p
-from millrace.operators.windows import holdout_last
 
-#: Periods that one series may have; a likelihood costs the cube of their number.
-MAX_PERIODS = 5_000
+#: Periods that one series may have, if there is to be a limit. Fits cost time in proportion.
+MAX_PERIODS: int | None = None
 
 
 def pack(series: DataFrame, key: str, max_periods: int | None = None) -> DataFrame:
-    """(key, months, ys): one row per series in month order, empty periods left out.
+    """(key, months, ys): one row per series in month order.
 
-    A count before anything is gathered refuses frames that are not aggregated to periods.
-    A series without a known value has no row.
+    Periods without a value between known ones stay as NaN, which the likelihood skips; those
+    before the first and after the last are left out, and a series without a known value has
+    no row. A count before anything is gathered refuses frames that hold a period twice, so
+    what is gathered is bounded by the calendar and not by the raw table.
     """
     present = series.filter(F.col("value").isNotNull())
-    most = present.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    counted = series.groupBy(key, "month").count().groupBy(key).agg(F.count("count").alias("n"), F.max("count").alias("most"))
+    row = counted.filter(F.col(key).isNotNull()).agg(F.max("n").alias("n"), F.max("most").alias("most")).first()
     limit = MAX_PERIODS if max_periods is None else max_periods
-    if most > limit:
-        raise ValueError(f"more than {limit} periods in a series: {most}")
-    sized = present.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("month"), F.col("value").cast("double").alias("value")))).alias("s"),
-    )
+    if limit is not None and (row["n"] or 0) > limit:
+        raise ValueError(f"more than {limit} periods in a series: {row['n']}")
+    if (row["most"] or 0) > 1:
+        raise ValueError("more than one row for a period of a series; aggregate to periods first")
+    spans = present.groupBy(key).agg(F.min("month").alias("__first"), F.max("month").alias("__last"))
+    inside = series.join(spans, key).filter(F.col("month").between(F.col("__first"), F.col("__last")))
+    value = F.coalesce(F.col("value").cast("double"), F.lit(float("nan"))).alias("value")
+    sized = inside.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("month"), value))).alias("s"))
     return sized.select(key, F.col("s.month").alias("months"), F.col("s.value").alias("ys"))
 
 
@@ -159,9 +164,11 @@ def arima_forecast(series: DataFrame, key: str, orders: DataFrame, h: int = 6) -
 
 
 def split_last(series: DataFrame, key: str, h: int) -> tuple[DataFrame, DataFrame]:
-    """Series without their last h periods, and those periods."""
-    marked = holdout_last(series.filter(F.col("value").isNotNull()), [key], "month", h)
-    return marked.filter("part = 'train'").drop("part"), marked.filter("part = 'test'").drop("part")
+    """Series without their last h known periods, and those periods. Empty periods before them stay."""
+    known = F.col("value").isNotNull()
+    newest = Window.partitionBy(key).orderBy(F.desc("month")).rowsBetween(Window.unboundedPreceding, 0)
+    marked = series.withColumn("__back", F.sum(known.cast("int")).over(newest))
+    return marked.filter(F.col("__back") > h).drop("__back"), marked.filter((F.col("__back") <= h) & known).drop("__back")
 
 
 def arima_backtest(series: DataFrame, key: str, orders: DataFrame, h: int = 6) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import money_sum
@@ -141,6 +142,39 @@ def _(t):
     return out.select("l_returnflag", "p", "d", "q", "aic", "mean_monthly")
 
 
+# Months without a value between known ones: a likelihood that skips them has a closed form for these two orders.
+
+_HOLES = f"""{_SERIES.format(src='lineitem')},
+  known as (select l_returnflag, month, value, row_number() over (partition by l_returnflag order by month) as at from series),
+  holes as (select * from known where at % 7 not in (3, 4))"""
+
+
+def _with_holes(t):
+    s = monthly(t)
+    at = F.row_number().over(Window.partitionBy("l_returnflag").orderBy("month"))
+    return s.withColumn("at", at).select("l_returnflag", "month", F.when(~(c("at") % 7).isin(3, 4), c("value")).alias("value"))
+
+
+@query(
+    "ts07_white_noise_over_holes",
+    f"""with {_HOLES} select l_returnflag, 0 as p, 0 as d, 0 as q,
+        round(4 + count(*) * (ln(2 * pi() * var_pop(value)) + 1), 4) as aic from holes group by 1""",
+)
+def _(t):
+    return _round(arima.arima_grid(_with_holes(t), "l_returnflag", 0, 0, d=0).drop("reason"), ["aic"], 4)
+
+
+@query(
+    "ts07_random_walk_over_holes",
+    f"""with {_HOLES}, s as (select l_returnflag, value - lag(value) over w as step, at - lag(at) over w as gap from holes
+          window w as (partition by l_returnflag order by at))
+        select l_returnflag, 0 as p, 1 as d, 0 as q,
+          round(2 + count(step) * (ln(2 * pi() * avg(step * step / gap)) + 1) + sum(ln(gap)), 4) as aic from s group by 1""",
+)
+def _(t):
+    return _round(arima.arima_grid(_with_holes(t), "l_returnflag", 0, 0, d=1).drop("reason"), ["aic"], 4)
+
+
 def _daily(t):
     return materialize(profiling.daily_sum(t.orders, "o_orderdate", money_sum("o_totalprice")))
 

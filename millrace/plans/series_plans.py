@@ -155,6 +155,13 @@ def _(t):
     return arima.arima_grid(monthly(t), "l_returnflag")
 
 
+@query("ts07_daily_order_search")
+def _(t):
+    """The order of every priority's daily totals, thousands of periods each."""
+    days = _daily_by_priority(t).select("o_orderpriority", c("day").alias("month"), c("total").alias("value"))
+    return arima.best_order(arima.arima_grid(days, "o_orderpriority", 1, 1), "o_orderpriority")
+
+
 def _orders(s):
     """Best orders, fitted once and read again by the forecasts."""
     return materialize(arima.best_order(arima.arima_grid(s, "l_returnflag"), "l_returnflag"))
