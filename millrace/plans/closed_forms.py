@@ -145,8 +145,8 @@ def _(t):
 # Months without a value between known ones: a likelihood that skips them has a closed form for these two orders.
 
 _HOLES = f"""{_SERIES.format(src='lineitem')},
-  known as (select l_returnflag, month, value, row_number() over (partition by l_returnflag order by month) as at from series),
-  holes as (select * from known where at % 7 not in (3, 4))"""
+  known as (select l_returnflag, month, value, row_number() over (partition by l_returnflag order by month) as i from series),
+  holes as (select * from known where i % 7 not in (3, 4))"""
 
 
 def _with_holes(t):
@@ -166,8 +166,8 @@ def _(t):
 
 @query(
     "ts07_random_walk_over_holes",
-    f"""with {_HOLES}, s as (select l_returnflag, value - lag(value) over w as step, at - lag(at) over w as gap from holes
-          window w as (partition by l_returnflag order by at))
+    f"""with {_HOLES}, s as (select l_returnflag, value - lag(value) over w as step, i - lag(i) over w as gap from holes
+          window w as (partition by l_returnflag order by i))
         select l_returnflag, 0 as p, 1 as d, 0 as q,
           round(2 + count(step) * (ln(2 * pi() * avg(step * step / gap)) + 1) + sum(ln(gap)), 4) as aic from s group by 1""",
 )

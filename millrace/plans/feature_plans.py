@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, numeric
-from millrace.operators import correlation, features, metrics
+from millrace.operators import correlation, features, metrics, wide_categories
 from millrace.plans.readings import READINGS, labelled_readings
 from millrace.plans.registry import query
 
@@ -182,6 +182,30 @@ def _(t):
     return features.one_hot(t.lineitem.select(*_ID, "l_returnflag", "l_linestatus"), ["l_returnflag", "l_linestatus"])
 
 
+@query(
+    "fe13_wide_positions",
+    """with d as (select c_custkey, c_name, c_nationkey, dense_rank() over (order by c_name) - 1 as name_at,
+         dense_rank() over (order by c_nationkey::varchar) - 2 as nation_at, count(distinct c_name) over () + count(distinct c_nationkey) over () - 2 as width from customer),
+       o as (select o_orderkey, o_custkey from orders)
+       select o_orderkey, case when name_at > 0 then name_at - 1 end as name_at, case when nation_at >= 0 then nation_at end as nation_at, width
+       from o left join d on o_custkey = c_custkey""",
+)
+def _(t):
+    """A level per customer: positions of the ones in the sparse vectors, the first level of each column dropped."""
+    prep = wide_categories.fit_wide_preparation(t.customer, [], ["c_name", "c_nationkey"], drop_first=True)
+    rows = t.orders.select("o_orderkey", "o_custkey").join(t.customer.select(c("c_custkey").alias("o_custkey"), "c_name", "c_nationkey"), "o_custkey", "left")
+    at = prep.positions(rows)
+    return at.select("o_orderkey", c("__at_c_name").alias("name_at"), c("__at_c_nationkey").alias("nation_at"), F.lit(prep.width).cast("long").alias("width"))
+
+
+@query("fe14_wide_vectors")
+def _(t):
+    """Sparse vectors of scaled prices and a level per customer, learned from the training orders only."""
+    marked = features.random_split(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"), features.integer_hash("o_orderkey"), 0.8)
+    prep = wide_categories.fit_wide_preparation(marked.filter("part = 'train'"), ["o_totalprice"], ["o_custkey", "o_orderpriority"])
+    return prep.transform(marked).select("o_orderkey", "part", "features")
+
+
 @query(
     "fe13_one_hot_drop_first",
     """select l_orderkey, l_partkey, l_linenumber, (l_returnflag = 'N')::int as "l_returnflag_N",

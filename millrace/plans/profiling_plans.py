@@ -342,6 +342,25 @@ def _(t):
     return _round(correlation.correlation_matrix(t.lineitem, _COR), ["r"])
 
 
+_MEASURES = {f"m{i}": f"sin(l_partkey * {i + 1} + l_quantity) * l_extendedprice + {i} * l_suppkey" for i in range(9)} | {
+    "tax": "case when l_linenumber <> 3 then l_tax end", "discount": "case when l_linenumber <> 4 then l_discount end", "same": "l_linenumber * 0 + 7.25",
+}
+
+
+@query(
+    "co01_many_columns",
+    f"with x as (select {', '.join(f'({e})::double as {n}' for n, e in _MEASURES.items())} from lineitem) "
+    + " union all ".join(
+        f"select '{a}' as a, '{b}' as b, " + ("max(null::double)" if "same" in (a, b) else f"round(corr({a}, {b}), 6) + 0.0") + " as r from x"
+        for a in _MEASURES for b in _MEASURES
+    ),
+)
+def _(t):
+    """More pairs than an aggregate takes: summed as blocks."""
+    rows = t.lineitem.select(*[F.expr(e).cast("double").alias(n) for n, e in _MEASURES.items()])
+    return _round(correlation.correlation_matrix(rows, list(_MEASURES)), ["r"])
+
+
 @query(
     "co02_correlation_with",
     " union all ".join(
