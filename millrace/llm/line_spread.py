@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import packed, unpacked
+from millrace.llm.hot_keys import join_counted
 from millrace.operators.lineage import materialize
 
 #: A line on at least so many sites is boilerplate.
-MIN_SITES = 10
+MIN_SITES = 4
+#: Broadcast at most so many boilerplate lines: those that hold more than this share of all lines.
+HOT_LINES = 10_000
 #: log2 of the sketch's registers; its relative error is 1.04 / sqrt(registers).
 LOG_REGISTERS = 10
 #: Standard errors around the threshold within which a line is counted exactly.
@@ -35,7 +38,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """line_hash, first_doc, first_at of each line on at least `min_sites` sites."""
+    """line_hash, first_doc, first_at and held (its occurrences) of each line on at least `min_sites` sites."""
     error = MARGIN * 1.04 / (1 << LOG_REGISTERS) ** 0.5
     low, high = min_sites * (1 - error) - 1, min_sites * (1 + error) + 1
     spread = (
@@ -44,6 +47,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
             F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS))).alias("sites"),
             F.min(F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "at")).alias("first"),
             F.count("site").alias("n"),
+            F.count(F.lit(1)).alias("held"),
         )
         .filter((F.col("n") >= min_sites) & (F.col("sites") >= low))
     )
@@ -56,16 +60,20 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         .select("line_hash")
     )
     decided = spread.filter(~near).unionByName(spread.join(exact, "line_hash", "left_semi"))
-    return decided.select("line_hash", F.col("first.doc").alias("first_doc"), F.col("first.at").alias("first_at"))
+    return decided.select("line_hash", F.col("first.doc").alias("first_doc"), F.col("first.at").alias("first_at"), "held")
 
 
 def removals(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """doc, mark, drop: sorted line numbers that go, one row per document that loses any."""
-    lines = materialize(_lines(docs))  # hashes and places only, for the three passes below
-    known = boilerplate(lines, min_sites)
+    """doc, mark, drop: sorted line numbers that go, one row per document that loses any.
+
+    Lines that very many documents share meet their occurrences by broadcast, of which there
+    can only be HOT_LINES; the others by shuffle, none of them with many rows.
+    """
+    lines = materialize(_lines(docs))  # hashes and places only, for the passes below
+    known = materialize(boilerplate(lines, min_sites))
     first = F.col("doc").eqNullSafe(F.col("first_doc")) & (F.col("at") == F.col("first_at"))
     return (
-        lines.join(known, "line_hash")
+        join_counted(lines, known, "line_hash", "held", lines.count(), HOT_LINES)
         .filter(~first)
         .groupBy("doc", "mark")
         .agg(F.sort_array(F.collect_set("at")).alias("drop"))
@@ -78,7 +86,8 @@ def dedup_lines(docs: DataFrame, *, min_sites: int = MIN_SITES) -> DataFrame:
     Columns: row (the input row as a struct), clean (the text left), n_lines, n_removed.
     Lines end at "\\n" and are compared without blanks around them. A line on at least
     `min_sites` distinct sources is boilerplate; it stays only where it occurs first, by
-    smallest doc_id, then line number, so no passage is lost altogether. Lines without a
+    smallest doc_id, then line number, so no passage is lost altogether. A table with fewer
+    sources than `min_sites` loses nothing, an empty one gives no rows. Lines without a
     word always stay. A null source is no site. A null text stays null with 0 lines.
     Rows that repeat an id and a text are treated alike; a null id comes after all others.
     """

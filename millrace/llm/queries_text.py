@@ -128,7 +128,7 @@ OP7_SQL = f"""
 with d as (select row_number() over () as r, doc_id, source, text, string_split(text, chr(10)) as ls from documents),
 l as (select r, doc_id, source, unnest(ls) as raw, generate_subscripts(ls, 1) as i from d),
 x as (select *, regexp_replace(raw, '^{SPACE}+|{SPACE}+$', '', 'g') as line from l),
-b as (select line, min((doc_id, i)) as first from x where line <> '' group by line having count(distinct source) >= 10),
+b as (select line, min((doc_id, i)) as first from x where line <> '' group by line having count(distinct source) >= {line_spread.MIN_SITES}),
 k as (select x.*, b.line is not null and (x.doc_id, x.i) <> b.first as gone from x left join b using (line)),
 g as (select r, count(*) as n_lines, count(*) filter (gone) as n_removed,
   string_agg(raw, chr(10) order by i) filter (not gone) as clean from k group by r)

@@ -88,7 +88,7 @@ def test_line_stage(kept):
                 places[body].append((r["doc_id"], i, r["source"]))
     gone = set()
     for where in places.values():
-        if len({s for *_, s in where}) >= 10:
+        if len({s for *_, s in where}) >= 4:
             gone |= {(d, i) for d, i, _ in where} - {min((d, i) for d, i, _ in where)}
     got = by_id(kept["line_dedup"])
     assert len(got) == len(rows) and gone
