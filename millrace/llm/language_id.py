@@ -5,7 +5,9 @@ the text, of the declared markup language and of the address suffix. Host priors
 smoothed down a hierarchy: a host leans on its domain, the domain on its suffix, the
 suffix on the whole corpus. All tables come from grouped aggregation over all documents.
 Languages with few documents share one class; a second pass tells them apart in the
-documents that this class wins.
+documents that this class wins. A background class stands for everything else, noise
+and unknown languages: it expects the same trigrams as the languages, but by far less
+sharply, so a text wins over it only with trigrams that its language prefers.
 """
 
 from __future__ import annotations
@@ -30,6 +32,11 @@ EVIDENCE = 200
 LEAST_SHARE = 0.001
 #: Documents that a parent of the host hierarchy counts for.
 PRIOR_WEIGHT = 10.0
+#: Prior of the background class.
+PRIOR_BACKGROUND = 0.001
+#: The background is the languages' mean raised to this power, and a share of all cells alike.
+FLATNESS = 0.5
+EVEN_SHARE = 0.3
 #: A document whose best language has a smaller posterior is rejected.
 LEAST_POSTERIOR = 0.5
 #: Letters that a text needs.
@@ -137,8 +144,14 @@ def text_model(evidence: DataFrame, languages: list[str], n: int) -> np.ndarray:
     return np.log(table / table.sum(1, keepdims=True)).astype(np.float32)
 
 
+def background(table: np.ndarray) -> np.ndarray:
+    """Log-likelihood of a cell under the background, from those under the classes."""
+    flat = np.exp(table.astype(np.float64)).mean(0) ** FLATNESS
+    return np.log((1 - EVEN_SHARE) * flat / flat.sum() + EVEN_SHARE / CELLS).astype(np.float32)
+
+
 def text_scores(text: Column, model) -> Column:
-    """Log-likelihoods of each text, one per language, for at most EVIDENCE trigrams; 0 without any."""
+    """Log-likelihoods of each text, one per row of the model, for at most EVIDENCE trigrams; 0 without any."""
 
     @F.arrow_udf(T.ArrayType(T.DoubleType(), False))
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -280,8 +293,10 @@ def identify(evidence: DataFrame) -> DataFrame:
     `evidence` has text, declared, host, domain, suffix (string, any null) and a struct
     `row` that is carried along. Null or unknown declarations, addresses and hosts are no
     evidence either way. A text with fewer than LEAST_LETTERS letters gets no language and is rejected,
-    as is one whose best posterior is under LEAST_POSTERIOR; ties go to the language first in the
-    alphabet. If nothing declares a language, every row is rejected. Rows are never
+    as is one whose best language has a posterior under LEAST_POSTERIOR beside the other
+    languages and the background; a text that the background explains better than every
+    language has no vote in host priors. Ties go to the language first in the alphabet.
+    An empty table gives no rows. If nothing declares a language, every row is rejected. Rows are never
     joined on an id, so repeated rows and ids do not matter. Languages under LEAST_SHARE
     compete as one class; the posterior of one of them is the class's times its share in it.
     """
@@ -292,12 +307,17 @@ def identify(evidence: DataFrame) -> DataFrame:
         return evidence.select(
             "row", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted")
         )
-    model = spark.sparkContext.broadcast(text_model(evidence, languages, n))
+    table = text_model(evidence, languages, n)
+    model = spark.sparkContext.broadcast(np.vstack([table, background(table)]))
     letters = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"\P{L}+", "")) >= LEAST_LETTERS
     scores = text_scores(F.col("text"), model)
     carried = ["declared", "host", "domain", "suffix"] + ["text"] * (others > 0)
-    scored = evidence.select("row", *carried, letters.alias("letters"), scores.alias("likelihood"))
-    scored = materialize(scored.withColumn("by_text", F.when(F.col("letters"), _best(F.col("likelihood")))))
+    scored = evidence.select("row", *carried, letters.alias("letters"), scores.alias("scores"))
+    scored = scored.select(
+        "row", *carried, "letters", F.slice("scores", 1, n).alias("likelihood"), F.element_at("scores", -1).alias("unknown")
+    )
+    explained = F.col("letters") & (F.array_max("likelihood") >= F.col("unknown"))
+    scored = materialize(scored.withColumn("by_text", F.when(explained, _best(F.col("likelihood")))))
     voters = scored.filter("by_text is not null")
     joined = (
         scored.join(broadcast_if_small(host_priors(scored, n)), "host", "left")
@@ -309,9 +329,15 @@ def identify(evidence: DataFrame) -> DataFrame:
     fused = F.transform(F.coalesce("prior", even), lambda p: F.log(p))
     for part in ("likelihood", "given_declared", "given_suffix"):
         fused = F.zip_with(fused, F.coalesce(F.col(part), nothing), lambda a, b: a + b)
-    summed = joined.select("row", *carried, "letters", fused.alias("fused"))
-    top = F.array_max("fused")
-    share = F.lit(1.0) / F.aggregate("fused", F.lit(0.0), lambda a, x: a + F.exp(x - top))
+    # The background takes a declaration or suffix as the languages do on average.
+    unknown = F.col("unknown") + float(np.log(PRIOR_BACKGROUND))
+    for part in ("given_declared", "given_suffix"):
+        mean = F.aggregate(part, F.lit(0.0), lambda a, x: a + F.exp(x)) / n
+        unknown = unknown + F.coalesce(F.log(mean), F.lit(0.0))
+    summed = joined.select("row", *carried, "letters", fused.alias("fused"), unknown.alias("unknown"))
+    top = F.greatest(F.array_max("fused"), F.col("unknown"))
+    total = F.aggregate("fused", F.exp(F.col("unknown") - top), lambda a, x: a + F.exp(x - top))
+    share = F.exp(F.array_max("fused") - top) / total
     names = F.array(*[F.lit(l) for l in languages], *[F.lit(None).cast("string")] * (others > 0))
     accepted = (F.col("letters") & F.col("language").isNotNull() & (F.col("posterior") >= LEAST_POSTERIOR)).alias("accepted")
     decided = summed.select(

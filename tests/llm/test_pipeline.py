@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import duckdb
@@ -35,48 +36,90 @@ def by_id(table: pa.Table) -> dict:
 
 
 def plain_languages(rows: list[dict]) -> dict:
-    """doc_id to language or None, by sums over dictionaries."""
+    """doc_id to (language, posterior), by sums over dictionaries; (None, 0) without a letter."""
     grams = {}
     for r in rows:
         raw = language_id._letters(r["text"])
         codes = [int.from_bytes(raw[i : i + 3], "big") for i in range(len(raw) - 2)]
         grams[r["doc_id"]] = [(c * 0x9E3779B1 & 0xFFFFFFFF) >> 16 for c in codes]
-    languages = sorted({r["lang"] for r in rows})
+    languages = sorted({r["lang"] for r in rows if r["lang"]})
     table = {l: Counter() for l in languages}
     for r in rows:
-        table[r["lang"]].update(grams[r["doc_id"]])
+        if r["lang"]:
+            table[r["lang"]].update(grams[r["doc_id"]])
     totals = {l: sum(t.values()) + 0.5 * language_id.CELLS for l, t in table.items()}
+    flat = [(sum((table[l][g] + 0.5) / totals[l] for l in languages) / len(languages)) ** 0.5 for g in range(language_id.CELLS)]
+    rest = [math.log(0.7 * f / math.fsum(flat) + 0.3 / language_id.CELLS) for f in flat]
 
     def text(doc):
         own = grams[doc]
         sums = {l: sum(math.log((table[l][g] + 0.5) / totals[l]) for g in own) for l in languages}
+        sums[None] = sum(rest[g] for g in own)
         return {l: s / max(len(own), 1) * min(len(own), language_id.EVIDENCE) for l, s in sums.items()}
 
     scores = {r["doc_id"]: text(r["doc_id"]) for r in rows}
+    letters = {r["doc_id"] for r in rows if any(c.isalpha() for c in r["text"])}
     wins = {d: max(languages, key=lambda l: s[l]) for d, s in scores.items()}
+    wins = {d: l for d, l in wins.items() if d in letters and scores[d][l] >= scores[d][None]}
     hosts, declared, whole = defaultdict(Counter), defaultdict(Counter), Counter(wins.values())
     for r in rows:
-        hosts[r["source"]][wins[r["doc_id"]]] += 1
-        declared[r["lang"]][wins[r["doc_id"]]] += 1
-    weight, n = language_id.PRIOR_WEIGHT, len(rows)
+        if r["doc_id"] in wins:
+            hosts[r["source"]][wins[r["doc_id"]]] += 1
+            declared[r["lang"]][wins[r["doc_id"]]] += 1
+    declared.pop(None, None)
+    weight, n = language_id.PRIOR_WEIGHT, len(wins)
+    carrying = Counter()
+    for counts in declared.values():
+        carrying.update(counts)
     out = {}
     for r in rows:
         post = {}
+        given = {l: (declared[r["lang"]][l] + 1) / (carrying[l] + len(declared) + 1) if r["lang"] in declared else 1 for l in languages}
         for l in languages:
             corpus = (whole[l] + 1) / (n + len(languages))
             host = hosts[r["source"]]
             prior = (host[l] + weight * corpus) / (sum(host.values()) + weight)
-            given = (declared[r["lang"]][l] + 1) / (whole[l] + len(declared) + 1)
-            post[l] = scores[r["doc_id"]][l] + math.log(prior) + math.log(given)
-        out[r["doc_id"]] = max(languages, key=lambda l: post[l]) if any(c.isalpha() for c in r["text"]) else None
+            if r["source"] not in hosts:
+                prior = 1 / len(languages)
+            post[l] = scores[r["doc_id"]][l] + math.log(prior) + math.log(given[l])
+        post[None] = scores[r["doc_id"]][None] + math.log(0.001) + math.log(sum(given.values()) / len(languages))
+        best, top = max(languages, key=lambda l: post[l]), max(post.values())
+        share = math.exp(post[best] - top) / sum(math.exp(p - top) for p in post.values())
+        out[r["doc_id"]] = (best, share) if r["doc_id"] in letters else (None, 0)
     return out
 
 
 def test_language_stage(kept):
     want = plain_languages(kept["input"].to_pylist())
     got = by_id(kept["language_id"])
-    assert set(got) == {d for d, l in want.items() if l}
-    assert all(r["lang"] == want[d] for d, r in got.items())
+    assert set(got) == {d for d, (l, share) in want.items() if l and share >= 0.5}
+    assert all(r["lang"] == want[d][0] for d, r in got.items())
+
+
+#: Words of a language that no document of the tables has.
+WELSH = """roedd y bore yn braf ac aeth plant i ysgol gyda llyfrau newydd mae tywydd oer heddiw ond bydd hi gynnes yfory ôl
+rhagolygon prynodd fy mam fara llaeth a chaws siop ar gornel stryd hen wlad nhadau annwyl mi gwlad beirdd chantorion""".split()
+
+
+def test_noise_and_unknown_languages_go(spark, kept):
+    rng = random.Random(5)
+    rows = kept["input"].to_pylist()
+    hosts = [r["source"] for r in rows]
+    noise = [" ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=rng.randrange(3, 9))) for _ in range(60)) for _ in range(20)]
+    noise += ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(120)) for _ in range(20)]
+    noise += [" ".join(rng.choices(WELSH, k=50)) for _ in range(20)]
+    strange = [{**rows[0], "doc_id": 10_000 + i, "text": t, "lang": None, "source": rng.choice(hosts)} for i, t in enumerate(noise)]
+    both = rows + strange
+    docs = spark.createDataFrame(pa.Table.from_pylist(both, kept["input"].schema))
+    found = language_id.identify(language_id.document_evidence(docs, ["doc_id"])).collect()
+    got = {r["row"]["doc_id"]: r for r in found}
+    want = plain_languages(both)
+    for d, (language, share) in want.items():
+        assert got[d]["language"] == language and got[d]["posterior"] == pytest.approx(share, abs=1e-3)
+        assert got[d]["accepted"] == (language is not None and share >= 0.5)
+    assert not any(got[r["doc_id"]]["accepted"] for r in strange)
+    clean = [r for r in rows if r["lang"] and len(r["text"]) > 100]
+    assert sum(not got[r["doc_id"]]["accepted"] for r in clean) <= 0.01 * len(clean)
 
 
 def test_line_stage(kept):
