@@ -37,11 +37,14 @@ def _lines(docs: DataFrame) -> DataFrame:
     return body.select("doc", "mark", "site", "at", F.xxhash64("line").alias("line_hash"))
 
 
-def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """line_hash, first_doc, first_at and held (its occurrences) of each line on at least `min_sites` sites."""
+def boilerplate(lines: DataFrame, total: int, min_sites: int = MIN_SITES) -> DataFrame:
+    """line_hash, first_doc, first_at and held (its occurrences) of each line on at least `min_sites` sites.
+
+    `total` is the number of lines.
+    """
     error = MARGIN * 1.04 / (1 << LOG_REGISTERS) ** 0.5
     low, high = min_sites * (1 - error) - 1, min_sites * (1 + error) + 1
-    spread = (
+    spread = materialize(
         lines.groupBy("line_hash")
         .agg(
             F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS))).alias("sites"),
@@ -52,8 +55,9 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         .filter((F.col("n") >= min_sites) & (F.col("sites") >= low))
     )
     near = F.col("sites") <= high
+    close = spread.filter(near).select("line_hash", "held")
     exact = (
-        lines.join(spread.filter(near).select("line_hash"), "line_hash", "left_semi")
+        join_counted(lines.select("line_hash", "site"), close, "line_hash", "held", total, HOT_LINES)
         .groupBy("line_hash")
         .agg(F.countDistinct("site").alias("exact"))
         .filter(F.col("exact") >= min_sites)
@@ -70,10 +74,11 @@ def removals(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     can only be HOT_LINES; the others by shuffle, none of them with many rows.
     """
     lines = materialize(_lines(docs))  # hashes and places only, for the passes below
-    known = materialize(boilerplate(lines, min_sites))
+    total = lines.count()
+    known = materialize(boilerplate(lines, total, min_sites))
     first = F.col("doc").eqNullSafe(F.col("first_doc")) & (F.col("at") == F.col("first_at"))
     return (
-        join_counted(lines, known, "line_hash", "held", lines.count(), HOT_LINES)
+        join_counted(lines, known, "line_hash", "held", total, HOT_LINES)
         .filter(~first)
         .groupBy("doc", "mark")
         .agg(F.sort_array(F.collect_set("at")).alias("drop"))
