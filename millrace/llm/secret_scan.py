@@ -160,25 +160,36 @@ def _bit(bitmap: str, bit: Column) -> Column:
     return F.coalesce((byte / F.pow(F.lit(2), bit % 8)).cast("int") % 2 == 1, F.lit(False))
 
 
+def _running_sums(values: Column) -> Column:
+    """Inclusive running sums of an array of numbers: sums over 1, 2, 4, ... values, each from two of the step before."""
+    shifts = F.array(*[F.lit(1 << k) for k in range(30)])
+
+    def step(sums: Column, d: Column) -> Column:
+        more = F.transform(sums, lambda x, i: x + F.when(i >= d, F.get(sums, i - d)).otherwise(0))
+        return F.when(d < F.size(sums), more).otherwise(sums)
+
+    return F.aggregate(shifts, values, step)
+
+
 def _spans(rule: Rule, order: int, text: Column) -> Column:
     """start, order, end of each match, by start.
 
     Matches are fenced with a control character and the text is split there, so every
-    second piece is a match; a running sum of lengths gives the places. Spans are
-    appended one by one, so a text with very many matches costs the square of their number.
+    second piece is a match; running sums of the lengths give the places. The pieces are
+    bound to a variable of a one-element array, so they are made once.
     """
     pieces = F.split(F.regexp_replace(text, rule.pattern, "\u0001$0\u0001"), "\u0001", -1)
-    empty = F.array().cast("array<struct<start:int,order:int,end:int>>")
+    ends = lambda p: F.struct(p.alias("pieces"), _running_sums(F.transform(p, lambda x: F.length(x))).alias("ends"))
+
+    def spans(v: Column) -> Column:
+        def one(piece: Column, i: Column) -> Column:
+            wanted = (i % 2 == 1) if rule.keep is None else (i % 2 == 1) & rule.keep(piece)
+            end = F.get(v["ends"], i)
+            return F.when(wanted, F.struct((end - F.length(piece)).alias("start"), F.lit(order).alias("order"), end.alias("end")))
 
-    def step(state: Column, piece: Column) -> Column:
-        end = state["at"] + F.length(piece)
-        wanted = state["odd"] if rule.keep is None else state["odd"] & rule.keep(piece)
-        one = F.array(F.struct(state["at"].alias("start"), F.lit(order).alias("order"), end.alias("end")))
-        spans = F.when(wanted, F.concat(state["spans"], one)).otherwise(state["spans"])
-        return F.struct(end.alias("at"), (~state["odd"]).alias("odd"), spans.alias("spans"))
+        return F.array_compact(F.transform(v["pieces"], one))
 
-    first = F.struct(F.lit(0).alias("at"), F.lit(False).alias("odd"), empty.alias("spans"))
-    return F.aggregate(pieces, first, step, lambda state: state["spans"])
+    return F.flatten(F.transform(F.transform(F.array(pieces), ends), spans))
 
 
 def scan(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
@@ -186,7 +197,8 @@ def scan(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
 
     Places are code points, the end exclusive; order is the rule's place in `rules`. For
     one rule matches are leftmost and do not overlap; different rules may. A null or
-    empty text has no spans. Rows that repeat an id are scanned each for itself; a null
+    empty text has no spans, an empty table gives no rows. The cost grows with the number
+    of matches and its logarithm, also within one text. Rows that repeat an id are scanned each for itself; a null
     id is indexed like any other.
     """
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern)) is not None}
