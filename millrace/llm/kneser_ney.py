@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import pack, unpack
@@ -31,8 +31,12 @@ BLOCK_BYTES = 8 << 20
 WINDOW = 8
 #: Documents of a language above this quantile of its held-out trusted ones are rejected.
 QUANTILE = 0.995
-#: A language with fewer held-out trusted documents uses the quantile over all languages.
-LEAST_HELD_OUT = 50
+#: Parts of the documents; each is scored by a model that has learnt from the other.
+FOLDS = 2
+#: Trusted documents that the common distance between quantile and median counts for beside a language's own quantile.
+COMMON_WEIGHT = 200
+#: Trusted documents that the median over all languages counts for beside a language's own.
+MEDIAN_WEIGHT = 5
 #: Digits to which bits per byte are rounded before quantiles, which bounds their buffers.
 DIGITS = 3
 #: What is thresholded: bits per byte of the whole text and of its worst window.
@@ -83,8 +87,15 @@ def _scatter(x):
     return ((x * 0x9E3779B1) & 0xFFFFFFFF) >> 12
 
 
-def _trainer(block, trusted):
-    """5-gram counts of the block's training documents."""
+def _trainer(folds: int):
+    def train(block, trusted):
+        return _trained(block, trusted, folds)
+
+    return train
+
+
+def _trained(block, trusted, folds: int):
+    """5-gram counts of the block's training documents, and the fold that is to be scored with them."""
     table, ids = block, set(trusted["doc_id"].to_pylist())
     some = table.filter(pa.array([d in ids for d in table["doc_id"].to_pylist()], pa.bool_()))
     out = []
@@ -92,14 +103,15 @@ def _trainer(block, trusted):
         out.append(np.unique(_grams(part)[0], return_counts=True))
     g = np.concatenate([x for x, _ in out]) if out else np.zeros(0, np.int64)
     c = np.concatenate([x for _, x in out]) if out else np.zeros(0, np.int64)
-    return pa.table({"g": pa.array(g, pa.int64()), "c": pa.array(c, pa.int64())})
+    fold = (block["block"][0].as_py() + 1) % folds if block.num_rows else 0
+    return pa.table({"fold": pa.array(np.full(len(g), fold, np.int64)), "g": pa.array(g, pa.int64()), "c": pa.array(c, pa.int64())})
 
 
-def _asker(shards: int):
+def _asker(shards: int, folds: int):
     def ask(block):
         grams = _distinct(block)
-        shard = _shard(grams, shards)
         number = block["block"][0].as_py()
+        shard = _shard(grams, shards) * folds + number % folds
         order = np.argsort(shard, kind="stable")
         found, starts = np.unique(shard[order], return_index=True)
         parts = np.split(grams[order], starts[1:])
@@ -163,11 +175,12 @@ def _worst(total: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(sizes >= WINDOW, highest, means)
 
 
-def _scorer(shards: int):
+def _scorer(shards: int, folds: int):
     def score(block, answers):
         grams = _distinct(block)
         bits = np.zeros(len(grams), np.float32)
-        shard = _shard(grams, shards)
+        fold = block["block"][0].as_py() % folds if block.num_rows else 0
+        shard = _shard(grams, shards) * folds + fold
         for s, b in zip(answers["shard"].to_pylist(), answers["bits"].to_pylist()):
             bits[shard == s] = np.frombuffer(b, np.float32)
         sums = np.zeros(block.num_rows)
@@ -190,22 +203,24 @@ def _scorer(shards: int):
     return score
 
 
-def contexts(counts: DataFrame, shards: int) -> DataFrame:
-    """The model: shard, k, h, gamma, bytes, share. One row per context h of each order k.
+def contexts(counts: DataFrame, shards: int, folds: int) -> DataFrame:
+    """The models: shard, k, h, gamma, bytes, share. One row per fold and context h of each order k.
+
+    `counts` has columns fold (that the model is for), g and c.
 
     Below the highest order a count is the number of distinct bytes seen before the
     n-gram. share is the discounted part of each byte seen after h, gamma the weight of the
     next lower order. A context has at most 256 bytes. Discounts come from the counts of
     counts of each order. Orders 1 and 2 are at most 65,793 rows and go to every shard.
     """
-    levels = [counts.select(F.lit(ORDER).alias("k"), "g", "c")]
+    levels = [counts.select("fold", F.lit(ORDER).alias("k"), "g", "c")]
     below = counts
     for k in range(ORDER - 1, 0, -1):
         mask = F.lit((1 << 8 * k) - 1).cast("long")
         # Counting through `c` keeps the column, so that every user of a level reads one exchange.
         one = F.least(F.col("c"), F.lit(1))
-        below = below.select(F.col("g").bitwiseAND(mask).alias("g"), one.alias("c")).groupBy("g").agg(F.sum("c").alias("c"))
-        levels.append(below.select(F.lit(k).alias("k"), "g", "c"))
+        below = below.select("fold", F.col("g").bitwiseAND(mask).alias("g"), one.alias("c")).groupBy("fold", "g").agg(F.sum("c").alias("c"))
+        levels.append(below.select("fold", F.lit(k).alias("k"), "g", "c"))
     every = levels[0]
     for other in levels[1:]:
         every = every.unionByName(other)
@@ -217,38 +232,45 @@ def contexts(counts: DataFrame, shards: int) -> DataFrame:
         found = F.when((own > 0) & (F.col("n1") > 0), i - (i + 1) * y * nxt / own)
         return F.least(F.greatest(F.coalesce(found, F.lit(0.5 * i)), F.lit(0.05)), F.lit(i - 0.05)).alias(f"d{i}")
 
-    discounts = every.groupBy("k").agg(*n).select("k", *[discount(i) for i in (1, 2, 3)])
+    discounts = every.groupBy("fold", "k").agg(*n).select("fold", "k", *[discount(i) for i in (1, 2, 3)])
     seen = [F.count(F.when(t, 1)).alias(a) for a, t in (("s1", F.col("c") == 1), ("s2", F.col("c") == 2), ("s3", F.col("c") > 2))]
-    grouped = every.groupBy("k", F.shiftright("g", 8).alias("h")).agg(
+    grouped = every.groupBy("fold", "k", F.shiftright("g", 8).alias("h")).agg(
         F.sum("c").alias("total"), *seen,
         F.collect_list(F.struct(F.col("g").bitwiseAND(F.lit(255).cast("long")).alias("w"), "c")).alias("after"),
     )
-    both = grouped.join(F.broadcast(discounts), "k")
+    both = grouped.join(F.broadcast(discounts), ["fold", "k"])
     left = lambda a: a["c"] - F.when(a["c"] == 1, F.col("d1")).when(a["c"] == 2, F.col("d2")).otherwise(F.col("d3"))
     rows = both.select(
-        "k", "h",
+        "fold", "k", "h",
         ((F.col("d1") * F.col("s1") + F.col("d2") * F.col("s2") + F.col("d3") * F.col("s3")) / F.col("total")).alias("gamma"),
         F.transform("after", lambda a: a["w"]).alias("bytes"),
         F.transform("after", lambda a: left(a) / F.col("total")).alias("share"),
     )
     own = F.shiftright((F.col("h").bitwiseAND(F.lit(0xFFFF).cast("long")) * 0x9E3779B1).bitwiseAND(F.lit(0xFFFFFFFF).cast("long")), 12) % shards
     to = F.when(F.col("k") > 2, F.array(own)).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
-    return rows.select(F.explode(to).alias("shard"), "k", "h", "gamma", "bytes", "share")
+    dealt = rows.select("fold", F.explode(to).alias("shard"), "k", "h", "gamma", "bytes", "share")
+    return dealt.withColumn("shard", F.col("shard") * folds + F.col("fold")).drop("fold")
 
 
-def bits_per_byte(docs: DataFrame, training: DataFrame) -> DataFrame:
+def bits_per_byte(docs: DataFrame, training: DataFrame, folds: int = 1) -> DataFrame:
     """doc_id, lang, n_bytes, bits and worst, one row per input row.
 
     bits are per byte of the text, worst are those of its worst window; both are null for an empty or null text.
-    `training` holds the doc_id of the documents to learn from. Texts are dealt into
-    blocks once; learning, asking and scoring share that exchange. Without a training
-    document every byte costs 8 bits.
+    `training` holds the doc_id of the documents to learn from. With two folds every text,
+    in `training` or not, is scored by a model of the training documents in the other fold,
+    so no text meets a model that has seen it; with one fold by a model of them all. Texts
+    are dealt into blocks of one fold each once; learning, asking and scoring share that
+    exchange. Without a training document every byte costs 8 bits; an empty table gives no rows.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    number = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).alias("block")
+    blocks = max(1, -(-size // (BLOCK_BYTES * folds)))
+    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // folds)
+
+    def number(c: Column) -> Column:
+        fold = F.pmod(F.xxhash64(c, F.lit("half")), F.lit(folds))
+        return (F.pmod(F.xxhash64(c), F.lit(blocks)) * folds + fold).alias("block")
+
     # Without an id there is no label to meet, and a hash of the text spreads such rows.
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.col("doc_id"))
     rows = docs.select(
@@ -256,38 +278,69 @@ def bits_per_byte(docs: DataFrame, training: DataFrame) -> DataFrame:
     ).repartition("block")
     trusted = training.select("doc_id", number(F.col("doc_id"))).filter("doc_id is not null")
     # Below, every user of `rows` reads the same exchange.
-    counted = rows.groupBy("block").cogroup(trusted.groupBy("block")).applyInArrow(_trainer, "g long, c long")
-    model = contexts(counted.groupBy("g").agg(F.sum("c").alias("c")), shards)
-    asked = rows.groupBy("block").applyInArrow(_asker(shards), "shard long, block long, grams binary")
+    counted = rows.groupBy("block").cogroup(trusted.groupBy("block")).applyInArrow(_trainer(folds), "fold long, g long, c long")
+    model = contexts(counted.groupBy("fold", "g").agg(F.sum("c").alias("c")), shards, folds)
+    asked = rows.groupBy("block").applyInArrow(_asker(shards, folds), "shard long, block long, grams binary")
     answers = model.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_answer, "block long, shard long, bits binary")
     return (
         rows.groupBy("block").cogroup(answers.groupBy("block"))
-        .applyInArrow(_scorer(shards), "doc_id long, lang string, n_bytes long, bits double, worst double")
+        .applyInArrow(_scorer(shards, folds), "doc_id long, lang string, n_bytes long, bits double, worst double")
     )
 
 
+def thresholds(held: DataFrame, quantile: float = QUANTILE) -> tuple[DataFrame, dict[str, float | None]]:
+    """(of, limit_bits, limit_worst) per language of `held`, and the limits of a language that has no text there.
+
+    A limit is a mean of two: the language's own quantile, weighing as many texts as it has,
+    and its median plus the distance of the quantile from the median over all languages,
+    weighing COMMON_WEIGHT. The median leans on that of all texts by MEDIAN_WEIGHT. So a
+    limit moves smoothly with the number of texts, at every number.
+    """
+    of = F.coalesce("lang", F.lit("")).alias("of")
+    counts = held.groupBy(of, *MEASURES).agg(F.count(F.lit(1)).alias("n"))
+    at = lambda m, q: F.percentile(m, F.lit(q), F.col("n"))
+    middle = counts.agg(*[at(m, 0.5).alias(m) for m in MEASURES]).first()
+    own = [a for m in MEASURES for a in (at(m, quantile).alias(f"own_{m}"), at(m, 0.5).alias(f"middle_{m}"))]
+    per = counts.groupBy("of").agg(F.sum("n").alias("held"), *own)
+    if middle[0] is None:
+        return per.select("of", *[F.lit(None).cast("double").alias(f"limit_{m}") for m in MEASURES]), dict.fromkeys(MEASURES)
+
+    def median(m: str) -> Column:
+        return (F.col("held") * F.col(f"middle_{m}") + MEDIAN_WEIGHT * F.lit(middle[m])) / (F.col("held") + MEDIAN_WEIGHT)
+
+    per = per.select("of", "held", *[f"own_{m}" for m in MEASURES], *[median(m).alias(f"middle_{m}") for m in MEASURES])
+    per = materialize(per)
+    beside = counts.join(broadcast_if_small(per), "of")
+    above = beside.groupBy(*[F.round(F.col(m) - F.col(f"middle_{m}"), DIGITS).alias(m) for m in MEASURES]).agg(F.sum("n").alias("n"))
+    common = above.agg(*[at(m, quantile).alias(m) for m in MEASURES]).first()
+
+    def limit(m: str) -> Column:
+        lent = F.col(f"middle_{m}") + F.lit(common[m])
+        return (F.col("held") * F.col(f"own_{m}") + COMMON_WEIGHT * lent) / (F.col("held") + COMMON_WEIGHT)
+
+    limits = per.select("of", *[limit(m).alias(f"limit_{m}") for m in MEASURES])
+    return limits, {m: middle[m] + common[m] for m in MEASURES}
+
+
 def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, n_bytes, perplexity, threshold, kept, worst and worst_threshold, one row per row of `docs`.
 
-    Trusted documents are those labelled with quality 1 and not toxic; half of them, by a
-    hash of the id, train the model, the other half set the thresholds. Perplexity is per
-    byte, worst is that of the worst window; a text above either threshold is not kept.
-    A null or empty text has none and is not kept. Null languages form one of their
-    own. Without held-out trusted documents there is no threshold and all texts are kept.
+    Trusted documents are those labelled with quality 1 and not toxic. The documents are cut
+    into two folds by a hash of the id; the trusted ones of either train the model that scores
+    the other, so every text is scored by a model that has not seen it, and all trusted
+    ones set the thresholds (see `thresholds`). Perplexity is per byte, worst is that of the
+    worst window; a text above either threshold is not kept. A null or empty text has
+    none and is not kept. Null languages form one of their own. Without trusted documents
+    there is no threshold and all texts are kept. Repeated rows are scored each for itself;
+    an empty table gives no rows.
     """
     trusted = labels.filter("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))
-    scored = bits_per_byte(docs, trusted.filter(half == 0))
+    scored = bits_per_byte(docs, trusted, FOLDS)
     scored = materialize(scored.withColumns({m: F.round(m, DIGITS) for m in MEASURES}))
-    held = scored.filter("bits is not null").join(trusted.filter(half == 1), "doc_id", "left_semi")
-    language = F.coalesce("lang", F.lit(""))
-    counts = held.groupBy(language.alias("of"), *MEASURES).agg(F.count(F.lit(1)).alias("n"))
-    cuts = [F.percentile(m, F.lit(quantile), F.col("n")).alias(f"own_{m}") for m in MEASURES]
-    overall = counts.agg(*cuts).first()
-    per = counts.groupBy("of").agg(F.sum("n").alias("held"), *cuts)
-    enough = F.col("held") >= LEAST_HELD_OUT
-    limits = [F.coalesce(F.when(enough, F.col(f"own_{m}")), F.lit(overall[f"own_{m}"]).cast("double")) for m in MEASURES]
-    joined = scored.join(broadcast_if_small(per), language == F.col("of"), "left")
+    held = scored.filter("bits is not null").join(trusted, "doc_id", "left_semi")
+    per, elsewhere = thresholds(held, quantile)
+    limits = [F.coalesce(F.col(f"limit_{m}"), F.lit(elsewhere[m]).cast("double")) for m in MEASURES]
+    joined = scored.join(broadcast_if_small(per), F.coalesce("lang", F.lit("")) == F.col("of"), "left")
     under = [F.col(m) <= F.coalesce(l, F.lit(float("inf"))) for m, l in zip(MEASURES, limits)]
     power = lambda bits: F.pow(F.lit(2.0), bits)
     return joined.select(

@@ -122,6 +122,48 @@ def test_kneser_ney(spark, corpus, monkeypatch):
     assert all(r["bits"] is None or r["bits"] == pytest.approx(8) for r in nothing)
 
 
+def test_no_text_meets_a_model_that_saw_it(spark, corpus, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "BLOCK_BYTES", 4000)
+    docs = spark.createDataFrame(corpus, SCHEMA)
+    ids = [r[0] for r in corpus if r[1] and r[0] % 2 == 0][:30]
+    training = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    got = {r["doc_id"]: r for r in kneser_ney.bits_per_byte(docs, training, 2).toArrow().to_pylist()}
+    folds = {r[0]: r[1] for r in docs.selectExpr("doc_id", "pmod(xxhash64(doc_id, 'half'), 2)").collect()}
+    assert len(got) == len(corpus) and len({folds[i] for i in ids}) == 2
+    for r in corpus[:12]:
+        if r[1]:
+            texts = [t[1] for t in corpus if t[0] in set(ids) and folds[t[0]] != folds[r[0]]]
+            assert got[r[0]]["bits"] == pytest.approx(plain_bits(texts, r[1]), rel=1e-5)
+
+
+def test_limits_move_smoothly_with_the_number_of_texts(spark):
+    """A language of 1,000 texts, one of 10, and one that gains its 50th: by NumPy, and without a jump."""
+    rng = np.random.default_rng(4)
+    values = {"big": rng.normal(2, 0.2, 1000), "small": rng.normal(3, 0.2, 10), "some": rng.normal(2.5, 0.3, 51)}
+
+    def limits(n_some):
+        rows = [(l, float(v), float(2 * v)) for l, x in values.items() for v in x[: n_some if l == "some" else None].round(3)]
+        per, rest = kneser_ney.thresholds(spark.createDataFrame(rows, "lang string, bits double, worst double"))
+        return {r["of"]: (r["limit_bits"], r["limit_worst"]) for r in per.collect()} | {None: (rest["bits"], rest["worst"])}, rows
+
+    got, rows = limits(51)
+    for at, m in ((1, 0), (2, 1)):
+        every = np.array([r[at] for r in rows])
+        own = {l: np.array([r[at] for r in rows if r[0] == l]) for l in values}
+        middle = {l: (len(x) * np.median(x) + 5 * np.median(every)) / (len(x) + 5) for l, x in own.items()}
+        common = np.quantile(np.array([round(r[at] - middle[r[0]], 3) for r in rows]), 0.995)
+        for l, x in own.items():
+            want = (len(x) * np.quantile(x, 0.995) + 200 * (middle[l] + common)) / (len(x) + 200)
+            assert got[l][m] == pytest.approx(want, abs=2e-3)
+        assert got[None][m] == pytest.approx(np.median(every) + common, abs=2e-3)
+    # The small language is judged on its own level, and one text more moves no limit far.
+    assert 3 < got["small"][0] < 3.9 and got["big"][0] < 2.8
+    before = limits(49)[0]
+    assert all(abs(got[l][0] - before[l][0]) < 0.05 for l in got)
+    per, rest = kneser_ney.thresholds(spark.createDataFrame([], "lang string, bits double, worst double"))
+    assert per.collect() == [] and rest == {"bits": None, "worst": None}
+
+
 def test_worst_window_of_each_text():
     rng = np.random.default_rng(3)
     sizes = [0, 3, 40, 0, kneser_ney.WINDOW, 100, 7, 0]
