@@ -7,12 +7,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import SILHOUETTE_BANDS, grade
+from millrace.operators.blocks import block_sum, matrix
 from millrace.operators.features import assemble, inverse_minmax, minmax_scale
 from millrace.operators.lineage import materialize
 
@@ -29,9 +32,111 @@ def feature_table(df: DataFrame, cols: Sequence[str], scaled: bool = True) -> Da
     return materialize(assemble(wide, inputs).drop(*inputs))
 
 
+#: Rows that starting centres are chosen from, about; every later step reads all rows.
+SEED_ROWS = 20_000
+#: Starts tried on those rows for each number of clusters.
+STARTS = 4
+#: A fit ends when a step lowers its cost by no more than this share.
+TOLERANCE = 1e-9
+#: Passes after which fits end anyway; what has not converged says so.
+PASSES = 100
+
+
+@dataclass
+class Centres:
+    """One fit of k clusters: its centres, cost, and whether it came to its end in `passes`."""
+
+    k: int
+    centres: np.ndarray
+    cost: float
+    passes: int
+    converged: bool
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest centre and squared distance to it."""
+    far = (centres * centres).sum(1) - 2 * x @ centres.T
+    at = far.argmin(1)
+    return at, ((x - centres[at]) ** 2).sum(1)
+
+
+def _start(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Centres drawn one by one with the squared distance to those before, the best of a few draws refined on x."""
+    best, least = x[:1], np.inf
+    for _ in range(STARTS):
+        centres = x[rng.integers(len(x))][None]
+        distance = ((x - centres[0]) ** 2).sum(1)
+        while len(centres) < k and distance.sum() > 0:
+            new = x[rng.choice(len(x), p=distance / distance.sum())]
+            centres = np.vstack([centres, new])
+            distance = np.minimum(distance, ((x - new) ** 2).sum(1))
+        for _ in range(20):
+            at, _ = _nearest(x, centres)
+            counts = np.bincount(at, minlength=len(centres))
+            sums = np.zeros_like(centres)
+            np.add.at(sums, at, x)
+            centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
+        cost = _nearest(x, centres)[1].sum()
+        if cost < least:
+            best, least = centres, cost
+    return best
+
+
+def kmeans_grid(points: DataFrame, ks: Iterable[int], seed: int = 42, features: str = "features") -> list[Centres]:
+    """One fit per number of clusters, all moved on by the same passes over the table.
+
+    Starting centres come from about SEED_ROWS rows. In a pass every task assigns its rows to
+    the nearest centre of each fit that is still open and returns counts, sums and costs,
+    which meet by position. A fit ends when its cost stands still; a centre without rows
+    stays where it is. With fewer different rows than k there are fewer centres.
+    """
+    rows = points.select(vector_to_array(F.col(features)).alias("x"))
+    n = rows.count()
+    if not n:
+        raise ValueError("no rows to cluster")
+    some = rows.filter(F.rand(seed) < min(1.0, SEED_ROWS / n)).toArrow() if n > SEED_ROWS else rows.toArrow()
+    sample = matrix(some.column("x").combine_chunks())
+    middle = sample.mean(0)  # distances are taken from here, which keeps their digits
+    rng = np.random.default_rng(seed)
+    fits = [Centres(k, _start(sample - middle, k, rng), np.inf, 0, False) for k in ks]
+    width = len(middle)
+
+    while going := [f for f in fits if not f.converged and f.passes < PASSES]:
+        plan = [f.centres for f in going]
+        sizes = [len(c) * (width + 1) + 1 for c in plan]
+
+        def block(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+            counts, sums = [np.zeros(len(c)) for c in plan], [np.zeros((len(c), width)) for c in plan]
+            costs = np.zeros(len(plan))
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = matrix(batch.column(0)) - middle
+                for i, centres in enumerate(plan):
+                    at, distance = _nearest(x, centres)
+                    costs[i] += distance.sum()
+                    counts[i] += np.bincount(at, minlength=len(centres))
+                    order = np.argsort(at, kind="stable")
+                    found, first = np.unique(at[order], return_index=True)
+                    sums[i][found] += np.add.reduceat(x[order], first, axis=0)
+            return np.concatenate([np.r_[c, s.ravel(), [cost]] for c, s, cost in zip(counts, sums, costs)])
+
+        total = block_sum(rows, block, sum(sizes))
+        for f, found in zip(going, np.split(total, np.cumsum(sizes)[:-1])):
+            counts, sums, cost = found[: len(f.centres)], found[len(f.centres) : -1].reshape(-1, width), float(found[-1])
+            f.passes += 1
+            f.converged = f.cost - cost <= TOLERANCE * cost
+            f.cost = cost
+            if not f.converged:
+                f.centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], f.centres)
+    for f in fits:
+        f.centres = f.centres + middle
+    return fits
+
+
 def kmeans_elbow(points: DataFrame, ks: Iterable[int] = range(2, 11), seed: int = 42) -> DataFrame:
-    """(k, cost): within-cluster squared distance for each k."""
-    rows = [(k, float(KMeans(k=k, seed=seed).fit(points).summary.trainingCost)) for k in ks]
+    """(k, cost): within-cluster squared distance for each k, all fitted together."""
+    rows = [(f.k, f.cost) for f in kmeans_grid(points, ks, seed)]
     return points.sparkSession.createDataFrame(rows, "k int, cost double")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -394,6 +395,26 @@ def _(t):
     return _round(clustering.kmeans_elbow(points, [2]), ["cost"], 2)
 
 
+def _embeddings(t):
+    rows = t.embeddings.filter("embedding is not null").select("vec_id", array_to_vector(c("embedding").cast("array<double>")).alias("features"))
+    return materialize(rows)
+
+
+@query(
+    "ml10_embeddings_in_one_cluster",
+    """with x as (select unnest(embedding)::double as x, generate_subscripts(embedding, 1) as i from embeddings),
+         s as (select var_pop(x) * count(*) as a from x group by i) select 1 as k, round(sum(a), 3) as cost from s""",
+)
+def _(t):
+    """One cluster costs the variance of all coordinates together."""
+    return _round(clustering.kmeans_elbow(_embeddings(t), [1]), ["cost"], 3)
+
+
+@query("ml10_embedding_elbow")
+def _(t):
+    return clustering.kmeans_elbow(_embeddings(t))
+
+
 @query(
     "ml11_centers_of_two_groups",
     f"with {_APART} select round(avg(quantity), 6) as quantity, round(avg(price), 6) as price from apart group by g",

@@ -337,6 +337,35 @@ def test_one_class_machine_reports_its_gap(readings, monkeypatch):
         anomaly.one_class_machine(readings.limit(0), cols)
 
 
+def test_shared_passes_are_as_good_as_single_fits(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(c, 1, (300, 3)) for c in (0, 6, 12, 1000)])
+    rows = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "i int, a double, b double, c double").repartition(4)
+    points = features.assemble(rows, ["a", "b", "c"])
+    passes = []
+    monkeypatch.setattr(clustering, "block_sum", lambda *a: passes.append(1) or blocks.block_sum(*a))
+    fits = clustering.kmeans_grid(points, range(1, 8))
+    assert all(f.converged for f in fits) and len(passes) == max(f.passes for f in fits) < 60
+    assert fits[0].cost == pytest.approx(((x - x.mean(0)) ** 2).sum()) and np.allclose(fits[0].centres, x.mean(0))
+    for f in fits[1:]:
+        single = KMeans(k=f.k, seed=42).fit(points).summary.trainingCost
+        assert f.cost <= 1.02 * single
+        nearest = ((x[:, None] - f.centres[None]) ** 2).sum(2)
+        assert f.cost == pytest.approx(nearest.min(1).sum(), rel=1e-9)
+    costs = [f.cost for f in fits]
+    assert costs == sorted(costs, reverse=True)
+
+
+def test_clusters_of_few_rows(spark):
+    same = features.assemble(spark.createDataFrame([(1.0, 2.0)] * 5, "a double, b double"), ["a", "b"])
+    fit = clustering.kmeans_grid(same, [3])[0]
+    assert fit.cost == 0 and fit.converged and np.allclose(fit.centres, [[1, 2]])
+    with pytest.raises(ValueError, match="no rows"):
+        clustering.kmeans_grid(same.limit(0), [2])
+
+
 def test_shortest_mix():
     square = np.array([[1.0, 1.0], [3.0, -1.0], [5.0, 5.0]])
     assert np.allclose(anomaly.shortest_mix(square), [1.0, 1.0])
