@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numeric import money_sum
 from millrace.operators import arima, forecast, profiling, series, windows
-from millrace.operators.lineage import materialize
+from millrace.operators.lineage import materialize, new_path
 from millrace.plans.registry import query
+from millrace.streaming.alerts import below_bound_stream, lasting_alerts
+from millrace.streaming.sinks import run_available
 
 c = F.col
 
@@ -280,17 +282,34 @@ def _(t):
     return _round(parts.select("ds", "weekly", "yearly"), ["weekly", "yearly"], 3)
 
 
-@query(
-    "ts13_below_lower_bound",
-    f"""with {_SERIES.format(src='lineitem')},
+_BELOW = f"""with {_SERIES.format(src='lineitem')},
       m as (select l_returnflag, month, value, avg(value) over (partition by l_returnflag) * 1.02 as lower from series),
       n as (select *, row_number() over (partition by l_returnflag order by month) as i from m),
       g as (select *, i - row_number() over (partition by l_returnflag order by month) as island from n where value < lower),
       r as (select *, count(*) over (partition by l_returnflag, island) as run from g)
-      select l_returnflag, month, value, round(lower, 4) as lower, run from r where run >= 2""",
-)
-def _(t):
+      select l_returnflag, month, value, round(lower, 4) as lower, run from r where run >= 2"""
+
+
+def _limits(t):
     actual = monthly(t)
     mean = actual.groupBy("l_returnflag").agg((F.avg("value") * 1.02).alias("lower"))
     limits = actual.select("l_returnflag", "month").join(mean, "l_returnflag")
-    return _round(series.below_lower_bound(actual, limits, "l_returnflag", 2), ["lower"], 4)
+    return actual, limits
+
+
+@query("ts13_below_lower_bound", _BELOW)
+def _(t):
+    return _round(series.below_lower_bound(*_limits(t), "l_returnflag", 2), ["lower"], 4)
+
+
+@query("ts13_below_lower_bound_stream", _BELOW)
+def _(t):
+    """The same alerts from a stream that brings the months in five batches, out of order."""
+    actual, limits = _limits(t)
+    part = F.pmod(F.xxhash64("l_returnflag", "month"), F.lit(5))
+    path = new_path(t.spark, "months")
+    actual.join(limits, ["l_returnflag", "month"]).repartitionByRange(5, part).write.parquet(path)
+    schema = t.spark.read.parquet(path).schema
+    stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    written = run_available(below_bound_stream(stream, "l_returnflag"), "update")
+    return _round(lasting_alerts(written, "l_returnflag", 2), ["lower"], 4)
