@@ -18,6 +18,7 @@ from millrace.functions.numeric import SILHOUETTE_BANDS, grade
 from millrace.operators.blocks import block_sum, matrix
 from millrace.operators.features import assemble, inverse_minmax, minmax_scale
 from millrace.operators.lineage import materialize
+from millrace.operators.sizing import broadcast_if_small
 
 
 def feature_table(df: DataFrame, cols: Sequence[str], scaled: bool = True) -> DataFrame:
@@ -140,6 +141,10 @@ def kmeans_elbow(points: DataFrame, ks: Iterable[int] = range(2, 11), seed: int
     return points.sparkSession.createDataFrame(rows, "k int, cost double")
 
 
+#: Corners of one cluster that a task reduces at a time, about.
+GROUP_POINTS = 100_000
+
+
 @dataclass
 class Clusters:
     """Fitted clusters and the points with their `cluster`."""
@@ -204,7 +209,11 @@ def cluster_hulls(df: DataFrame, cluster: str, x: str, y: str) -> DataFrame:
     """(cluster, corner, x, y): convex outline of every cluster with at least three corners.
 
     Each task first reduces its own rows to the corners of their outline, so only a few
-    points per task and cluster travel, however many rows a cluster holds.
+    points per task and cluster travel, however many rows a cluster holds. Where the corners
+    of a cluster are still more than GROUP_POINTS, they are dealt into groups of about half
+    that size and each group is reduced again, round by round, so the last group is small
+    too; only corners that no round can drop, those of the outline itself, may be more.
+    Rows without a cluster or a coordinate are left out.
     """
     kind = dict(df.dtypes)[cluster]
     points = df.select(cluster, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
@@ -226,5 +235,20 @@ def cluster_hulls(df: DataFrame, cluster: str, x: str, y: str) -> DataFrame:
             {cluster: rows[cluster].iloc[0], "corner": np.arange(len(xy), dtype="int32"), "x": xy[:, 0], "y": xy[:, 1]}
         )
 
-    partial = points.mapInPandas(local, f"`{cluster}` {kind}, x double, y double")
+    def reduce(rows: pd.DataFrame) -> pd.DataFrame:
+        xy = hull_points(rows[["x", "y"]].to_numpy())
+        return pd.DataFrame({cluster: rows[cluster].iloc[0], "x": xy[:, 0], "y": xy[:, 1]})
+
+    corners = f"`{cluster}` {kind}, x double, y double"
+    partial = materialize(points.mapInPandas(local, corners))
+    before = None
+    while True:
+        sizes = partial.groupBy(cluster).agg(F.count(F.lit(1)).alias("__n"))
+        most = sizes.agg(F.max("__n")).first()[0] or 0
+        if most <= GROUP_POINTS or most == before:
+            break
+        groups = F.ceil(2 * F.col("__n") / GROUP_POINTS)
+        dealt = partial.join(broadcast_if_small(sizes), cluster).withColumn("__group", F.pmod(F.xxhash64("x", "y"), groups))
+        partial = materialize(dealt.drop("__n").groupBy(cluster, "__group").applyInPandas(reduce, corners))
+        before = most
     return partial.groupBy(cluster).applyInPandas(outline, f"`{cluster}` {kind}, corner int, x double, y double")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.operators import anomaly, blocks, clustering, features, forecast, logistic, metrics, models
+from millrace.operators import anomaly, blocks, clustering, features, forecast, lineage, logistic, metrics, models
 
 
 @pytest.fixture(scope="module")
@@ -337,6 +337,25 @@ def test_one_class_machine_reports_its_gap(readings, monkeypatch):
         anomaly.one_class_machine(readings.limit(0), cols)
 
 
+def test_outlines_of_many_parts(spark, monkeypatch):
+    """Rounds over small groups give the outline of all points; a circle, which no round can reduce, ends too."""
+    rng = np.random.default_rng(3)
+    blob = rng.normal(size=(4000, 2))
+    turn = np.arange(300) * 2 * np.pi / 300
+    circle = np.column_stack([np.cos(turn), np.sin(turn)]) * 50
+    rows = [("blob", *map(float, p)) for p in blob] + [("circle", *map(float, p)) for p in circle]
+    rows += [(None, 1e9, 1e9), ("blob", None, 1e9), ("line", 0.0, 0.0), ("line", 1.0, 1.0), ("line", 2.0, 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(200)
+    seen = []
+    monkeypatch.setattr(clustering, "GROUP_POINTS", 60)
+    monkeypatch.setattr(clustering, "materialize", lambda d: seen.append(1) or lineage.materialize(d))
+    out = {}
+    for r in clustering.cluster_hulls(df, "g", "x", "y").orderBy("g", "corner").collect():
+        out.setdefault(r.g, []).append((r.x, r.y))
+    assert len(seen) > 2 and set(out) == {"blob", "circle"}
+    assert np.allclose(out["blob"], clustering.hull_points(blob)) and np.allclose(out["circle"], clustering.hull_points(circle))
+
+
 def test_shared_passes_are_as_good_as_single_fits(spark, monkeypatch):
     from pyspark.ml.clustering import KMeans
 
