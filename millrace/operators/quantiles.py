@@ -18,6 +18,7 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.lineage import materialize
 from millrace.operators.sizing import local_if_small
 
 ACCURACY = 1_000  # sketch rank error is 1/ACCURACY of the rows; keeps sketches of a task small
@@ -64,7 +65,8 @@ def exact_quantiles(
         return _pick(_cells_by_column(df, cols, rows), keys, max((r["n"] for r in rows), default=0))
     known = local_if_small(sketch, SKETCH_ROWS)
     if known is None:
-        return _pick(_cells_by_group(values, keys, sketch, len(probs)), keys, None)
+        # Stored: two evaluations of a sketch may bracket differently, and both joins must see the same.
+        return _pick(_cells_by_group(values, keys, materialize(sketch), len(probs)), keys, None)
     small = F.broadcast(df.sparkSession.createDataFrame(known, schema=sketch.schema))
     return _pick(_cells_by_group(values, keys, small, len(probs)), keys, max(known["n"].to_pylist(), default=0))
 
