@@ -132,6 +132,21 @@ def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[n
     return np.where(hit, values[at], 0.0), hit
 
 
+def _pack_bits(bits: np.ndarray) -> bytes:
+    """Bits of each gram to 16 binary digits, compressed byte plane by byte plane; texts' means are rounded far coarser."""
+    rounded = ((bits.astype(np.float32).view(np.uint32) + np.uint32(0x80)) & np.uint32(0xFFFFFF00)).view(np.uint8)
+    planes = np.ascontiguousarray(rounded.reshape(-1, 4)[:, 1:].T).tobytes()
+    return len(bits).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpack_bits(packed: bytes) -> np.ndarray:
+    n = int.from_bytes(packed[:8], "little")
+    planes = np.frombuffer(pa.decompress(packed[8:], 3 * n, codec="zstd", asbytes=True), np.uint8).reshape(3, n)
+    out = np.zeros((n, 4), np.uint8)
+    out[:, 1:] = planes.T
+    return out.view(np.float32).ravel()
+
+
 def _answer(model, asked):
     """Bits of each asked 5-gram's last byte, from the shard's contexts of all orders."""
     orders = model["k"].to_numpy()
@@ -154,7 +169,7 @@ def _answer(model, asked):
             back, known = _lookup(h, gamma, (grams >> 8) & ((1 << 8 * (k - 1)) - 1))
             own, _ = _lookup(g, share, grams & ((1 << 8 * k) - 1))
             p = np.where(known, own + back * p, p)
-        out.append((-np.log2(p)).astype(np.float32).tobytes())
+        out.append(_pack_bits(-np.log2(p)))
     return pa.table({"block": asked["block"], "shard": asked["shard"], "bits": pa.array(out, pa.binary())})
 
 
@@ -182,7 +197,7 @@ def _scorer(shards: int, folds: int):
         fold = block["block"][0].as_py() % folds if block.num_rows else 0
         shard = _shard(grams, shards) * folds + fold
         for s, b in zip(answers["shard"].to_pylist(), answers["bits"].to_pylist()):
-            bits[shard == s] = np.frombuffer(b, np.float32)
+            bits[shard == s] = _unpack_bits(b)
         sums = np.zeros(block.num_rows)
         worst = np.zeros(block.num_rows)
         sizes = np.zeros(block.num_rows, np.int64)
@@ -242,9 +257,10 @@ def contexts(counts: DataFrame, shards: int, folds: int) -> DataFrame:
     left = lambda a: a["c"] - F.when(a["c"] == 1, F.col("d1")).when(a["c"] == 2, F.col("d2")).otherwise(F.col("d3"))
     rows = both.select(
         "fold", "k", "h",
-        ((F.col("d1") * F.col("s1") + F.col("d2") * F.col("s2") + F.col("d3") * F.col("s3")) / F.col("total")).alias("gamma"),
+        ((F.col("d1") * F.col("s1") + F.col("d2") * F.col("s2") + F.col("d3") * F.col("s3")) / F.col("total")).cast("float").alias("gamma"),
         F.transform("after", lambda a: a["w"]).alias("bytes"),
-        F.transform("after", lambda a: left(a) / F.col("total")).alias("share"),
+        # Single precision holds more digits than are kept of any text.
+        F.transform("after", lambda a: (left(a) / F.col("total")).cast("float")).alias("share"),
     )
     own = F.shiftright((F.col("h").bitwiseAND(F.lit(0xFFFF).cast("long")) * 0x9E3779B1).bitwiseAND(F.lit(0xFFFFFFFF).cast("long")), 12) % shards
     to = F.when(F.col("k") > 2, F.array(own)).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
