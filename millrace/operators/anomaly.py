@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.numeric import as_flag
 from millrace.operators import metrics
-from millrace.operators.blocks import block_sum
+from millrace.operators.blocks import block_sum, packed, unpacked
 from millrace.operators.lineage import materialize
 from millrace.operators.quantiles import quantile_values
 from millrace.operators.sizing import unpivot_row
@@ -178,6 +178,23 @@ STEPS = 200
 BINS = 16
 #: No vector of cosine features is longer.
 LONGEST = math.sqrt(2.0)
+#: Rows whose features are made, read and dropped together, so that they stay in the processor's cache.
+CHUNK = 128
+#: Tables of so many rows are fitted on cosines in single precision, as averages over their rows lose its rounding.
+SINGLE_FROM = 200_000
+#: cos(2 pi t) for |t| <= 1/2 as a polynomial in t^2, to 14 digits.
+COSINE = np.polynomial.Chebyshev.interpolate(lambda u: np.cos(2 * np.pi * np.sqrt(u)), 10, [0.0, 0.25]).convert(kind=np.polynomial.Polynomial).coef
+
+
+def cosine_of_turns(turns: np.ndarray, work: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """cos(2 pi turns); `turns` and `work` are used up."""
+    turns -= np.rint(turns, out=work)
+    square = np.square(turns, out=turns)
+    out.fill(COSINE[-1])
+    for c in COSINE[-2::-1]:
+        out *= square
+        out += c
+    return out
 
 
 @dataclass
@@ -197,21 +214,55 @@ class OneClassMachine:
     converged: bool = False
 
     def features(self, x: np.ndarray) -> np.ndarray:
-        return math.sqrt(2.0 / len(self.shift)) * np.cos(x @ self.omega + self.shift)
+        out = np.empty((len(x), len(self.shift)))
+        for i, phi in self.cosines(x):
+            out[i : i + len(phi)] = math.sqrt(2.0 / len(self.shift)) * phi
+        return out
+
+    def cosines(self, x: np.ndarray, middle: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """Features before their common factor, a few rows at a time, with the place of the first.
+
+        The next rows overwrite them. With the `middle` of the rows they are made in single
+        precision: only what a row differs from it is rounded.
+        """
+        waves = np.vstack([self.omega, self.shift])
+        x = np.column_stack([x, np.ones(len(x))])
+        if middle is not None:
+            waves[-1] = np.remainder(self.shift + middle @ self.omega, 2 * np.pi)
+            x[:, :-1] -= middle
+            x, waves = x.astype(np.float32), waves.astype(np.float32)
+            out = np.empty((CHUNK, len(self.shift)), np.float32)
+        else:
+            waves /= 2 * np.pi
+            turns, work, out = np.empty((3, CHUNK, len(self.shift)))
+        for i in range(0, len(x), CHUNK):
+            n = min(CHUNK, len(x) - i)
+            if middle is not None:
+                np.matmul(x[i : i + n], waves, out=out[:n])
+                yield i, np.cos(out[:n], out=out[:n])
+            else:
+                np.matmul(x[i : i + n], waves, out=turns[:n])
+                yield i, cosine_of_turns(turns[:n], work[:n], out[:n])
 
     def margin(self, df: DataFrame, out: str = "score") -> DataFrame:
         """Add w·phi(x); low values lie outside the usual region."""
+        weights = math.sqrt(2.0 / len(self.shift)) * self.weights
 
         def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             for batch in batches:
-                yield pd.Series(self.features(batch.to_numpy(float)) @ self.weights)
+                score = np.empty(len(batch))
+                for i, phi in self.cosines(np.ascontiguousarray(batch.to_numpy(float))):
+                    score[i : i + len(phi)] = phi @ weights
+                yield pd.Series(score)
 
         udf = F.pandas_udf(rate, T.DoubleType())
         return df.withColumn(out, udf(F.struct(*[F.col(c).cast("double") for c in self.cols])))
 
 
-def _binned_features(df: DataFrame, machine: OneClassMachine, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and sum of phi per bin of the margin, in one pass: (counts, sums).
+def _binned_features(
+    df: DataFrame, machine: OneClassMachine, edges: np.ndarray, middle: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and sum of phi per bin of the margin, in one pass over packed rows: (counts, sums).
 
     Bin 0 lies below the first edge; rows above the last edge are in no bin and not summed.
     One number per bin and feature comes back, however large the table is.
@@ -219,18 +270,25 @@ def _binned_features(df: DataFrame, machine: OneClassMachine, edges: np.ndarray)
     bins = len(edges)
 
     width = len(machine.shift) + 1
+    factor = math.sqrt(2.0 / len(machine.shift))
+    kind = np.float64 if middle is None else np.float32
+    weights, numbers = (factor * machine.weights).astype(kind), np.arange(bins)[:, None]
 
     def block(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros((bins, width))
         for batch in batches:
-            phi = machine.features(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
-            bin_ = np.searchsorted(edges, phi @ machine.weights, side="right")
-            inside = np.flatnonzero(bin_ < bins)
-            total[:, 0] += np.bincount(bin_[inside], minlength=bins)
-            total[:, 1:] += (bin_[inside] == np.arange(bins)[:, None]).astype(float) @ phi[inside]
+            for _, phi in machine.cosines(unpacked(batch, len(machine.cols)), middle):
+                bin_ = np.searchsorted(edges, (phi @ weights).astype(float), side="right")
+                inside = np.flatnonzero(bin_ < bins)
+                if len(inside) < len(phi):
+                    bin_, phi = bin_[inside], phi[inside]
+                own = bin_ == numbers
+                total[:, 0] += own.sum(1)
+                total[:, 1:] += own.astype(kind) @ phi
+        total[:, 1:] *= factor
         return total.ravel()
 
-    total = block_sum(df.select(*machine.cols), block, bins * width).reshape(bins, width)
+    total = block_sum(df, block, bins * width).reshape(bins, width)
     return total[:, 0].astype(np.int64), total[:, 1:]
 
 
@@ -267,19 +325,24 @@ def one_class_machine(
     be, so the gap is a bound and not an estimate. A margin moves by no more than
     the weights do, so the bins of the next pass hold the next quantile for certain and
     close in on it. Rows with a missing value are left out; a table without rows has no machine.
+    Tables of SINGLE_FROM rows or more take their passes in single precision, whose rounding
+    is far below the tolerance; scores are always in double precision.
     """
     cols = list(cols)
     table = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    cells = F.explode(F.array(*cols)).alias("x")
-    variance = table.select(cells).agg(F.var_pop("x")).first()[0] or 1.0
+    seen = table.agg(F.count(F.lit(1)), *[f(c) for f in (F.avg, F.var_pop) for c in cols]).first()
+    if not seen[0]:
+        raise ValueError("no row without missing values to fit on")
+    means, variances = np.array(seen[1:], float).reshape(2, len(cols))
+    variance = float(variances.mean() + means.var()) or 1.0  # of all cells
+    middle = means if seen[0] >= SINGLE_FROM else None
+    table = packed(table, lambda batch: np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
     rng = np.random.default_rng(seed)
     omega = rng.normal(0.0, math.sqrt(2.0 / (len(cols) * variance)), (len(cols), features))
     shift = rng.uniform(0.0, 2.0 * math.pi, features)
 
     machine = OneClassMachine(cols, omega, shift, np.zeros(features))
-    counts, sums = _binned_features(table, machine, np.array([math.inf]))
-    if not counts[0]:
-        raise ValueError("no row without missing values to fit on")
+    counts, sums = _binned_features(table, machine, np.array([math.inf]), middle)
     mass = nu * counts[0]
     machine.weights = sums[0] / counts[0]
     atoms, share = machine.weights[None, :], np.array([1.0])
@@ -288,7 +351,7 @@ def one_class_machine(
     while machine.steps < STEPS:
         pad = 1e-9 + 1e-9 * max(abs(low), abs(high))  # rounding
         edges = np.linspace(low - pad, high + pad, BINS + 1)
-        counts, sums = _binned_features(table, machine, edges)
+        counts, sums = _binned_features(table, machine, edges, middle)
         machine.steps += 1
         upto = np.cumsum(counts)
         at = min(int(np.searchsorted(upto, mass)), BINS)  # the quantile lies in this bin

@@ -9,6 +9,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.lineage import materialize
+
+#: Bytes of one packed value, about. A batch of 10,000 of them stays small.
+PACKED_BYTES = 4096
+
+
+def packed(df: DataFrame, numbers: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """Column `packed`: the rows of `df` as numbers, a few rows to a value, written once for many passes.
+
+    `numbers` makes a matrix of a batch, one line per row. Reading a row costs more than
+    adding it up; packed, it is read with its neighbours as a piece of one array.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.ascontiguousarray(numbers(batch), dtype=float)
+            step = max(1, PACKED_BYTES // (8 * x.shape[1]))
+            values = [x[i : i + step].tobytes() for i in range(0, len(x), step)]
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.binary())], ["packed"])
+
+    return materialize(df.mapInArrow(pack, "packed binary"), spread=True)
+
+
+def unpacked(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    """The rows of a batch of `packed`, as a matrix of `width` columns."""
+    values = batch.column(0)
+    _, places, data = values.buffers()
+    wide = np.int64 if pa.types.is_large_binary(values.type) else np.int32
+    at = np.frombuffer(places, wide)[values.offset : values.offset + len(values) + 1]
+    first, last = (int(at[0]), int(at[-1])) if len(values) else (0, 0)
+    if first == last:
+        return np.zeros((0, width))
+    return np.frombuffer(data[first:last], float).reshape(-1, width)
+
 
 def block_sum(df: DataFrame, block: Callable[[Iterator[pa.RecordBatch]], np.ndarray], length: int) -> np.ndarray:
     """The sum over all tasks of the array of `length` numbers that `block` makes of a task's rows.

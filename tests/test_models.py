@@ -3,9 +3,11 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import anomaly, blocks, clustering, features, forecast, lineage, logistic, metrics, models
+from millrace.plans import closed_forms
 
 
 @pytest.fixture(scope="module")
@@ -337,6 +339,40 @@ def test_one_class_machine_reports_its_gap(readings, monkeypatch):
         anomaly.one_class_machine(readings.limit(0), cols)
 
 
+def test_one_class_machine_in_single_precision(spark, monkeypatch):
+    """Large tables are fitted on rounded cosines of packed rows; path and scores stay, also far from zero."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(5_900, 3)), rng.normal(scale=5, size=(100, 3))]) + [2000.0, -40.0, 0.0]
+    rows = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "i int, a double, b double, c double").repartition(3)
+    exact = anomaly.one_class_machine(rows, ["a", "b", "c"])
+    monkeypatch.setattr(anomaly, "SINGLE_FROM", 0)
+    rounded = anomaly.one_class_machine(rows, ["a", "b", "c"])
+    assert rounded.steps == exact.steps and rounded.converged and rounded.gap == pytest.approx(exact.gap, abs=1e-6)
+    assert np.allclose(rounded.weights, exact.weights, atol=1e-7)
+    few = x[:1000]
+    assert np.allclose(exact.features(few), np.sqrt(2 / 256) * np.cos(few @ exact.omega + exact.shift), rtol=0, atol=1e-12)
+
+
+def test_packed_rows(spark):
+    df = spark.range(5_000).select(F.col("id").cast("double").alias("a"), (F.col("id") * 2.0).alias("b")).repartition(3)
+    matrix = lambda batch: np.column_stack([v.to_numpy(zero_copy_only=False) for v in batch.columns])
+    table = blocks.packed(df, matrix)
+    assert table.count() < 100
+    moments = lambda batches: sum((np.r_[len(x), x.sum(0)] for x in (blocks.unpacked(b, 2) for b in batches)), np.zeros(3))
+    assert blocks.block_sum(table, moments, 3).tolist() == [5_000, 12_497_500, 24_995_000]
+    assert blocks.block_sum(blocks.packed(df.limit(0), matrix), moments, 3).tolist() == [0, 0, 0]
+
+
+def test_strangers_are_counted_without_one_task(spark, monkeypatch):
+    """Strange rows among the lowest scores, with ties at the cut and rows without a score."""
+    count = closed_forms._strangers_first
+    monkeypatch.setattr(DataFrame, "limit", None)
+    for scores, found in (([1, 2, 3, 4], 2), ([1, 3, 2, 4], 1), ([5, 5, 5, 9], 2), ([None, 7, 1, 2], 1), ([9, 8, None, 1], 0)):
+        rows = [(int(i < 2), None if s is None else float(s)) for i, s in enumerate(scores)]
+        got = count(spark.createDataFrame(rows, "strange int, score double")).collect()
+        assert [(r.strange, r.found) for r in got] == [(2, found)], scores
+
+
 def test_outlines_of_many_parts(spark, monkeypatch):
     """Rounds over small groups give the outline of all points; a circle, which no round can reduce, ends too."""
     rng = np.random.default_rng(3)
