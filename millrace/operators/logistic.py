@@ -13,7 +13,7 @@ from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.blocks import block_sum, matrix
+from millrace.operators.blocks import block_sum, matrix, packed, unpacked
 from millrace.operators.lineage import materialize
 
 #: Newton steps gather a square of this many numbers per model; wider tables take first-order steps.
@@ -24,6 +24,8 @@ TOLERANCE = 1e-12
 PASSES = 60
 #: Remembered steps of the first-order method.
 MEMORY = 10
+#: Numbers of the rows that a pass holds in the processor's cache together.
+CHUNK = 10_000
 
 
 @dataclass
@@ -123,29 +125,44 @@ def _prepared(df: DataFrame, y: str, features: str, fold: str | None, weight: st
     return materialize(rows.filter("fold is not null"), spread=True)
 
 
+def _numbers(batch: pa.RecordBatch) -> np.ndarray:
+    """x, a one for the intercept, y, w and fold of every row."""
+    x = matrix(batch.column(0))
+    return np.column_stack([x, np.ones(len(x)), *(batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))])
+
+
 def _pass(rows: DataFrame, searches: list[_Search], size: int, newton: bool) -> list[tuple]:
-    """(loss, gradient, curvature) of every model at its trial, all summed in one pass."""
+    """(loss, gradient, curvature) of every model at its trial, all summed in one pass over packed rows."""
     each = 1 + size + (size * size if newton else 0)
     plan = [(s.held_out, s.weighted, s.trial) for s in searches]
 
+    places = np.column_stack([at for _, _, at in plan])
+
     def block(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros((len(plan), each))
+        step = max(1, CHUNK // size)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = matrix(batch.column(0))
-            x = np.column_stack([x, np.ones(len(x))])
-            y, w, fold = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
-            for k, (held_out, weighted, at) in enumerate(plan):
-                weight = (w if weighted else 1.0) * (1.0 if held_out is None else fold != held_out) * np.ones(len(y))
-                margin = x @ at
-                p = 0.5 * (1 + np.tanh(margin / 2))
-                total[k, 0] += weight @ (np.logaddexp(0, margin) - y * margin)
-                total[k, 1 : 1 + size] += x.T @ (weight * (p - y))
-                if newton:
-                    total[k, 1 + size :] += ((x * (weight * p * (1 - p))[:, None]).T @ x).ravel()
+            table = unpacked(batch, size + 3)
+            for i in range(0, len(table), step):
+                add(total, table[i : i + step])
         return total.ravel()
 
+    def add(total: np.ndarray, table: np.ndarray) -> None:
+        x = np.ascontiguousarray(table[:, :size])
+        y, w, fold = np.ascontiguousarray(table[:, size:].T)
+        shares = {key: (w if key[1] else 1.0) * (1.0 if key[0] is None else fold != key[0]) * np.ones(len(y)) for key in {p[:2] for p in plan}}
+        margin = np.ascontiguousarray((x @ places).T)
+        small = np.exp(-np.abs(margin))
+        p = np.where(margin >= 0, 1.0, small) / (1.0 + small)
+        loss = np.maximum(margin, 0.0) + np.log1p(small) - y * margin
+        bend = p * (1.0 - p)
+        for k, (held_out, weighted, _) in enumerate(plan):
+            weight = shares[held_out, weighted]
+            total[k, 0] += weight @ loss[k]
+            total[k, 1 : 1 + size] += (weight * (p[k] - y)) @ x
+            if newton:
+                total[k, 1 + size :] += (x.T @ (x * (weight * bend[k])[:, None])).ravel()
+
     sums = block_sum(rows, block, len(plan) * each).reshape(len(plan), each)
     return [(s[0], s[1 : 1 + size], s[1 + size :].reshape(size, size) if newton else None) for s in sums]
 
@@ -174,6 +191,7 @@ def fit_logistics(
     if seen["holes"]:
         raise ValueError("missing values in the features")
     size = seen["size"] + 1
+    rows = packed(rows, _numbers)
     newton = size <= NEWTON_FEATURES + 1
     searches = [_Search(float(c), held_out, weighted, np.zeros(size), np.zeros(size)) for c, held_out, weighted in grid]
     limit = PASSES if newton else 10 * PASSES

@@ -19,15 +19,14 @@ def order_cuts(df: DataFrame, order: str) -> list[float]:
     return sorted(set(cuts or []))
 
 
-def slice_of(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points at or below the value, by binary search."""
-    if not cuts:
+def slice_of(value: Column, table: Column, slices: int) -> Column:
+    """Number of the sorted cut points in `table`, `slices` at most, at or below the value, by binary search."""
+    if not slices:
         return F.lit(0)
     step, steps = 1, []
-    while step <= len(cuts):
+    while step <= slices:
         steps.insert(0, step)
         step *= 2
-    table = F.lit(list(cuts))
     return F.aggregate(
         F.lit(steps),
         F.lit(0),
@@ -45,7 +44,7 @@ def running_totals_by(counts: DataFrame, by: str, order: str, cols: Sequence[str
     slices = max(2 * partitions, 16)
     marks = [i / slices for i in range(1, slices)]
     cuts = counts.groupBy(by).agg(F.percentile_approx(order, marks, 4 * slices).alias("__cuts"))
-    at = F.size(F.filter("__cuts", lambda x: x <= F.col(order)))
+    at = slice_of(F.col(order), F.col("__cuts"), slices - 1)
     sliced = counts.join(F.broadcast(cuts), by).withColumn("__slice", at).drop("__cuts")
     within = Window.partitionBy(by, "__slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.withColumns({f"__{c}": F.sum(c).over(within) for c in cols})
@@ -69,7 +68,7 @@ def running_totals(counts: DataFrame, order: str, cols: Sequence[str], cuts: Seq
     slices; each slice is summed on its own, and the totals of the earlier slices (two
     per shuffle partition) are added from a broadcast table.
     """
-    sliced = counts.withColumn("__slice", slice_of(F.col(order), cuts))
+    sliced = counts.withColumn("__slice", slice_of(F.col(order), F.lit(list(cuts)), len(cuts)))
     within = Window.partitionBy("__slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.withColumns({f"__{c}": F.sum(c).over(within) for c in cols})
 

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import anomaly, blocks, clustering, features, forecast, lineage, logistic, metrics, models
+from millrace.operators import anomaly, blocks, clustering, features, forecast, lineage, logistic, metrics, models, ordering
 from millrace.plans import closed_forms
 
 
@@ -373,6 +373,26 @@ def test_strangers_are_counted_without_one_task(spark, monkeypatch):
         assert [(r.strange, r.found) for r in got] == [(2, found)], scores
 
 
+def test_slices_are_found_by_halving(spark):
+    """Any number of cut points in a column, fewer than said too; nothing is at or below an unknown value."""
+    for n in (0, 1, 2, 3, 7, 8, 31):
+        cuts = [float(i) for i in range(0, 2 * n, 2)]
+        rows = spark.range(-2, 2 * n + 2).select((F.col("id") / 1.0).alias("v"), F.array(*map(F.lit, cuts)).cast("array<double>").alias("cuts"))
+        got = {r.v: r.s for r in rows.select("v", ordering.slice_of(F.col("v"), F.col("cuts"), n + 2).alias("s")).collect()}
+        assert got == {v: sum(x <= v for x in cuts) for v in got}
+    plan = rows.select(ordering.slice_of(F.col("v"), F.col("cuts"), 31))._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan  # the number of comparisons does not grow with the partitions
+
+
+def test_logistic_passes_read_packed_rows(spark, monkeypatch):
+    rows, _ = grid_rows(spark, 700)
+    seen = []
+    real = blocks.block_sum
+    monkeypatch.setattr(logistic, "block_sum", lambda df, *a: seen.append(df.count()) or real(df, *a))
+    assert logistic.fit_logistics(rows, "label", [(1.0, None, False)])[0].converged
+    assert seen and max(seen) <= 20  # some 70 rows to a value
+
+
 def test_outlines_of_many_parts(spark, monkeypatch):
     """Rounds over small groups give the outline of all points; a circle, which no round can reduce, ends too."""
     rng = np.random.default_rng(3)
