@@ -1,18 +1,17 @@
-"""Regression and classification on MLlib, from training to importance tables."""
+"""Regression and classification, from training to importance tables."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import as_flag
 from millrace.operators.features import Preparation, assemble
+from millrace.operators.forest import Forest, grow_forest
 from millrace.operators.logistic import LogisticFit, fit_logistics, held_out_scores
 from millrace.operators.metrics import roc_auc_by
 from millrace.operators.quantiles import exact_quantiles
@@ -81,22 +80,14 @@ def logistic_regression(
 def random_forest(
     train: DataFrame, y: str, features: str = "features", trees: int = 300, depth: int = 8,
     weight: str | None = None, seed: int = 42,
-):
+) -> Forest:
     """Random forest; the weight column carries balanced class weights."""
-    model = RandomForestClassifier(
-        featuresCol=features, labelCol=y, numTrees=trees, maxDepth=depth, seed=seed, maxMemoryInMB=1024,
-    )
-    return (model.setWeightCol(weight) if weight else model).fit(train)
+    return grow_forest(train, y, features, trees, depth, weight, seed)
 
 
-def predict_proba(model, df: DataFrame, out: str = "p") -> DataFrame:
+def predict_proba(model: LogisticFit | Forest, df: DataFrame, out: str = "p") -> DataFrame:
     """Rows with the probability of class 1."""
-    if isinstance(model, LogisticFit):
-        return df.withColumn(out, model.probability())
-    scored = model.transform(df)
-    return scored.withColumn(out, vector_to_array("probability")[1]).drop(
-        "rawPrediction", "probability", "prediction"
-    )
+    return df.withColumn(out, model.probability())
 
 
 def predict_class(df: DataFrame, p: str = "p", cut: float = 0.5, out: str = "pred") -> DataFrame:

@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import anomaly, blocks, clustering, features, forecast, lineage, logistic, metrics, models, ordering
+from millrace.operators import anomaly, blocks, clustering, features, forecast, forest, lineage, logistic, metrics, models, ordering
 from millrace.plans import closed_forms
 
 
@@ -101,6 +102,70 @@ def test_cross_validation_and_forest(table):
     assert models.feature_importance(forest, ["a", "b"], rows).count() == 2
 
 
+def forest_rows(spark, n=4_000):
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(size=(n, 3)), rng.integers(0, 2, (n, 2)), rng.random(n) < 0.004]).astype(float)
+    y = ((x[:, 0] * x[:, 1] > 0) ^ (rng.random(n) < 0.1) | (x[:, 5] > 0)).astype(int)
+    names = [f"x{i}" for i in range(6)]
+    rows = [(i, int(t), 1.0 + i % 3, *map(float, r)) for i, (r, t) in enumerate(zip(x, y))]
+    schema = "id int, label int, weight double, " + ", ".join(f"{c} double" for c in names)
+    return features.assemble(spark.createDataFrame(rows, schema), names).repartition(5, "id")
+
+
+def test_forest_is_as_good_as_the_library_s(spark):
+    rows = lineage.materialize(forest_rows(spark))
+    train, test = rows.filter("id % 4 > 0"), rows.filter("id % 4 = 0")
+    ours = models.random_forest(train, "label", trees=40, depth=6, weight="weight")
+    theirs = RandomForestClassifier(labelCol="label", numTrees=40, maxDepth=6, seed=1).setWeightCol("weight").fit(train)
+    auc = metrics.roc_auc(models.predict_proba(ours, test), "label", "p").first().auc
+    wanted = metrics.roc_auc(theirs.transform(test).withColumn("p", vector_to_array("probability")[1]), "label", "p").first().auc
+    assert auc > 0.85 and abs(auc - wanted) < 0.03
+    got, known = ours.featureImportances.toArray(), theirs.featureImportances.toArray()
+    assert got.sum() == pytest.approx(1) and np.allclose(got, known, atol=0.1) and got[5] > 0
+
+
+def test_trees_take_the_best_cut_of_their_draw(spark, monkeypatch):
+    """Each split against brute force over the rows drawn; how trees share passes changes nothing."""
+    rows = lineage.materialize(forest_rows(spark, 900))
+    stored = []
+    real = forest._blocks
+    monkeypatch.setattr(forest, "_blocks", lambda *a: stored.append(real(*a)) or stored[-1])
+    fit = models.random_forest(rows, "label", trees=3, depth=3, weight="weight", seed=9)
+    blocks_ = [(r.block, np.frombuffer(r.bins, np.uint8).reshape(-1, 6), np.frombuffer(r.label, np.uint8), np.frombuffer(r.weight)) for r in stored[0].collect()]
+    for t in range(3):
+        draws = [forest.DRAWS[np.random.default_rng([9, t, b]).integers(0, 65536, len(y), np.uint16)] for b, _, y, _ in blocks_]
+        x, y = (np.concatenate([v[k] for v in blocks_]) for k in (1, 2))
+        w = np.concatenate([v[3] for v in blocks_]) * np.concatenate(draws)
+        at = {0: np.flatnonzero(w)}
+        for node in range(7):
+            own = at.get(node, np.zeros(0, int))
+            nodes, first = 2 ** int(np.log2(node + 1)), 2 ** int(np.log2(node + 1)) - 1
+            tried = np.random.default_rng([9, int(np.log2(nodes))]).random((3, nodes, 6)).argsort(-1)[t, node - first, :3]
+            impurity = lambda rows: 0.0 if not len(rows) else w[rows].sum() - sum(w[rows[y[rows] == c]].sum() ** 2 for c in (0, 1)) / w[rows].sum()
+            drops = [impurity(own) - impurity(own[x[own, f] <= c]) - impurity(own[x[own, f] > c]) for f in tried for c in range(32)]
+            if fit.feature[t, node] < 0:
+                assert not len(own) or max(drops) < 1e-6
+                continue
+            right = x[own, fit.feature[t, node]] > fit.cut[t, node]
+            assert fit.feature[t, node] in tried
+            assert impurity(own) - impurity(own[~right]) - impurity(own[right]) == pytest.approx(max(drops))
+            at[2 * node + 1], at[2 * node + 2] = own[~right], own[right]
+            assert fit.share[t, 2 * node + 2, 1] == pytest.approx(w[own[right]] @ y[own[right]] / w[own[right]].sum())
+    monkeypatch.setattr(forest, "PASS_NUMBERS", 1)
+    monkeypatch.setattr(forest, "_blocks", lambda *a: stored[0])
+    again = models.random_forest(rows, "label", trees=3, depth=3, weight="weight", seed=9)
+    assert (again.feature == fit.feature).all() and (again.cut == fit.cut).all()
+
+
+def test_forest_edges(spark):
+    one = forest_rows(spark, 200).withColumn("label", F.lit(1))
+    sure = models.predict_proba(models.random_forest(one, "label", trees=3), one)
+    assert sure.agg(F.min("p"), F.max("p")).first() == (1.0, 1.0) and (forest.DRAWS.mean() == pytest.approx(1, abs=1e-3))
+    assert models.predict_proba(models.random_forest(one, "label", trees=3), one.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="no row"):
+        models.random_forest(one.limit(0), "label", trees=3)
+
+
 def grid_rows(spark, n=1500, p=4, seed=3):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, p)) * np.arange(1, p + 1)
