@@ -214,10 +214,7 @@ class OneClassMachine:
     converged: bool = False
 
     def features(self, x: np.ndarray) -> np.ndarray:
-        out = np.empty((len(x), len(self.shift)))
-        for i, phi in self.cosines(x):
-            out[i : i + len(phi)] = math.sqrt(2.0 / len(self.shift)) * phi
-        return out
+        return math.sqrt(2.0 / len(self.shift)) * np.cos(x @ self.omega + self.shift)
 
     def cosines(self, x: np.ndarray, middle: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
         """Features before their common factor, a few rows at a time, with the place of the first.
@@ -259,35 +256,45 @@ class OneClassMachine:
         return df.withColumn(out, udf(F.struct(*[F.col(c).cast("double") for c in self.cols])))
 
 
+def _columns(batch: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+
+
 def _binned_features(
     df: DataFrame, machine: OneClassMachine, edges: np.ndarray, middle: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and sum of phi per bin of the margin, in one pass over packed rows: (counts, sums).
+    """Rows and sum of phi per bin of the margin, in one pass: (counts, sums).
 
     Bin 0 lies below the first edge; rows above the last edge are in no bin and not summed.
-    One number per bin and feature comes back, however large the table is.
+    One number per bin and feature comes back, however large the table is. With the `middle`
+    of the rows, `df` holds them packed and features are made in single precision.
     """
     bins = len(edges)
 
     width = len(machine.shift) + 1
     factor = math.sqrt(2.0 / len(machine.shift))
     kind = np.float64 if middle is None else np.float32
-    weights, numbers = (factor * machine.weights).astype(kind), np.arange(bins)[:, None]
+    weights = machine.weights if middle is None else (factor * machine.weights).astype(kind)
 
     def block(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros((bins, width))
         for batch in batches:
+            if middle is None:
+                add(total, machine.features(_columns(batch)))
+                continue
             for _, phi in machine.cosines(unpacked(batch, len(machine.cols)), middle):
-                bin_ = np.searchsorted(edges, (phi @ weights).astype(float), side="right")
-                inside = np.flatnonzero(bin_ < bins)
-                if len(inside) < len(phi):
-                    bin_, phi = bin_[inside], phi[inside]
-                own = bin_ == numbers
-                total[:, 0] += own.sum(1)
-                total[:, 1:] += own.astype(kind) @ phi
-        total[:, 1:] *= factor
+                add(total, phi)
+        if middle is not None:
+            total[:, 1:] *= factor
         return total.ravel()
 
+    def add(total: np.ndarray, phi: np.ndarray) -> None:
+        bin_ = np.searchsorted(edges, (phi @ weights).astype(float), side="right")
+        inside = np.flatnonzero(bin_ < bins)
+        total[:, 0] += np.bincount(bin_[inside], minlength=bins)
+        own = (bin_[inside] == np.arange(bins)[:, None]).astype(kind)
+        total[:, 1:] += own @ (phi if len(inside) == len(phi) else phi[inside])
+
     total = block_sum(df, block, bins * width).reshape(bins, width)
     return total[:, 0].astype(np.int64), total[:, 1:]
 
@@ -325,18 +332,19 @@ def one_class_machine(
     be, so the gap is a bound and not an estimate. A margin moves by no more than
     the weights do, so the bins of the next pass hold the next quantile for certain and
     close in on it. Rows with a missing value are left out; a table without rows has no machine.
-    Tables of SINGLE_FROM rows or more take their passes in single precision, whose rounding
-    is far below the tolerance; scores are always in double precision.
+    Tables of SINGLE_FROM rows or more are packed and take their passes in single precision,
+    whose rounding is far below the tolerance; scores are always in double precision.
     """
     cols = list(cols)
     table = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    seen = table.agg(F.count(F.lit(1)), *[f(c) for f in (F.avg, F.var_pop) for c in cols]).first()
+    cells = F.explode(F.array(*cols)).alias("x")
+    variance = table.select(cells).agg(F.var_pop("x")).first()[0] or 1.0
+    seen = table.agg(F.count(F.lit(1)), *[F.avg(c) for c in cols]).first()
     if not seen[0]:
         raise ValueError("no row without missing values to fit on")
-    means, variances = np.array(seen[1:], float).reshape(2, len(cols))
-    variance = float(variances.mean() + means.var()) or 1.0  # of all cells
-    middle = means if seen[0] >= SINGLE_FROM else None
-    table = packed(table, lambda batch: np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
+    middle = np.array(seen[1:], float) if seen[0] >= SINGLE_FROM else None
+    if middle is not None:
+        table = packed(table, _columns)
     rng = np.random.default_rng(seed)
     omega = rng.normal(0.0, math.sqrt(2.0 / (len(cols) * variance)), (len(cols), features))
     shift = rng.uniform(0.0, 2.0 * math.pi, features)
