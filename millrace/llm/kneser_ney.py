@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import pack, unpack
+from millrace.llm.blocks import pack, slices, unpack
 from millrace.operators.lineage import materialize
 from millrace.operators.sizing import broadcast_if_small
 
@@ -61,11 +61,23 @@ def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return grams[keep], np.r_[0, np.cumsum(sizes)]
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed UTF-8 after their length, as they cross the network once and are read three times."""
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        small = [
+            len(t).to_bytes(4, "little") + pa.compress(t, codec="zstd", asbytes=True)
+            for some in slices(batch.column(at))
+            for t in some.cast(pa.binary()).to_pylist()
+        ]
+        yield batch.set_column(at, "text", pa.array(small, pa.binary()))
+
+
 def _runs(table: pa.Table, chars: int = 1 << 21) -> Iterator[tuple[int, list[bytes]]]:
-    """The texts of a block in runs of about so many characters, with the place of the first."""
+    """The squeezed texts of a block in runs of about so many characters, with the place of the first."""
     start, part, size = 0, [], 0
     for i, t in enumerate(table["text"].to_pylist()):
-        part.append(t.encode("utf-8", "surrogatepass"))
+        part.append(pa.decompress(t[4:], int.from_bytes(t[:4], "little"), codec="zstd", asbytes=True))
         size += len(part[-1])
         if size >= chars:
             yield start, part
@@ -290,8 +302,9 @@ def bits_per_byte(docs: DataFrame, training: DataFrame, folds: int = 1) -> DataF
     # Without an id there is no label to meet, and a hash of the text spreads such rows.
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.col("doc_id"))
     rows = docs.select(
-        "doc_id", F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"), number(key)
-    ).repartition("block")
+        F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"), number(key)
+    )
+    rows = rows.mapInArrow(_squeeze, "doc_id long, lang string, text binary, block long").repartition("block")
     trusted = training.select("doc_id", number(F.col("doc_id"))).filter("doc_id is not null")
     # Below, every user of `rows` reads the same exchange.
     counted = rows.groupBy("block").cogroup(trusted.groupBy("block")).applyInArrow(_trainer(folds), "fold long, g long, c long")

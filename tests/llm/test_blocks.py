@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import kneser_ney, long_matches
@@ -107,6 +108,16 @@ def plain_bits(training, text):
     return sum(-np.log2(p(raw[i - order + 1 : i + 1])) for i in range(order - 1, len(raw))) / (len(raw) - order + 1)
 
 
+def test_texts_travel_squeezed():
+    texts = ["", "a", "wörter 語 " * 500, "x" * 70_000]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array(texts)], ["doc_id", "text"])
+    (small,) = kneser_ney._squeeze(iter([batch]))
+    assert small.column("doc_id") == batch.column("doc_id")
+    assert sum(map(len, small.column("text").to_pylist())) < sum(len(t.encode()) for t in texts) / 20
+    runs = list(kneser_ney._runs(pa.Table.from_batches([small]), 1000))
+    assert [t for _, part in runs for t in part] == [t.encode() for t in texts] and [at for at, _ in runs] == [0, 3]
+
+
 def test_kneser_ney(spark, corpus, monkeypatch):
     monkeypatch.setattr(kneser_ney, "BLOCK_BYTES", 4000)
     docs = spark.createDataFrame(corpus, SCHEMA)
