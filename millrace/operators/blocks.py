@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +14,8 @@ from millrace.operators.lineage import materialize
 
 #: Bytes of one packed value, about. A batch of 10,000 of them stays small.
 PACKED_BYTES = 4096
+#: Numbers of a long sum that meet as one value.
+SUM_PIECE = 8192
 
 
 def packed(df: DataFrame, numbers: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
@@ -68,6 +71,29 @@ def block_sum(df: DataFrame, block: Callable[[Iterator[pa.RecordBatch]], np.ndar
     return total
 
 
+def long_sum(df: DataFrame, block: Callable[[Iterator[pa.RecordBatch]], np.ndarray], length: int) -> np.ndarray:
+    """The same for millions of numbers: they meet in pieces of SUM_PIECE, added up in the order of the tasks."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, task = np.asarray(block(batches), float), TaskContext.get().partitionId()
+        for i in range(0, length, SUM_PIECE):
+            piece = values[i : i + SUM_PIECE]
+            if piece.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([task]), pa.array([piece.tobytes()], pa.binary())], ["at", "task", "x"])
+
+    def add(parts: pa.Table) -> pa.Table:
+        parts = parts.sort_by("task")
+        total = sum(np.frombuffer(x, float) for x in parts["x"].to_pylist())
+        return pa.table({"at": parts["at"][:1], "x": pa.array([total.tobytes()], pa.binary())})
+
+    parts = df.mapInArrow(partial, "at long, task long, x binary").groupBy("at").applyInArrow(add, "at long, x binary")
+    total = np.zeros(length)
+    for row in parts.toArrow().to_pylist():
+        piece = np.frombuffer(row["x"], float)
+        total[row["at"] : row["at"] + len(piece)] = piece
+    return total
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     """Rows of an array column of equal lengths as a matrix."""
     flat = column.flatten().to_numpy(zero_copy_only=False)

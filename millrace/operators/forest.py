@@ -5,9 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
@@ -16,20 +16,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.blocks import block_sum, matrix
+from millrace.operators.blocks import long_sum, matrix
 from millrace.operators.lineage import materialize
 
 #: A column is cut into at most so many bins.
 BINS = 32
 #: Rows of one stored block at most; its draws follow from its number.
 BLOCK_ROWS = 10_000
+#: Rows that are worked on together: long enough for cheap steps, short enough for the cache.
+TOGETHER = 60_000
+#: Bits that their tests have, at most.
+TEST_BITS = 2**27
+#: Levels in which the rows of each node are a mask.
+MASKED = 9
 #: Numbers that a pass sums, about; a level of more trees takes several passes.
 PASS_NUMBERS = 2_000_000
-#: Share of each count of a Poisson draw with mean 1, in 65,536 parts.
-DRAWS = np.repeat(
-    np.arange(9, dtype=np.uint8),
-    np.diff(np.r_[0, np.rint(np.cumsum([math.exp(-1) / math.factorial(i) for i in range(8)]) * 65536).astype(int), 65536]),
-)
+#: From so many rows on, those with equal bins, label and weight are counted and stored once.
+GROUP_FROM = 1_000_000
+#: Rows that one stored row can stand for; other numbers are sums of these.
+SIZES = np.array([*range(1, 32), *(32 << i for i in range(11))])
+
+
+def _poisson(mean: int) -> np.ndarray:
+    """Share of each count of a Poisson draw, in 65,536 parts."""
+    counts = np.arange(int(mean + 8 * math.sqrt(mean) + 16))
+    logs = counts * math.log(mean) - np.r_[0, np.cumsum(np.log(counts[1:]))] - mean
+    upto = np.rint(np.cumsum(np.exp(logs)) * 65536).astype(int)
+    return np.repeat(counts, np.diff(np.r_[0, upto])).astype(np.uint16)
+
+
+#: Draws of one row.
+DRAWS = _poisson(1)
+
+
+@lru_cache(1)
+def _draws() -> np.ndarray:
+    """Draws of stored rows by number of their size and 16 random bits: as often as its rows come up together."""
+    return np.concatenate([_poisson(int(n)) for n in SIZES])
 
 
 @dataclass
@@ -45,20 +68,32 @@ class Forest:
 
     def probability(self) -> Column:
         """Mean share of class 1 in the leaves that a row falls into."""
-        levels = int(math.log2(self.share.shape[1] + 1)) - 1
-        ones, trees = np.ascontiguousarray(self.share[:, :, 1]), (self.cuts, self.feature, self.cut)
+        levels, ends = _depth(self.feature), _ends(self.feature, self.share[:, :, 1])
+        pairs, which = _asked(self.feature, self.cut, levels)
+        cuts, most = self.cuts, _together(pairs)
 
-        def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            held, rows = [], 0
             for batch in batches:
-                p = np.zeros(len(batch))
-                if len(batch):
-                    cuts, features, places = trees
-                    bins = _binned(np.stack(batch.to_numpy()), cuts)
-                    for feature, cut, one in zip(features, places, ones):
-                        p += one[_fall(bins, feature, cut, levels)]
-                yield pd.Series(p / len(ones))
-
-        return F.pandas_udf(rate, T.DoubleType())(vector_to_array(F.col(self.features)))
+                held.append(batch)
+                rows += len(batch)
+                if rows >= most:
+                    yield from scores(held)
+                    held, rows = [], 0
+            yield from scores(held)
+
+        def scores(batches: list[pa.Array]) -> Iterator[pa.Array]:
+            full = [matrix(b) for b in batches if len(b)]
+            p = np.zeros(sum(map(len, full)))
+            if full:
+                bins = _binned(np.concatenate(full), cuts)
+                tests = _tests(np.ascontiguousarray(bins.T), pairs)
+                for own, end in zip(which, ends):
+                    p += end.take(_places(tests, own, levels, len(p)))
+            for part in np.split(p / len(ends), np.cumsum([len(b) for b in batches])[:-1]) if batches else ():
+                yield pa.array(part)
+
+        return F.arrow_udf(rate, T.DoubleType())(vector_to_array(F.col(self.features)))
 
 
 def _binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
@@ -66,15 +101,76 @@ def _binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return np.column_stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)]).astype(np.uint8)
 
 
-def _fall(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
-    """The node that each row reaches after so many levels, or the leaf it ends in before."""
-    flat, start = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
-    node = np.zeros(len(bins), np.int64)
-    for _ in range(levels):
-        f = feature.take(node)
-        on = 2 * node + 1 + (flat.take(start + np.maximum(f, 0)) > cut.take(node))
-        node = np.where(f >= 0, on, node)
-    return node
+def _depth(feature: np.ndarray) -> int:
+    return int(math.log2(feature.shape[1] + 1)) - 1
+
+
+def _asked(feature: np.ndarray, cut: np.ndarray, levels: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """The different (feature, cut) that nodes above a level ask for, and by tree and node the number of its own.
+
+    A leaf has the number after the last, a test that no row passes.
+    """
+    f, c = (v[:, : 2**levels - 1].astype(int) for v in (feature, cut))
+    codes = np.where(f >= 0, f * BINS + c, -1)
+    known = np.unique(codes[codes >= 0])
+    return [divmod(int(k), BINS) for k in known], np.where(codes >= 0, np.searchsorted(known, codes), len(known))
+
+
+def _tests(columns: np.ndarray, pairs: list[tuple[int, int]]) -> np.ndarray:
+    """A bit per row for each (feature, cut): whether its bin lies above; 64 rows to a word."""
+    n = columns.shape[1]
+    bits = np.zeros((len(pairs) + 1, -(-n // 64) * 8), np.uint8)
+    for own, (f, c) in zip(bits, pairs):
+        own[: -(-n // 8)] = np.packbits(columns[f] > c, bitorder="little")
+    return bits.view(np.uint64)
+
+
+def _together(pairs: list) -> int:
+    return min(TOGETHER, TEST_BITS // (len(pairs) + 1))
+
+
+def _places(tests: np.ndarray, which: np.ndarray, levels: int, n: int) -> np.ndarray:
+    """Where in a level each row arrives, from left to right; below a leaf it keeps to the left.
+
+    The rows of a node are a mask of bits, so a step down costs few operations on words. All
+    left children come before all right ones, so that a mask is cut in place. Where nodes are
+    many, each row looks up its own test.
+    """
+    place, masked = np.zeros(n, np.min_scalar_type(2**levels - 1)), min(levels, MASKED)
+    masks, order = np.empty((2**masked, tests.shape[1]), np.uint64), np.zeros(1, int)
+    masks[0] = ~np.uint64(0)
+    for k in range(masked):
+        here, right = masks[: 2**k], masks[2**k : 2 ** (k + 1)]
+        tests.take(which[2**k - 1 + order], 0, right, "clip")
+        right &= here
+        place += place
+        place |= np.unpackbits(np.bitwise_or.reduce(right, axis=0).view(np.uint8), count=n, bitorder="little")
+        if k + 1 < masked:
+            here ^= right
+            order = np.r_[2 * order, 2 * order + 1]
+    row = np.arange(n)
+    for k in range(masked, levels):
+        at = which[2**k - 1 + place.astype(int)]
+        place += place
+        place |= tests.view(np.uint8)[at, row >> 3] >> (row & 7).astype(np.uint8) & 1
+    return place
+
+
+def _alive(feature: np.ndarray, level: int) -> np.ndarray:
+    """By tree and node of a level: whether all nodes above it were cut."""
+    alive = np.ones((len(feature), 1), bool)
+    for k in range(level):
+        alive = np.repeat(alive & (feature[:, 2**k - 1 : 2 ** (k + 1) - 1] >= 0), 2, 1)
+    return alive
+
+
+def _ends(feature: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """By tree and place in the last level: the share of the node, or of the leaf above it."""
+    ends = share[:, :1]
+    for k in range(_depth(feature)):
+        cut = np.repeat(feature[:, 2**k - 1 : 2 ** (k + 1) - 1] >= 0, 2, 1)
+        ends = np.where(cut, share[:, 2 ** (k + 1) - 1 : 2 ** (k + 2) - 1], np.repeat(ends, 2, 1))
+    return np.ascontiguousarray(ends)
 
 
 def _cut_points(rows: DataFrame) -> list[np.ndarray]:
@@ -93,25 +189,68 @@ def _cut_points(rows: DataFrame) -> list[np.ndarray]:
     return [(v[1:] + v[:-1]) / 2 for v in values]
 
 
-def _blocks(rows: DataFrame, cuts: list[np.ndarray]) -> DataFrame:
-    """(block, bins, label, weight): the rows, binned, BLOCK_ROWS to a value, written once for all passes."""
+def _blocks(rows: DataFrame, cuts: list[np.ndarray], group: bool = False) -> DataFrame:
+    """(block, bins, label, weight, size): the rows, binned, BLOCK_ROWS to a value, written once for all passes.
 
-    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+    With `group`, rows that the trees cannot tell apart are one stored row each, or a few:
+    what n of them add to a sum is their weight times a Poisson draw with mean n. `size` is
+    the number in SIZES of the rows that a stored one stands for.
+    """
+    width = len(cuts)
+    keys = [f"k{i}" for i in range(-(-width // 8))]
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bins = _binned(matrix(batch.column(0)), cuts)
+            bins = np.zeros((batch.num_rows, 8 * len(keys)), np.uint8)
+            bins[:, :width] = _binned(matrix(batch.column(0)), cuts)
             y, w = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
             if not ((y >= 0) & (y == np.floor(y)) & (y < 100) & np.isfinite(w)).all():
                 raise ValueError("labels must be 0, 1, ... and weights known")
-            for i in range(0, len(y), BLOCK_ROWS):
-                part = slice(i, i + BLOCK_ROWS)
-                cells = [bins[part].tobytes(), y[part].astype(np.uint8).tobytes(), w[part].tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([number]), *(pa.array([c], pa.binary()) for c in cells)], ["block", "bins", "label", "weight"])
+            cells = [*(pa.array(k) for k in bins.view(np.int64).T), pa.array(y.astype(np.int16)), pa.array(w)]
+            yield pa.RecordBatch.from_arrays([*cells, pa.array(np.ones(len(y), np.int64))], [*keys, "y", "w", "n"])
+
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            *words, y, w, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            bins = np.column_stack(words).view(np.uint8)[:, :width]
+            own, size = _sized(n)
+            for i in range(0, len(own), BLOCK_ROWS):
+                some = own[i : i + BLOCK_ROWS]
+                cells = [bins[some], y[some].astype(np.uint8), w[some], size[i : i + BLOCK_ROWS]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), *(pa.array([c.tobytes()], pa.binary()) for c in cells)], ["block", "bins", "label", "weight", "size"]
+                )
                 number += 1
 
-    return materialize(rows.mapInArrow(block, "block long, bins binary, label binary, weight binary"), spread=True)
+    made = "block long, bins binary, label binary, weight binary, size binary"
+    if group:
+        single = rows.mapInArrow(binned, ", ".join(f"{k} long" for k in keys) + ", y short, w double, n long")
+        blocks = single.groupBy(*keys, "y", "w").agg(F.sum("n").alias("n"))
+        # In an order of their own, so that a rerun deals the same draws.
+        blocks = blocks.sortWithinPartitions(*keys, "y", "w").mapInArrow(block, made)
+    else:
+        blocks = rows.mapInArrow(lambda batches: block(binned(batches)), made)
+    return materialize(blocks.repartition(rows.sparkSession.sparkContext.defaultParallelism))
+
+
+def _sized(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stored rows for groups of so many rows: the place of the group, and the number of a size, smaller sizes first."""
+    own, size = [], []
+    for number, many in enumerate(SIZES.tolist()):
+        if many < 32:
+            at = np.flatnonzero(n % 32 == many)
+        elif many < SIZES[-1]:
+            at = np.flatnonzero(n & many)
+        else:
+            at = np.repeat(np.arange(len(n)), n // many)
+        own.append(at)
+        size.append(np.full(len(at), number, np.uint8))
+    return np.concatenate(own), np.concatenate(size)
 
 
 def _level_sums(
@@ -121,36 +260,50 @@ def _level_sums(
 
     A row counts in a tree as often as it was drawn for it. Rows in a leaf above the level count nowhere.
     """
-    first, nodes, tried = 2**level - 1, 2**level, chosen.shape[2]
-    each = nodes * tried * BINS * classes
-    grown = [(t, feature[t], cut[t], np.ascontiguousarray(chosen[t].T)) for t in trees]
+    nodes, tried, cells = 2**level, chosen.shape[2], BINS * classes
+    own = slice(trees.start, trees.stop)
+    pairs, which = _asked(feature[own], cut[own], level)
+    dead = ~_alive(feature[own], level)
+    step = max(1, _together(pairs) // BLOCK_ROWS)
+    grown = [(t, w, np.ascontiguousarray(chosen[t].T)) for t, w in zip(trees, which)]
 
     def block(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total = np.zeros((len(grown), each))
+        total = np.zeros((len(grown), tried, nodes, cells))
         for batch in batches:
-            for row in batch.to_pylist():
-                add(total, row)
+            for i in range(0, batch.num_rows, step):
+                add(total, batch.slice(i, step).to_pylist())
+        total.swapaxes(1, 2)[dead] = 0
         return total.ravel()
 
-    def add(total: np.ndarray, row: dict) -> None:
-        y = np.frombuffer(row["label"], np.uint8)
-        w = np.frombuffer(row["weight"], float)
-        bins = np.frombuffer(row["bins"], np.uint8).reshape(len(y), -1)
-        for sums, (t, own_feature, own_cut, own_chosen) in zip(total, grown):
-            draw = DRAWS[np.random.default_rng([seed, t, row["block"]]).integers(0, 65536, len(y), np.uint16)]
-            some = np.flatnonzero(draw)
-            x = bins[some]
-            node = _fall(x, own_feature, own_cut, level) - first
-            if node.min(initial=0) < 0:
-                here = node >= 0
-                some, x, node = some[here], x[here], node[here]
-            weight, label = w[some] * draw[some], y[some]
-            flat, start = x.ravel(), np.arange(len(x)) * x.shape[1]
-            for j, features in enumerate(own_chosen):
-                code = ((node * tried + j) * BINS + flat.take(start + features.take(node))) * classes + label
-                sums += np.bincount(code, weight, each)
-
-    return block_sum(blocks, block, len(grown) * each).reshape(len(grown), nodes, tried, BINS, classes)
+    def add(total: np.ndarray, rows: list[dict]) -> None:
+        kinds = {"label": np.uint8, "weight": float, "size": np.uint8}
+        y, w, size = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in kinds.items())
+        x = np.concatenate([np.frombuffer(r["bins"], np.uint8).reshape(len(r["label"]), -1) for r in rows])
+        x = np.ascontiguousarray(x.T)
+        table, first = _draws(), size.astype(np.int64) << 16
+        n, codes = len(y), (x.astype(np.min_scalar_type(cells - 1)) * np.uint8(classes) + y).ravel()
+        tests, wide, narrow, long = _tests(x, pairs), np.empty(n, np.int64), np.empty_like(codes, shape=n), np.empty(n, np.int64)
+        for sums, (t, asked, features) in zip(total, grown):
+            draw = table.take(first + np.concatenate([_uniform(seed, t, r["block"], len(r["label"])) for r in rows]))
+            some = np.flatnonzero(draw > 0)
+            weight = w.take(some) * draw.take(some)
+            place = _places(tests, asked, level, n).take(some).astype(np.int64)
+            start = place * cells
+            at, short, code = wide[: len(some)], narrow[: len(some)], long[: len(some)]
+            for own_sums, column in zip(sums, features * n):
+                column.take(place, 0, at, "clip")
+                at += some
+                codes.take(at, 0, short, "clip")
+                np.add(start, short, code)
+                own_sums += np.bincount(code, weight, nodes * cells).reshape(nodes, cells)
+
+    sums = long_sum(blocks, block, dead.size * tried * cells).reshape(len(grown), tried, nodes, BINS, classes)
+    return np.ascontiguousarray(sums.swapaxes(1, 2))
+
+
+def _uniform(seed: int, tree: int, block: int, n: int) -> np.ndarray:
+    """What a generator of this seed gives as its first n numbers of 16 bits."""
+    return np.random.PCG64([seed, tree, block]).random_raw(-(-n // 4)).view(np.uint16)[:n]
 
 
 def _best_cuts(sums: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -183,8 +336,9 @@ def grow_forest(df: DataFrame, y: str, features: str, trees: int, depth: int, we
         (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
     )
     cuts = _cut_points(rows)
-    classes = max(int(rows.agg(F.max("y")).first()[0] or 0) + 1, 2)
-    blocks = _blocks(rows, cuts)
+    last, count = rows.agg(F.max("y"), F.count(F.lit(1))).first()
+    classes = max(int(last or 0) + 1, 2)
+    blocks = _blocks(rows, cuts, count >= GROUP_FROM)
     size, width = 2 ** (depth + 1) - 1, len(cuts)
     tried = math.ceil(math.sqrt(width))
     feature, cut = np.full((trees, size), -1, np.int16), np.zeros((trees, size), np.uint8)

@@ -166,6 +166,90 @@ def test_forest_edges(spark):
         models.random_forest(one.limit(0), "label", trees=3)
 
 
+def test_rows_find_their_place_by_bits():
+    rng = np.random.default_rng(2)
+    for depth, n in ((1, 5), (8, 130), (11, 200)):  # below the ninth level rows look up their tests
+        feature, cut = rng.integers(0, 4, (3, 2 ** (depth + 1) - 1)).astype(np.int16), rng.integers(0, 31, (3, 2 ** (depth + 1) - 1)).astype(np.uint8)
+        feature[:, 2**depth - 1 :] = -1
+        feature[0, 2 % 2**depth :: 7], feature[2] = -1, -1
+        for i in range(1, feature.shape[1]):
+            feature[:, i] = np.where(feature[:, (i - 1) // 2] < 0, -1, feature[:, i])
+        bins, share = rng.integers(0, 32, (n, 4)).astype(np.uint8), rng.random(feature.shape)
+        pairs, which = forest._asked(feature, cut, depth)
+        tests, ends, alive = forest._tests(np.ascontiguousarray(bins.T), pairs), forest._ends(feature, share), forest._alive(feature, depth)
+        for t in range(3):
+            place = forest._places(tests, which[t], depth, n)
+            for row, at in zip(bins, place.tolist()):
+                node = 0
+                while feature[t, node] >= 0:
+                    node = 2 * node + 1 + int(row[feature[t, node]] > cut[t, node])
+                assert ends[t, at] == share[t, node]
+                assert alive[t, at] == (node >= 2**depth - 1) and (not alive[t, at] or node == 2**depth - 1 + at)
+
+
+def test_draws_of_many_rows_have_their_mean_and_spread():
+    table = forest._draws().reshape(-1, 65536).astype(float)
+    assert (table[0] == forest.DRAWS).all()
+    assert np.allclose(table.mean(1), forest.SIZES, rtol=1e-4) and np.allclose(table.var(1), forest.SIZES, rtol=1e-3)
+    n = np.r_[1, 31, 32, 1000, 200_001]
+    own, size = forest._sized(n)
+    assert (np.bincount(own, forest.SIZES[size]) == n).all()
+
+
+def repeated_rows(spark, n=6_000):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, [5, 4, 3, 2, 2, 2, 2, 2, 2], (n, 9))  # nine features take two words
+    y = ((x[:, 0] > 2) ^ (x[:, 1] > 1) ^ (rng.random(n) < 0.1)).astype(int)
+    x[: n // 4], y[: n // 4] = 0, 0
+    names = [f"x{i}" for i in range(9)]
+    rows = [(i, int(t), 1.0 + 2 * int(t), *map(float, r)) for i, (r, t) in enumerate(zip(x, y))]
+    schema = "id int, label int, weight double, " + ", ".join(f"{c} double" for c in names)
+    return lineage.materialize(features.assemble(spark.createDataFrame(rows, schema), names).repartition(4, "id"))
+
+
+def test_rows_of_equal_bins_are_worked_on_once(spark, monkeypatch):
+    rows, stored, real = repeated_rows(spark), [], forest._blocks
+    apart = models.random_forest(rows, "label", trees=60, depth=5, weight="weight")
+    monkeypatch.setattr(forest, "GROUP_FROM", 6_000, raising=False)
+    monkeypatch.setattr(forest, "_blocks", lambda *a: stored.append(real(*a)) or stored[-1])
+    fit = models.random_forest(rows, "label", trees=60, depth=5, weight="weight")
+    found, sums, kept = {}, np.zeros((60, 2)), 0
+    for r in stored[0].collect():
+        bins, y, w = np.frombuffer(r.bins, np.uint8).reshape(-1, 9), np.frombuffer(r.label, np.uint8), np.frombuffer(r.weight)
+        size, kept = np.frombuffer(r["size"], np.uint8), kept + len(y)
+        for key, n in zip(zip(map(tuple, bins), y, w), forest.SIZES[size]):
+            found[key] = found.get(key, 0) + n
+        for t in range(60):
+            u = np.random.default_rng([42, t, r.block]).integers(0, 65536, len(y), np.uint16)
+            sums[t] += np.bincount(y, w * forest._draws().reshape(-1, 65536)[size, u], 2)
+    known, cuts = {}, fit.cuts
+    for r in rows.collect():
+        key = (tuple(int(np.searchsorted(c, v)) for c, v in zip(cuts, r.features)), r.label, r.weight)
+        known[key] = known.get(key, 0) + 1
+    assert found == known and kept < 6_000 and max(known.values()) > 1_400
+    assert np.allclose(fit.share[:, 0], sums / sums.sum(1, keepdims=True))
+    auc = [metrics.roc_auc(models.predict_proba(m, rows), "label", "p").first().auc for m in (apart, fit)]
+    assert min(auc) > 0.85 and abs(auc[0] - auc[1]) < 0.01
+    assert np.allclose(apart.featureImportances.toArray(), fit.featureImportances.toArray(), atol=0.05)
+    again = models.random_forest(rows, "label", trees=60, depth=5, weight="weight")
+    assert (again.feature == fit.feature).all() and (again.cut == fit.cut).all()
+
+
+def test_long_sums_meet_in_pieces(spark):
+    rows = spark.range(1_000).repartition(7)
+
+    def block(batches):
+        total = np.zeros(20_001)
+        for batch in batches:
+            np.add.at(total, 19 * batch.column(0).to_numpy(), 1.5)
+        return total
+
+    want = np.zeros(20_001)
+    want[np.arange(1_000) * 19] = 1.5
+    assert (blocks.long_sum(rows, block, 20_001) == want).all()
+    assert (blocks.long_sum(rows.limit(0), block, 20_001) == 0).all()
+
+
 def grid_rows(spark, n=1500, p=4, seed=3):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, p)) * np.arange(1, p + 1)
