@@ -173,11 +173,8 @@ def _ends(feature: np.ndarray, share: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(ends)
 
 
-def _cut_points(rows: DataFrame) -> list[np.ndarray]:
+def _cut_points(rows: DataFrame, width: int) -> list[np.ndarray]:
     """Up to BINS - 1 cuts per feature, between its least and greatest value and the quantiles."""
-    width = rows.agg(F.max(F.size("x"))).first()[0]
-    if width is None:
-        raise ValueError("no row to fit on")
     marks = [i / (BINS - 1) for i in range(1, BINS - 1)]
     asked = []
     for j in range(width):
@@ -190,11 +187,11 @@ def _cut_points(rows: DataFrame) -> list[np.ndarray]:
 
 
 def _blocks(rows: DataFrame, cuts: list[np.ndarray], group: bool = False) -> DataFrame:
-    """(block, bins, label, weight, size): the rows, binned, BLOCK_ROWS to a value, written once for all passes.
+    """(block, bins, label, weight): the rows, binned, BLOCK_ROWS to a value, written once for all passes.
 
     With `group`, rows that the trees cannot tell apart are one stored row each, or a few:
-    what n of them add to a sum is their weight times a Poisson draw with mean n. `size` is
-    the number in SIZES of the rows that a stored one stands for.
+    what n of them add to a sum is their weight times a Poisson draw with mean n. The column
+    `size` has the number in SIZES of the rows that a stored one stands for.
     """
     width = len(cuts)
     keys = [f"k{i}" for i in range(-(-width // 8))]
@@ -209,32 +206,30 @@ def _blocks(rows: DataFrame, cuts: list[np.ndarray], group: bool = False) -> Dat
             if not ((y >= 0) & (y == np.floor(y)) & (y < 100) & np.isfinite(w)).all():
                 raise ValueError("labels must be 0, 1, ... and weights known")
             cells = [*(pa.array(k) for k in bins.view(np.int64).T), pa.array(y.astype(np.int16)), pa.array(w)]
-            yield pa.RecordBatch.from_arrays([*cells, pa.array(np.ones(len(y), np.int64))], [*keys, "y", "w", "n"])
+            yield pa.RecordBatch.from_arrays(cells, [*keys, "y", "w"])
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             if not batch.num_rows:
                 continue
-            *words, y, w, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            bins = np.column_stack(words).view(np.uint8)[:, :width]
-            own, size = _sized(n)
-            for i in range(0, len(own), BLOCK_ROWS):
-                some = own[i : i + BLOCK_ROWS]
-                cells = [bins[some], y[some].astype(np.uint8), w[some], size[i : i + BLOCK_ROWS]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), *(pa.array([c.tobytes()], pa.binary()) for c in cells)], ["block", "bins", "label", "weight", "size"]
-                )
+            *words, y, w = (c.to_numpy(zero_copy_only=False) for c in batch.columns[: len(keys) + 2])
+            cells = [np.column_stack(words).view(np.uint8)[:, :width], y.astype(np.uint8), w]
+            if group:
+                own, size = _sized(batch.column(len(keys) + 2).to_numpy())
+                cells = [*(c[own] for c in cells), size]
+            for i in range(0, len(cells[0]), BLOCK_ROWS):
+                values = [pa.array([c[i : i + BLOCK_ROWS].tobytes()], pa.binary()) for c in cells]
+                yield pa.RecordBatch.from_arrays([pa.array([number]), *values], ["block", "bins", "label", "weight", "size"][: len(cells) + 1])
                 number += 1
 
-    made = "block long, bins binary, label binary, weight binary, size binary"
-    if group:
-        single = rows.mapInArrow(binned, ", ".join(f"{k} long" for k in keys) + ", y short, w double, n long")
-        blocks = single.groupBy(*keys, "y", "w").agg(F.sum("n").alias("n"))
-        # In an order of their own, so that a rerun deals the same draws.
-        blocks = blocks.sortWithinPartitions(*keys, "y", "w").mapInArrow(block, made)
-    else:
-        blocks = rows.mapInArrow(lambda batches: block(binned(batches)), made)
+    made = "block long, bins binary, label binary, weight binary"
+    if not group:
+        return materialize(rows.mapInArrow(lambda batches: block(binned(batches)), made), spread=True)
+    single = rows.mapInArrow(binned, ", ".join(f"{k} long" for k in keys) + ", y short, w double")
+    cells = single.groupBy(*keys, "y", "w").agg(F.count(F.lit(1)).alias("n"))
+    # In an order of their own, so that a rerun deals the same draws.
+    blocks = cells.sortWithinPartitions(*keys, "y", "w").mapInArrow(block, made + ", size binary")
     return materialize(blocks.repartition(rows.sparkSession.sparkContext.defaultParallelism))
 
 
@@ -263,41 +258,45 @@ def _level_sums(
     nodes, tried, cells = 2**level, chosen.shape[2], BINS * classes
     own = slice(trees.start, trees.stop)
     pairs, which = _asked(feature[own], cut[own], level)
-    dead = ~_alive(feature[own], level)
+    alive = _alive(feature[own], level)
     step = max(1, _together(pairs) // BLOCK_ROWS)
-    grown = [(t, w, np.ascontiguousarray(chosen[t].T)) for t, w in zip(trees, which)]
+    grown = [(t, w, a, np.ascontiguousarray(chosen[t].T)) for t, w, a in zip(trees, which, alive)]
 
     def block(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros((len(grown), tried, nodes, cells))
         for batch in batches:
             for i in range(0, batch.num_rows, step):
                 add(total, batch.slice(i, step).to_pylist())
-        total.swapaxes(1, 2)[dead] = 0
         return total.ravel()
 
     def add(total: np.ndarray, rows: list[dict]) -> None:
-        kinds = {"label": np.uint8, "weight": float, "size": np.uint8}
-        y, w, size = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in kinds.items())
+        y, w = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in (("label", np.uint8), ("weight", float)))
+        size = np.concatenate([np.frombuffer(r.get("size", bytes(len(r["label"]))), np.uint8) for r in rows])
+        ends = np.cumsum([len(r["label"]) for r in rows])
         x = np.concatenate([np.frombuffer(r["bins"], np.uint8).reshape(len(r["label"]), -1) for r in rows])
         x = np.ascontiguousarray(x.T)
         table, first = _draws(), size.astype(np.int64) << 16
         n, codes = len(y), (x.astype(np.min_scalar_type(cells - 1)) * np.uint8(classes) + y).ravel()
         tests, wide, narrow, long = _tests(x, pairs), np.empty(n, np.int64), np.empty_like(codes, shape=n), np.empty(n, np.int64)
-        for sums, (t, asked, features) in zip(total, grown):
+        for sums, (t, asked, own_alive, features) in zip(total, grown):
             draw = table.take(first + np.concatenate([_uniform(seed, t, r["block"], len(r["label"])) for r in rows]))
-            some = np.flatnonzero(draw > 0)
-            weight = w.take(some) * draw.take(some)
-            place = _places(tests, asked, level, n).take(some).astype(np.int64)
-            start = place * cells
+            place, counts = _places(tests, asked, level, n), draw > 0
+            if not own_alive.all():
+                counts &= own_alive.take(place)
+            some = np.flatnonzero(counts)
+            weight, place = w.take(some) * draw.take(some), place.take(some).astype(np.int64)
+            start, upto = place * cells, some.searchsorted(ends).tolist()
+            parts = [slice(i, j) for i, j in zip([0, *upto], upto)]  # summed block by block: sums round alike however blocks meet
             at, short, code = wide[: len(some)], narrow[: len(some)], long[: len(some)]
             for own_sums, column in zip(sums, features * n):
                 column.take(place, 0, at, "clip")
                 at += some
                 codes.take(at, 0, short, "clip")
                 np.add(start, short, code)
-                own_sums += np.bincount(code, weight, nodes * cells).reshape(nodes, cells)
+                for part in parts:
+                    own_sums += np.bincount(code[part], weight[part], nodes * cells).reshape(nodes, cells)
 
-    sums = long_sum(blocks, block, dead.size * tried * cells).reshape(len(grown), tried, nodes, BINS, classes)
+    sums = long_sum(blocks, block, alive.size * tried * cells).reshape(len(grown), tried, nodes, BINS, classes)
     return np.ascontiguousarray(sums.swapaxes(1, 2))
 
 
@@ -335,11 +334,12 @@ def grow_forest(df: DataFrame, y: str, features: str, trees: int, depth: int, we
         vector_to_array(F.col(features)).alias("x"), F.col(y).cast("double").alias("y"),
         (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
     )
-    cuts = _cut_points(rows)
-    last, count = rows.agg(F.max("y"), F.count(F.lit(1))).first()
-    classes = max(int(last or 0) + 1, 2)
+    width, last, count = rows.agg(F.max(F.size("x")), F.max("y"), F.count(F.lit(1))).first()
+    if width is None:
+        raise ValueError("no row to fit on")
+    cuts, classes = _cut_points(rows, width), max(int(last or 0) + 1, 2)
     blocks = _blocks(rows, cuts, count >= GROUP_FROM)
-    size, width = 2 ** (depth + 1) - 1, len(cuts)
+    size = 2 ** (depth + 1) - 1
     tried = math.ceil(math.sqrt(width))
     feature, cut = np.full((trees, size), -1, np.int16), np.zeros((trees, size), np.uint8)
     share, gains = np.zeros((trees, size, classes)), np.zeros((trees, width))
